@@ -11,7 +11,7 @@ from msgflow.functions.subjects import (
     subject_filter,
     subject_token,
 )
-from msgflow.session import BROADCAST_ROWS, join_small
+from msgflow.session import join_small
 
 
 def filter_subjects(df: DataFrame, patterns: str | list[str], subject: str = "subject") -> DataFrame:
@@ -34,8 +34,9 @@ def match_patterns(df: DataFrame, patterns: DataFrame, pattern: str = "pattern",
     )
     key = F.array_join(F.filter(body, lambda t: t != "*"), ".")
     keyed = patterns.withColumns({"_shape": shape, "_key": key})
-    # A shape is a word of at most one sign per token, so only a few distinct ones exist.
-    shapes = [r[0] for r in keyed.select("_shape").distinct().collect()]
+    # A shape is a word of one sign per token, so only a few distinct ones exist.
+    counts = keyed.groupBy("_shape").count().collect()
+    shapes = [r["_shape"] for r in counts]
     if not shapes:
         return df.join(patterns, F.lit(False))
 
@@ -50,7 +51,7 @@ def match_patterns(df: DataFrame, patterns: DataFrame, pattern: str = "pattern",
 
     exploded = df.withColumn("_candidate", F.explode(F.array_compact(F.array(*[candidate(s) for s in shapes]))))
     keyed_messages = exploded.select(*df.columns, "_candidate._shape", "_candidate._key")
-    n_patterns = patterns.limit(BROADCAST_ROWS + 1).count()
+    n_patterns = sum(r["count"] for r in counts)
     return join_small(keyed_messages, keyed, ["_shape", "_key"], n_patterns).drop("_shape", "_key")
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 # Accepted option words and defaults.
 CODECS = ("none", "uncompressed", "zlib")
 ENVELOPES = ("full", "text5", "text3")
+# Messages per Parquet row group of a log, and per Spark partition of the source.
+LOG_ROW_GROUP = 65_536
 DEFAULT_DATETIME_FORMAT = "MM/dd/yyyy - HH:mm:ss Z"
 
 
@@ -82,7 +84,8 @@ class SourceOptions:
     max_request_batch: int = 100
     subjects: tuple[str, ...] = ()
     batch_size: int = 1000
-    max_partitions: int = 10000
+    partition_rows: int = LOG_ROW_GROUP
+    max_partitions: int = 100_000
     listeners: int = 1
     reset_on_restart: bool = False
     ack_none: bool = False
@@ -114,7 +117,8 @@ class SourceOptions:
             max_request_batch=_positive("max_request_batch", read.integer("max_request_batch", 100)),
             subjects=read.names("subjects"),
             batch_size=_positive("batch_size", read.integer("batch_size", 1000)),
-            max_partitions=_positive("max_partitions", read.integer("max_partitions", 10000)),
+            max_partitions=_positive("max_partitions", read.integer("max_partitions", 100_000)),
+            partition_rows=_positive("partition_rows", read.integer("partition_rows", LOG_ROW_GROUP)),
             listeners=_positive("listeners", read.integer("listeners", 1)),
             reset_on_restart=read.boolean("reset_on_restart", False),
             ack_none=read.boolean("ack_none", False),

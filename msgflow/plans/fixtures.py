@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from msgflow.functions import envelope as E
 from msgflow.functions.subjects import partition_stream
@@ -24,6 +25,7 @@ PARTITIONS = 4
 STREAMS = [f"{PREFIX}-{n}" for n in range(PARTITIONS)]
 DOMAIN, ACCOUNT, CONSUMER = "dom", "acct", "cons"
 ACK_WAIT = 90
+HEARTBEAT = "heartbeat"
 
 _logs: dict[tuple[str, str], MessageLog] = {}
 
@@ -92,6 +94,15 @@ def acks(messages: DataFrame) -> DataFrame:
     )
 
 
+def heartbeat(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """One acknowledged delivery long after all others, so that watermarks pass the last real one."""
+    at = F.timestamp_micros(E.micros_of_ntz(F.expr("timestamp_ntz'2100-01-01 00:00:00'")))
+    known = {"consumer": F.lit(CONSUMER), "stream": F.lit(HEARTBEAT), "delivered_at": at, "acked_at": at}
+    return spark.range(1).select(
+        *[known.get(f.name, F.lit(1)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 def _later(ts: Column, seconds: Column) -> Column:
     return F.timestamp_micros(F.unix_micros(ts) + seconds * 1_000_000)
 

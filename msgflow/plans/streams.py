@@ -51,7 +51,7 @@ def _to_files(
 
 
 def _source(log: MessageLog, **more: object) -> dict[str, object]:
-    return {"path": log.path, "stream_prefix": X.PREFIX, "num_partitions": X.PARTITIONS, "batch_size": 20_000, **more}
+    return {"path": log.path, "stream_prefix": X.PREFIX, "num_partitions": X.PARTITIONS, **more}
 
 
 def _rows(df: DataFrame) -> DataFrame:
@@ -138,7 +138,6 @@ def stream_durable(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.publish_events(log, part, batch)
         sink = {"path": target, "stream": "OUT", "writer": batch}
         _run(spark, relay_stream(spark, source, sink, r"(.+)", "done.$1"), scratch(spark, "durable-ck"))
-        Delivery(log, name).advance_floors()
     relayed = MessageLog(spark, target).scan()
     return relayed.select("subject", F.col("content").cast("string").alias("content"))
 
@@ -213,17 +212,20 @@ def _delivery_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     """Deliveries and acks as file streams."""
     messages = X.event_log(spark, sf_dir).scan()
     found = []
-    for name, df in (("deliveries", X.deliveries(messages)), ("acks", X.acks(messages))):
+    for name, df, schema in (
+        ("deliveries", X.deliveries(messages), schemas.DELIVERIES),
+        ("acks", X.acks(messages), schemas.ACKS),
+    ):
         folder = scratch(spark, name)
-        df.write.parquet(folder)
-        schema = schemas.DELIVERIES if name == "deliveries" else schemas.ACKS
+        df.unionByName(X.heartbeat(spark, df.schema)).write.parquet(folder)
         found.append(spark.readStream.schema(schema).parquet(folder).drop("batch"))
     return found[0], found[1]
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries, _ = _delivery_streams(spark, sf_dir)
-    return _to_files(spark, dedupe(deliveries, "delivered_at", "10 minutes").select("stream", "streamSeq"))
+    once = dedupe(deliveries.where(F.col("stream") != X.HEARTBEAT), "delivered_at", "10 minutes")
+    return _to_files(spark, once.select("stream", "streamSeq"))
 
 
 def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:

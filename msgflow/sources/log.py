@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from msgflow import schemas
+from msgflow.options import LOG_ROW_GROUP
 from msgflow.session import join_small
 from msgflow.sources import files
 from msgflow.sources.index import LogIndex
@@ -92,6 +93,7 @@ class MessageLog:
             (
                 numbered.sortWithinPartitions("stream", "streamSeq")
                 .write.mode("overwrite")
+                .option("parquet.block.row.count.limit", LOG_ROW_GROUP)
                 .partitionBy("stream")
                 .parquet(target)
             )
@@ -101,9 +103,10 @@ class MessageLog:
 
     def _stage(self, df: DataFrame, staging: str, order_by: list[str] | None, one_stream: bool) -> None:
         if order_by or not one_stream:
-            if not order_by:
-                df, order_by = df.withColumn("_position", F.monotonically_increasing_id()), ["_position"]
-            df = df.repartitionByRange("stream", *order_by).sortWithinPartitions("stream", *order_by)
+            # The input position breaks ties, so rows with equal order values can still be split.
+            order = ["stream", *(order_by or []), "_position"]
+            df = df.withColumn("_position", F.monotonically_increasing_id())
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
         df.select(
             "stream", "subject", "data", "headers", "timestamp", F.monotonically_increasing_id().alias("_row")
         ).write.mode("overwrite").parquet(f"{staging}/rows")

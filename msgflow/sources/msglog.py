@@ -37,16 +37,20 @@ class Slice:
 
 
 class SlicePartition(InputPartition):
-    def __init__(self, slices: list[Slice], listeners: int, listener: int):
+    def __init__(self, slices: list[Slice], listener: int):
         self.slices = slices
-        self.listeners = listeners
         self.listener = listener
 
 
+def slice_rows(pending: int, options: SourceOptions) -> int:
+    """Messages per Spark partition: the wanted number, or more when that gave too many partitions."""
+    return max(options.batch_size, options.partition_rows, -(-pending // options.max_partitions))
+
+
 def plan_slices(
     files_of_stream: list[tuple[str, int, int, int]], stream: str, after: int, upto: int, size: int
 ) -> list[Slice]:
-    """Cut ``(after, upto]`` into fetch units of at most ``size`` messages, none crossing a file."""
+    """Cut ``(after, upto]`` into slices of at most ``size`` messages, none crossing a file."""
     slices = []
     for file, first, last, _ in files_of_stream:
         low, high = max(after, first - 1), min(upto, last)
@@ -57,12 +61,15 @@ def plan_slices(
     return slices
 
 
-def group_slices(slices: list[Slice], max_partitions: int) -> list[list[Slice]]:
-    """One partition per fetch unit; with very many of them, neighbours share a partition."""
-    if not slices:
-        return []
-    per_group = -(-len(slices) // max_partitions)
-    return [slices[i : i + per_group] for i in range(0, len(slices), per_group)]
+def share_slices(slices: list[Slice], listeners: int, max_partitions: int) -> list[SlicePartition]:
+    """Deal the slices out to the listeners in turn; with very many, neighbours share a partition."""
+    per_partition = max(1, -(-len(slices) // max_partitions))
+    partitions = []
+    for listener in range(listeners):
+        share = slices[listener::listeners]
+        for i in range(0, len(share), per_partition):
+            partitions.append(SlicePartition(share[i : i + per_partition], listener))
+    return partitions
 
 
 class MessageLogSource(DataSource):
@@ -127,16 +134,13 @@ class MessageLogStreamReader(DataSourceStreamReader):
         if self.options.reset_on_restart and self.first_batch:
             start = {}
         self.first_batch = False
+        ranges = {s: (int(start.get(s, 0)), min(int(end.get(s, 0)), heads.get(s, 0))) for s in self.options.streams}
+        size = slice_rows(sum(max(0, upto - after) for after, upto in ranges.values()), self.options)
         slices: list[Slice] = []
-        size = self.options.batch_size
-        for stream in self.options.streams:
-            after = int(start.get(stream, 0))
-            upto = min(int(end.get(stream, 0)), heads.get(stream, 0))
+        for stream, (after, upto) in ranges.items():
             found = self.index.files(stream, after, upto) if upto > after else []
             slices.extend(plan_slices(found, stream, after, upto, size))
-        groups = group_slices(slices, max(1, self.options.max_partitions // self.options.listeners))
-        n = self.options.listeners
-        return [SlicePartition(group, n, share) for share in range(n) for group in groups]
+        return share_slices(slices, self.options.listeners, self.options.max_partitions)
 
     def commit(self, end: dict) -> None:
         if self.store and not self.options.ack_none:
@@ -146,21 +150,21 @@ class MessageLogStreamReader(DataSourceStreamReader):
 
     def read(self, partition: SlicePartition) -> Iterator[pa.RecordBatch]:
         for run in _runs(partition.slices):
-            yield from self._read_run(run, partition)
+            yield from self._read_run(run)
 
-    def _read_run(self, run: Slice, partition: SlicePartition) -> Iterator[pa.RecordBatch]:
+    def _read_run(self, run: Slice) -> Iterator[pa.RecordBatch]:
         system, path = files.open_fs(f"{self.options.path}/{run.file}")
         wanted = (ds.field("streamSeq") > run.after) & (ds.field("streamSeq") <= run.upto)
         subject_test = _subject_expression(self.patterns)
         if subject_test is not None:
             wanted = wanted & subject_test
         scanner = ds.dataset(path, filesystem=system, format="parquet").scanner(
-            columns=["subject", "content", "headers", "timestamp", "streamSeq"], filter=wanted, batch_size=10_000
+            columns=["subject", "content", "headers", "timestamp", "streamSeq"],
+            filter=wanted,
+            batch_size=self.options.batch_size,
+            use_threads=False,  # Spark already runs one task per core
         )
         for batch in scanner.to_batches():
-            if partition.listeners > 1 and batch.num_rows:
-                share = pc.equal(_modulo(batch.column("streamSeq"), partition.listeners), partition.listener)
-                batch = batch.filter(share)
             if not batch.num_rows:
                 continue
             full = self._envelope(batch, run)
@@ -236,10 +240,6 @@ def _runs(slices: list[Slice]) -> Iterator[Slice]:
         yield current
 
 
-def _modulo(values: pa.Array, n: int) -> pa.Array:
-    return pc.subtract(values, pc.multiply(pc.divide(values, n), n))
-
-
 def _subject_expression(patterns: list[str]) -> ds.Expression | None:
     if not patterns:
         return None

@@ -30,13 +30,20 @@ def relay_table(messages: DataFrame, subjects: str, pattern: str, replacement: s
     return relay_rows(filter_subjects(messages, subjects), pattern, replacement)
 
 
+def _ends(batch: DataFrame) -> dict[str, int]:
+    """Last number per stream of a delivered batch; one row per stream."""
+    ends = batch.groupBy("stream").agg(F.max("streamSeq").alias("end")).collect()
+    return {r["stream"]: r["end"] for r in ends}
+
+
 def relay_stream(
     spark: SparkSession, source: Mapping[str, object], sink: Mapping[str, object], pattern: str, replacement: str
 ) -> DataStreamWriter:
     """The relay as a streaming query; set checkpoint and trigger on the result and start it.
 
     Per micro-batch the rows are appended first and acknowledged after that, both under the batch id,
-    so a replayed batch neither repeats messages nor loses acks.
+    so a replayed batch neither repeats messages nor loses acks. The source delivers each stream in
+    order without holes, so the consumer's position moves to the end of the acknowledged batch.
     """
     read = SourceOptions.from_options(source)
     target = SinkOptions.from_options(sink)
@@ -52,7 +59,9 @@ def relay_stream(
             rows = renamed.withColumnRenamed("content", "data")
             publish(MessageLog(session, target.path), rows, target.stream, name, target.subjects)
             if acking:
-                Delivery(MessageLog(session, read.path), read.consumer).write_acks(batch, name, F.current_timestamp())
+                consumer = Delivery(MessageLog(session, read.path), read.consumer)
+                consumer.write_acks(batch, name, F.current_timestamp())
+                consumer.store.advance(_ends(batch))
         finally:
             if acking:
                 batch.unpersist()
