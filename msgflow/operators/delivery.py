@@ -7,13 +7,13 @@ before any join, so a message delivered or acknowledged very often stays one row
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgflow import schemas
 from msgflow.functions.subjects import subject_filter
+from msgflow.operators.planning import beyond, range_scan, with_offset
 from msgflow.operators.ranking import first_in_stream, previous_in_stream
 from msgflow.session import join_small
 from msgflow.sources import files
@@ -32,18 +32,8 @@ def _acked_once(acks: DataFrame) -> DataFrame:
 
 def pending_messages(messages: DataFrame, acks: DataFrame, floors: dict[str, int] | None = None) -> DataFrame:
     """Messages not acknowledged yet. Known floors spare the scan of what lies below them."""
-    if floors:
-        beyond = _beyond(floors)
-        messages, acks = messages.where(beyond), acks.where(beyond)
-    return messages.join(_acked_once(acks), KEY, "left_anti")
-
-
-def _beyond(floors: dict[str, int]) -> Column:
-    if not floors:
-        return F.lit(True)
-    listed = [(F.col("stream") == s) & (F.col("streamSeq") > f) for s, f in sorted(floors.items())]
-    others = ~F.col("stream").isin(sorted(floors))
-    return reduce(lambda a, b: a | b, listed, others)
+    floors = floors or {}
+    return beyond(messages, floors).join(_acked_once(beyond(acks, floors)), KEY, "left_anti")
 
 
 def pending_counts(heads: DataFrame, acks: DataFrame) -> DataFrame:
@@ -70,26 +60,26 @@ def _ack_bitmaps(acks: DataFrame) -> DataFrame:
 def ack_floors(heads: DataFrame, acks: DataFrame) -> DataFrame:
     """Per stream the highest number up to which every message is acknowledged, and the lag behind the end.
 
-    First the first span that is not complete is found from span counts, then the first gap inside
-    that one span; a stream's acks are never sorted or gathered as a whole.
+    First the first span that is not complete is found from span counts. Only the acks of that one
+    span per stream are then searched for the first gap; no stream is sorted or gathered as a whole.
     """
     spans = _ack_bitmaps(acks).where(F.col("_count") == BITMAP_SPAN).select("stream", "_span")
-    gap_span = (
+    gaps = (
         spans.select("stream", (F.col("_span") + 1).alias("_span"))
         .union(heads.select("stream", F.lit(1).cast("long").alias("_span")))
         .join(spans, ["stream", "_span"], "left_anti")
         .groupBy("stream")
         .agg(F.min("_span").alias("_gap"))
+        .collect()  # one row per stream
     )
-    numbered = acks.select(*KEY, F.bitmap_bucket_number("streamSeq").alias("_gap"))
-    near = join_small(numbered, gap_span, ["stream", "_gap"], heads.count()).select(*KEY).distinct()
-    start = gap_span.select("stream", ((F.col("_gap") - 1) * BITMAP_SPAN + 1).alias("streamSeq"))
+    before = {r["stream"]: (r["_gap"] - 1) * BITMAP_SPAN for r in gaps}
+    near = range_scan(acks, before, {s: b + BITMAP_SPAN for s, b in before.items()}).select(*KEY).distinct()
+    starts = heads.sparkSession.createDataFrame(sorted(before.items()), "stream string, streamSeq bigint")
     floors = (
-        near.select("stream", (F.col("streamSeq") + 1).alias("streamSeq"))
-        .union(start)
-        .join(near, KEY, "left_anti")
+        near.union(starts)
+        .join(near.select("stream", (F.col("streamSeq") - 1).alias("streamSeq")), KEY, "left_anti")
         .groupBy("stream")
-        .agg((F.min("streamSeq") - 1).alias("_floor"))
+        .agg(F.min("streamSeq").alias("_floor"))
     )
     floor = F.coalesce(F.col("_floor"), F.lit(0))
     return heads.join(floors, "stream", "left").select(
@@ -143,22 +133,16 @@ def first_unacked(
     shares * (k + excluded beyond the floor) numbers of a stream every share has at least k open
     ones. A subject filter voids that bound, so then the whole rest of the log is looked at.
     """
-    beyond = _beyond(floors)
-    shut = _acked_once(excluded.where(beyond))
-    open_messages = messages.where(beyond).where(subject_filter(subjects))
+    shut = _acked_once(beyond(excluded, floors))
+    open_messages = beyond(messages, floors).where(subject_filter(subjects))
     if not subjects:
         shares = listeners or 1
         counts = shut.groupBy("stream").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per stream
-        known = sorted({*floors, *[r["stream"] for r in counts]})
         taken = {r["stream"]: r["n"] for r in counts}
-        tests = [
-            (F.col("stream") == s) & (F.col("streamSeq") <= floors.get(s, 0) + shares * (k + taken.get(s, 0)))
-            for s in known
-        ]
-        rest = F.col("streamSeq") <= shares * k
-        if known:
-            rest = rest & ~F.col("stream").isin(known)
-        open_messages = open_messages.where(reduce(lambda a, b: a | b, tests, rest))
+        reach = {s: floors.get(s, 0) + shares * taken.get(s, 0) for s in {*floors, *taken}}
+        bound = max(reach.values(), default=0) + shares * k
+        near = with_offset(open_messages.where(F.col("streamSeq") <= bound), reach, "_reach")
+        open_messages = near.where(F.col("streamSeq") <= F.col("_reach") + shares * k).drop("_reach")
     open_messages = open_messages.join(shut, KEY, "left_anti")
     if listeners is None:
         return first_in_stream(open_messages, ["stream"], k)
@@ -219,7 +203,7 @@ class Delivery:
         picked = first_unacked(
             self.log.scan().select(*KEY, "subject"), excluded, floors, fetch, listeners, subjects
         ).select(*KEY, "listener")
-        earlier = self.deliveries().where(_beyond(floors)).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
+        earlier = beyond(self.deliveries(), floors).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
         rows = picked.join(earlier, KEY, "left").select(
             *KEY, now.alias("delivered_at"), (F.coalesce("_n", F.lit(0)) + 1).alias("attempt"), "listener"
         )
@@ -236,8 +220,7 @@ class Delivery:
         taken = self.spark.read.schema("stream string, streamSeq bigint, attempt bigint, listener bigint").parquet(folder)
         # The batch spans a short piece of each stream; its ends let the log scan skip the rest.
         ends = taken.groupBy("stream").agg(F.min("streamSeq").alias("lo"), F.max("streamSeq").alias("hi")).collect()
-        spans = [(F.col("stream") == r["stream"]) & F.col("streamSeq").between(r["lo"], r["hi"]) for r in ends]
-        part = messages.where(reduce(lambda a, b: a | b, spans, F.lit(False)))
+        part = range_scan(messages, {r["stream"]: r["lo"] - 1 for r in ends}, {r["stream"]: r["hi"] for r in ends})
         return join_small(part, taken, KEY, taken.count())
 
     def commit_batch(self, batch: str, now: Column) -> int:

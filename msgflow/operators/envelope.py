@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from msgflow import schemas
 from msgflow.functions import envelope as E
 from msgflow.options import DEFAULT_DATETIME_FORMAT
-from msgflow.session import join_small
+from msgflow.operators.planning import with_offset
 
 ENVELOPE_COLUMNS = schemas.ENVELOPE.names
 
@@ -26,7 +26,6 @@ def deliver(
 
     ``heads`` gives the last sequence number per stream, from which pending is counted.
     """
-    known = messages.sparkSession.createDataFrame(sorted(heads.items()), "stream string, _head bigint")
     delivered = (F.lit(1) if delivered is None else delivered).cast("long")
     seq = F.col("streamSeq")
     pending = F.col("_head") - seq
@@ -34,7 +33,7 @@ def deliver(
     reply = E.reply_subject(
         F.lit(domain), F.lit(account), F.col("stream"), F.lit(consumer), delivered, seq, seq, nanos, pending
     )
-    return join_small(messages, known, ["stream"], len(heads)).select(
+    return with_offset(messages, heads, "_head").select(
         "subject",
         reply.alias("replyTo"),
         "content",

@@ -8,11 +8,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from msgflow.session import join_small
+
 Offsets = dict[str, int]
 
+# Up to this many streams, per-stream bounds are written into the plan as predicates.
+FEW_STREAMS = 200
+
 
 def latest_offsets(messages: DataFrame) -> DataFrame:
     """Last sequence number per stream, counted from the table itself."""
@@ -42,19 +47,46 @@ def start_offsets(
     return {s: check_offsets(stored).get(s, 0) for s in streams}
 
 
-def in_range(start: Offsets, end: Offsets) -> Column:
-    """Predicate for ``(start, end]`` of each stream in ``end``."""
-    check_offsets(start)
-    tests = [
-        (F.col("stream") == s) & (F.col("streamSeq") > start.get(s, 0)) & (F.col("streamSeq") <= e)
-        for s, e in check_offsets(end).items()
-        if e > start.get(s, 0)
-    ]
-    return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
+def with_offset(df: DataFrame, offsets: Offsets, out: str) -> DataFrame:
+    """Add the offset of the row's stream, 0 when it has none.
 
-
-def range_scan(messages: DataFrame, start: Offsets, end: Offsets) -> DataFrame:
-    return messages.where(in_range(start, end))
+    A few streams become a plain expression without a join, many become a checked broadcast.
+    """
+    known = {s: o for s, o in check_offsets(offsets).items() if o}
+    if len(known) > FEW_STREAMS:
+        frame = df.sparkSession.createDataFrame(sorted(known.items()), f"stream string, `{out}` bigint")
+        return join_small(df, frame, ["stream"], len(known), "left").fillna(0, [out])
+    found = F.lit(None).cast("long")
+    for stream, offset in sorted(known.items()):
+        found = F.when(F.col("stream") == stream, F.lit(offset).cast("long")).otherwise(found)
+    return df.withColumn(out, F.coalesce(found, F.lit(0).cast("long")))
+
+
+def beyond(df: DataFrame, floors: Offsets) -> DataFrame:
+    """Rows after their stream's floor; streams without a floor are kept whole."""
+    if not floors:
+        return df
+    if len(floors) > FEW_STREAMS:
+        return with_offset(df, floors, "_floor").where(F.col("streamSeq") > F.col("_floor")).drop("_floor")
+    listed = [(F.col("stream") == s) & (F.col("streamSeq") > f) for s, f in sorted(check_offsets(floors).items())]
+    return df.where(reduce(lambda a, b: a | b, listed, ~F.col("stream").isin(sorted(floors))))
+
+
+def range_scan(df: DataFrame, start: Offsets, end: Offsets) -> DataFrame:
+    """Rows in ``(start, end]`` of each stream in ``end``; a missing start is the beginning.
+
+    For few streams the bounds are a predicate that prunes directories and row groups.
+    """
+    check_offsets(start)
+    ranges = {s: (start.get(s, 0), e) for s, e in check_offsets(end).items() if e > start.get(s, 0)}
+    if len(ranges) > FEW_STREAMS:
+        rows = [(s, lo, hi) for s, (lo, hi) in sorted(ranges.items())]
+        frame = df.sparkSession.createDataFrame(rows, "stream string, _lo bigint, _hi bigint")
+        hit = (F.col("streamSeq") > F.col("_lo")) & (F.col("streamSeq") <= F.col("_hi"))
+        return join_small(df, frame, ["stream"], len(rows)).where(hit).drop("_lo", "_hi")
+    seq = F.col("streamSeq")
+    tests = [(F.col("stream") == s) & (seq > lo) & (seq <= hi) for s, (lo, hi) in sorted(ranges.items())]
+    return df.where(reduce(lambda a, b: a | b, tests) if tests else F.lit(False))
 
 
 def select_streams(messages: DataFrame, streams: list[str] | None = None, prefix: str | None = None) -> DataFrame:
@@ -69,8 +101,9 @@ def select_streams(messages: DataFrame, streams: list[str] | None = None, prefix
 
 def batch_slices(messages: DataFrame, start: Offsets, batch_size: int) -> DataFrame:
     """Add the number of the read slice, 0, 1, 2 …, each of at most ``batch_size`` messages."""
-    origin = _per_stream(start)
-    return messages.withColumn("slice", F.call_function("div", F.col("streamSeq") - origin - 1, F.lit(batch_size)))
+    position = F.col("streamSeq") - F.col("_start") - 1
+    sliced = with_offset(messages, start, "_start").withColumn("slice", F.call_function("div", position, F.lit(batch_size)))
+    return sliced.drop("_start")
 
 
 def slice_counts(start: Offsets, end: Offsets, batch_size: int) -> Offsets:
@@ -86,17 +119,7 @@ def listener_share(messages: DataFrame, listeners: int) -> DataFrame:
 def next_fetch(messages: DataFrame, floors: Offsets, size: int, max_request_batch: int | None = None) -> DataFrame:
     """The next messages of a consumer after its position, at most ``size`` per stream."""
     size = size if max_request_batch is None else min(size, max_request_batch)
-    position = _per_stream(floors)
-    after = (F.col("streamSeq") > position) & (F.col("streamSeq") <= position + size)
     # The plain bound is the one the Parquet scan can use.
-    bound = max(floors.values(), default=0) + size
-    return messages.where((F.col("streamSeq") <= bound) & after)
-
-
-def _per_stream(offsets: Offsets) -> Column:
-    """The offset of the row's stream, 0 when it has none."""
-    known = {s: o for s, o in check_offsets(offsets).items() if o}
-    if not known:
-        return F.lit(0).cast("long")
-    pairs = [F.lit(x) for s, o in sorted(known.items()) for x in (s, o)]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("stream")), F.lit(0)).cast("long")
+    near = messages.where(F.col("streamSeq") <= max(floors.values(), default=0) + size)
+    after = F.col("streamSeq") - F.col("_floor")
+    return with_offset(near, floors, "_floor").where(after.between(1, size)).drop("_floor")
