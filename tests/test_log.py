@@ -1,0 +1,125 @@
+import glob
+import os
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from msgflow.sources.log import MessageLog
+from msgflow.sources.sink import publish, publish_messages, publish_text
+from tests.helpers import fill, keys, messages, numbered
+
+
+def test_numbers_are_dense_and_follow_the_order(spark, log):
+    assert fill(log, 1000, streams=3) == 1000
+    rows = log.scan().select("stream", "streamSeq", F.col("content").cast("string").alias("c")).collect()
+    got = {(r.stream, r.streamSeq): r.c for r in rows}
+    assert got == {(f"S-{i % 3}", i // 3 + 1): f"This is msg {i}" for i in range(1000)}
+    assert log.heads() == {"S-0": 334, "S-1": 333, "S-2": 333}
+
+
+def test_second_batch_goes_on_and_replay_is_a_no_op(spark, log):
+    fill(log, 100, streams=2, batch="b0")
+    assert fill(log, 50, streams=3, batch="b1") == 50
+    assert fill(log, 50, streams=3, batch="b1") == 0
+    assert log.heads() == {"S-0": 67, "S-1": 67, "S-2": 16}
+    assert keys(log.scan()) == [(s, n) for s, h in sorted(log.heads().items()) for n in range(1, h + 1)]
+
+
+def test_reopened_log_sees_the_same(spark, log):
+    fill(log, 10)
+    again = MessageLog(spark, log.path)
+    assert again.heads() == {"S-0": 10}
+    assert again.scan().count() == 10
+
+
+def test_equal_order_values_of_a_hot_stream_are_still_split(spark, log):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        same = numbered(spark, 4000).withColumn("id", F.lit(1))
+        publish(log, same, F.col("stream"), "b", order_by=["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert keys(log.scan()) == [("S-0", n) for n in range(1, 4001)]
+    log.index.refresh()
+    parts = {f for f, *_ in log.index.files("S-0", 0, 4000)}
+    assert len(parts) >= 1 and sum(r for *_, r in log.index.files("S-0", 0, 4000)) == 4000
+
+
+def test_hot_stream_is_laid_out_over_several_tasks(spark, log):
+    rows = numbered(spark, 8000).withColumn("id", F.lit(1))
+    laid = rows.withColumn("_position", F.monotonically_increasing_id()).repartitionByRange(4, "stream", "id", "_position")
+    assert laid.groupBy(F.spark_partition_id()).count().count() == 4
+
+
+def test_one_stream_without_order_is_not_shuffled(spark, log):
+    publish(log, numbered(spark, 500).repartition(4), "ONE", "b")
+    rows = log.scan().select("streamSeq").collect()
+    assert sorted(r.streamSeq for r in rows) == list(range(1, 501))
+
+
+def test_unfinished_batch_is_invisible(spark, log):
+    fill(log, 10, batch="good")
+    numbered(spark, 5).select(
+        "subject", F.col("data").alias("content"), "headers", F.current_timestamp().alias("timestamp"),
+        (F.col("id") + 11).alias("streamSeq"), "stream",
+    ).write.partitionBy("stream").parquet(f"{log.path}/data/batch=broken")
+    assert log.scan().count() == 10
+    assert log.heads() == {"S-0": 10}
+    assert fill(log, 5, batch="broken") == 5  # a retry replaces what the failed attempt left
+    assert keys(log.scan()) == [("S-0", n) for n in range(1, 16)]
+
+
+def test_empty_log_and_empty_batch(spark, log):
+    assert log.scan().count() == 0 and log.heads() == {}
+    assert fill(log, 0, batch="empty") == 0
+    assert log.scan().count() == 0
+    assert fill(log, 3, batch="next") == 3
+    assert log.scan().columns == ["subject", "content", "headers", "timestamp", "streamSeq", "stream"]
+
+
+def test_bad_batch_id(spark, log):
+    with pytest.raises(ValueError, match="batch id"):
+        fill(log, 1, batch="a/b")
+
+
+def test_row_groups_are_bounded_and_staging_is_gone(spark, log):
+    fill(log, 150_000)
+    files = glob.glob(f"{log.path}/data/**/*.parquet", recursive=True)
+    sizes = [pq.ParquetFile(f).metadata.row_group(g).num_rows for f in files for g in range(pq.ParquetFile(f).num_row_groups)]
+    assert max(sizes) <= 65_536 and sum(sizes) == 150_000
+    assert os.listdir(f"{log.path}/staging") == []
+
+
+def test_stream_and_sequence_prune_the_scan(spark, log):
+    fill(log, 100, streams=4)
+    plan = log.scan().where("stream = 'S-1' and streamSeq > 5").select("subject")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(stream" in text and "GreaterThan(streamSeq,5)" in text
+    assert "ReadSchema: struct<subject:string,streamSeq:bigint>" in text
+
+
+def test_odd_stream_names(spark, log):
+    df = messages(spark, [("s", "x")])
+    for i, name in enumerate(("2024", "a b/c=d%", "ü:1")):
+        publish(log, df, name, f"b{i}")
+    assert keys(log.scan()) == sorted([("2024", 1), ("a b/c=d%", 1), ("ü:1", 1)])
+    log.index.refresh()
+    for name in ("2024", "a b/c=d%", "ü:1"):
+        ((file, *_),) = log.index.files(name, 0, 1)
+        assert os.path.exists(f"{log.path}/{file}")
+
+
+def test_guard_stops_the_whole_batch(spark, log):
+    rows = messages(spark, [("done.a", "1"), ("other", "2")])
+    with pytest.raises(Exception, match="is not in stream"):
+        publish(log, rows, "ST", "b", subjects=("done.>",))
+    assert log.scan().count() == 0
+
+
+def test_publish_helpers(spark, log):
+    df = spark.createDataFrame([("s", "t0", bytearray(b"m"))], "subject string, dateTime string, content binary")
+    publish_messages(log, df, "A", "b1")
+    publish_text(log, spark.createDataFrame([("x",), ("y",)], "t string"), "B", "sub", "t", "b2")
+    rows = {(r.stream, r.subject, bytes(r.content), str(r.headers)) for r in log.scan().collect()}
+    assert rows == {("A", "s", b"m", "{'originTimestamp': ['t0']}"), ("B", "sub", b"x", "{}"), ("B", "sub", b"y", "{}")}
