@@ -36,14 +36,16 @@ def pending_messages(messages: DataFrame, acks: DataFrame, floors: dict[str, int
     return beyond(messages, floors).join(_acked_once(beyond(acks, floors)), KEY, "left_anti")
 
 
-def pending_counts(heads: DataFrame, acks: DataFrame) -> DataFrame:
+def pending_counts(heads: DataFrame, acks: DataFrame, floors: dict[str, int] | None = None) -> DataFrame:
     """Unacknowledged messages per stream from the acks alone: the log is not read.
 
     ``heads`` has stream and head. Acks are folded into bitmaps before the shuffle.
     """
-    acked = _ack_bitmaps(acks).groupBy("stream").agg(F.sum("_count").alias("_acked"))
-    return heads.join(acked, "stream", "left").select(
-        "stream", (F.col("head") - F.coalesce(F.col("_acked"), F.lit(0))).alias("pending")
+    floors = floors or {}
+    acked = _ack_bitmaps(beyond(acks, floors)).groupBy("stream").agg(F.sum("_count").alias("_acked"))
+    joined = with_offset(heads.join(acked, "stream", "left"), floors, "_floor")
+    return joined.select(
+        "stream", (F.col("head") - F.col("_floor") - F.coalesce(F.col("_acked"), F.lit(0))).alias("pending")
     )
 
 
@@ -57,34 +59,39 @@ def _ack_bitmaps(acks: DataFrame) -> DataFrame:
     )
 
 
-def ack_floors(heads: DataFrame, acks: DataFrame) -> DataFrame:
+def ack_floors(heads: DataFrame, acks: DataFrame, floors: dict[str, int] | None = None) -> DataFrame:
     """Per stream the highest number up to which every message is acknowledged, and the lag behind the end.
 
     First the first span that is not complete is found from span counts. Only the acks of that one
     span per stream are then searched for the first gap; no stream is sorted or gathered as a whole.
+    Floors known from before spare the reading of what lies below them.
     """
-    spans = _ack_bitmaps(acks).where(F.col("_count") == BITMAP_SPAN).select("stream", "_span")
+    floors = floors or {}
+    newer = beyond(acks, floors)
+    floor_span = F.call_function("div", F.col("_floor"), F.lit(BITMAP_SPAN)) + 1
+    counted = with_offset(_ack_bitmaps(newer), floors, "_floor")
+    below = F.when(F.col("_span") == floor_span, F.col("_floor") % BITMAP_SPAN).otherwise(F.lit(0))
+    spans = counted.where(F.col("_count") + below == BITMAP_SPAN).select("stream", "_span")
     gaps = (
         spans.select("stream", (F.col("_span") + 1).alias("_span"))
-        .union(heads.select("stream", F.lit(1).cast("long").alias("_span")))
+        .union(with_offset(heads, floors, "_floor").select("stream", floor_span.alias("_span")))
         .join(spans, ["stream", "_span"], "left_anti")
         .groupBy("stream")
         .agg(F.min("_span").alias("_gap"))
         .collect()  # one row per stream
     )
-    before = {r["stream"]: (r["_gap"] - 1) * BITMAP_SPAN for r in gaps}
-    near = range_scan(acks, before, {s: b + BITMAP_SPAN for s, b in before.items()}).select(*KEY).distinct()
+    # The last number known to be acknowledged before the gap: the end of the span before, or the floor.
+    before = {r["stream"]: max((r["_gap"] - 1) * BITMAP_SPAN, floors.get(r["stream"], 0)) for r in gaps}
+    ends = {r["stream"]: r["_gap"] * BITMAP_SPAN for r in gaps}
+    near = range_scan(newer, before, ends).select(*KEY).distinct()
     starts = heads.sparkSession.createDataFrame(sorted(before.items()), "stream string, streamSeq bigint")
-    floors = (
+    found = (
         near.union(starts)
         .join(near.select("stream", (F.col("streamSeq") - 1).alias("streamSeq")), KEY, "left_anti")
         .groupBy("stream")
-        .agg(F.min("streamSeq").alias("_floor"))
-    )
-    floor = F.coalesce(F.col("_floor"), F.lit(0))
-    return heads.join(floors, "stream", "left").select(
-        "stream", floor.alias("ack_floor"), "head", (F.col("head") - floor).alias("lag")
+        .agg(F.min("streamSeq").alias("ack_floor"))
     )
+    return heads.join(found, "stream").select("stream", "ack_floor", "head", (F.col("head") - F.col("ack_floor")).alias("lag"))
 
 
 def delivery_counts(deliveries: DataFrame) -> DataFrame:
@@ -127,26 +134,34 @@ def first_unacked(
     listeners: int | None = None,
     subjects: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The first k messages not in ``excluded``, per stream, or per listener over all streams.
-
-    Only the part of the log that can hold them is read: numbers are dense, so among the next
-    shares * (k + excluded beyond the floor) numbers of a stream every share has at least k open
-    ones. A subject filter voids that bound, so then the whole rest of the log is looked at.
-    """
+    """The first k messages not in ``excluded``, per stream, or per listener over all streams."""
     shut = _acked_once(beyond(excluded, floors))
     open_messages = beyond(messages, floors).where(subject_filter(subjects))
     if not subjects:
-        shares = listeners or 1
-        counts = shut.groupBy("stream").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per stream
-        taken = {r["stream"]: r["n"] for r in counts}
-        reach = {s: floors.get(s, 0) + shares * taken.get(s, 0) for s in {*floors, *taken}}
-        bound = max(reach.values(), default=0) + shares * k
-        near = with_offset(open_messages.where(F.col("streamSeq") <= bound), reach, "_reach")
-        open_messages = near.where(F.col("streamSeq") <= F.col("_reach") + shares * k).drop("_reach")
-    open_messages = open_messages.join(shut, KEY, "left_anti")
+        reach, rest = search_ends(shut, floors, k, listeners or 1)
+        near = open_messages.where(F.col("streamSeq") <= max(reach.values(), default=0) + rest)
+        extra = {s: r - rest for s, r in reach.items()}
+        open_messages = with_offset(near, extra, "_extra").where(F.col("streamSeq") <= F.col("_extra") + rest).drop("_extra")
+    return _pick(open_messages, shut, k, listeners)
+
+
+def search_ends(shut: DataFrame, floors: dict[str, int], k: int, shares: int) -> tuple[dict[str, int], int]:
+    """How far each stream must be read to find k open messages for every share of it.
+
+    Numbers are dense, so among the next shares * (k + shut ones beyond the floor) numbers every
+    share has at least k open ones. The second value is the end for streams not named in the first.
+    A subject filter voids this bound; then the whole rest of the log has to be looked at.
+    """
+    counts = shut.groupBy("stream").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per stream
+    taken = {r["stream"]: r["n"] for r in counts}
+    return {s: floors.get(s, 0) + shares * (k + taken.get(s, 0)) for s in {*floors, *taken}}, shares * k
+
+
+def _pick(open_messages: DataFrame, shut: DataFrame, k: int, listeners: int | None) -> DataFrame:
+    left = open_messages.join(shut, KEY, "left_anti")
     if listeners is None:
-        return first_in_stream(open_messages, ["stream"], k)
-    shared = open_messages.withColumn("listener", F.pmod(F.col("streamSeq"), F.lit(listeners)))
+        return first_in_stream(left, ["stream"], k)
+    shared = left.withColumn("listener", F.pmod(F.col("streamSeq"), F.lit(listeners)))
     return first_in_stream(shared, ["listener"], k, ties=["stream"])
 
 
@@ -200,9 +215,13 @@ class Delivery:
             held = held.where(F.col("delivered_at") + F.make_dt_interval(secs=F.lit(ack_wait)) > now)
         excluded = self.acks().select(*KEY).union(held.select(*KEY))
         floors = self.floors()
-        picked = first_unacked(
-            self.log.scan().select(*KEY, "subject"), excluded, floors, fetch, listeners, subjects
-        ).select(*KEY, "listener")
+        shut = _acked_once(beyond(excluded, floors))
+        if subjects:
+            open_messages = beyond(self.log.scan(), floors).where(subject_filter(subjects))
+        else:
+            reach, rest = search_ends(shut, floors, fetch, listeners)
+            open_messages = self.log.scan_range(floors, {s: reach.get(s, rest) for s in self.log.heads()})
+        picked = _pick(open_messages.select(*KEY), shut, fetch, listeners)
         earlier = beyond(self.deliveries(), floors).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
         rows = picked.join(earlier, KEY, "left").select(
             *KEY, now.alias("delivered_at"), (F.coalesce("_n", F.lit(0)) + 1).alias("attempt"), "listener"
@@ -213,14 +232,13 @@ class Delivery:
     def batch_messages(self, batch: str) -> DataFrame:
         """The messages of a pulled batch; empty for an unknown one."""
         folder = self._folder("deliveries", batch)
-        messages = self.log.scan()
         if not files.exists(folder):
-            empty = messages.where(F.lit(False))
+            empty = self.log.scan_range({}, {})
             return empty.withColumns({"attempt": F.lit(1).cast("long"), "listener": F.lit(0).cast("long")})
         taken = self.spark.read.schema("stream string, streamSeq bigint, attempt bigint, listener bigint").parquet(folder)
         # The batch spans a short piece of each stream; its ends let the log scan skip the rest.
         ends = taken.groupBy("stream").agg(F.min("streamSeq").alias("lo"), F.max("streamSeq").alias("hi")).collect()
-        part = range_scan(messages, {r["stream"]: r["lo"] - 1 for r in ends}, {r["stream"]: r["hi"] for r in ends})
+        part = self.log.scan_range({r["stream"]: r["lo"] - 1 for r in ends}, {r["stream"]: r["hi"] for r in ends})
         return join_small(part, taken, KEY, taken.count())
 
     def commit_batch(self, batch: str, now: Column) -> int:
@@ -245,7 +263,7 @@ class Delivery:
         subjects = tuple(self.store.settings().get("subjects", []))
         heads = self.log.heads_frame()
         if not subjects:
-            found = ack_floors(heads, self.acks()).select("stream", "ack_floor")
+            found = ack_floors(heads, self.acks(), self.floors()).select("stream", "ack_floor")
         else:
             wanted = self.log.scan().where(subject_filter(subjects)).select(*KEY)
             still_open = pending_messages(wanted, self.acks(), self.floors())

@@ -135,7 +135,7 @@ class SinkOptions:
     path: str
     stream: str
     subjects: tuple[str, ...] = ()
-    writer: str = "writer"
+    writer: str | None = None
 
     @classmethod
     def from_options(cls, options: Mapping[str, object]) -> SinkOptions:
@@ -144,5 +144,5 @@ class SinkOptions:
             path=read.required("path"),
             stream=read.required("stream"),
             subjects=read.names("subjects"),
-            writer=read.text("writer", "writer"),
+            writer=read.text("writer"),
         )

@@ -136,7 +136,7 @@ def stream_durable(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _halves(spark, sf_dir)
     for part, batch in ((first, "one"), (second, "two")):
         X.publish_events(log, part, batch)
-        sink = {"path": target, "stream": "OUT", "writer": batch}
+        sink = {"path": target, "stream": "OUT"}
         _run(spark, relay_stream(spark, source, sink, r"(.+)", "done.$1"), scratch(spark, "durable-ck"))
     relayed = MessageLog(spark, target).scan()
     return relayed.select("subject", F.col("content").cast("string").alias("content"))
@@ -177,7 +177,7 @@ def stream_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = X.event_log(spark, sf_dir)
     target = scratch(spark, "sink-target")
     rows = relay_rows(read_stream(spark, **_source(log, subjects="events.click.>")), r"(.+)", "copy.$1")
-    _run(spark, write_stream(rows, path=target, stream="COPY", writer="w"), scratch(spark, "sink-ck"))
+    _run(spark, write_stream(rows, path=target, stream="COPY"), scratch(spark, "sink-ck"))
     return MessageLog(spark, target).scan().select("stream", "streamSeq")
 
 

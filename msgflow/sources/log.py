@@ -21,12 +21,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from msgflow import schemas
+from msgflow.operators.planning import range_scan
 from msgflow.options import LOG_ROW_GROUP
 from msgflow.session import join_small
 from msgflow.sources import files
 from msgflow.sources.index import LogIndex
 
 
+# Up to this many data files are named one by one in a scan; beyond, the folders are listed.
+FEW_FILES = 2000
+
+
+def _escaped(path: str) -> str:
+    """A path with the signs escaped that Spark would read as a pattern."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
 class MessageLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -45,6 +55,24 @@ class MessageLog:
             table = table.where(~F.col("batch").isin(open_batches))
         return table.drop("batch")
 
+    def scan_range(self, start: dict[str, int], end: dict[str, int]) -> DataFrame:
+        """Messages in ``(start, end]`` of each stream, reading only the data files that can hold them.
+
+        The files come from the manifests, so a short range of a huge log needs no listing of it.
+        """
+        self.index.refresh()
+        chosen = [
+            f"{self.path}/{file}"
+            for stream, upto in end.items()
+            for file, *_ in self.index.files(stream, start.get(stream, 0), upto)
+        ]
+        if not chosen:
+            return self.spark.createDataFrame([], schemas.LOG).drop("batch")
+        if len(chosen) > FEW_FILES:
+            return range_scan(self.scan(), start, end)
+        reader = self.spark.read.schema(schemas.LOG).option("basePath", f"{self.path}/data")
+        return range_scan(reader.parquet(*[_escaped(f) for f in chosen]).drop("batch"), start, end)
+
     def heads(self) -> dict[str, int]:
         """Last sequence number per stream, from the manifests."""
         return self.index.heads()

@@ -48,13 +48,25 @@ def publish_text(log: MessageLog, df: DataFrame, stream: str, subject: str, text
     return publish(log, text_rows(df, subject, text), stream, batch)
 
 
+def batch_name(batch: DataFrame, batch_id: int, writer: str | None) -> str:
+    """Id under which a micro-batch is appended.
+
+    Without a writer name it contains the streaming query's id, which lives in the checkpoint: a
+    replayed batch has the same name, and a query on a new checkpoint never meets an old one.
+    """
+    name = writer or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not name:
+        raise ValueError("Outside a streaming query the option 'writer' is needed")
+    return f"{name}-{batch_id}"
+
+
 def batch_writer(options: Mapping[str, object]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends each micro-batch once, also when it is replayed."""
     parsed = SinkOptions.from_options(options)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         log = MessageLog(batch.sparkSession, parsed.path)
-        publish(log, batch, parsed.stream, f"{parsed.writer}-{batch_id}", parsed.subjects)
+        publish(log, batch, parsed.stream, batch_name(batch, batch_id, parsed.writer), parsed.subjects)
 
     return write
 

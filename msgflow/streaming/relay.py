@@ -16,7 +16,7 @@ from msgflow.operators.routing import filter_subjects
 from msgflow.options import SinkOptions, SourceOptions
 from msgflow.sources.log import MessageLog
 from msgflow.sources.reading import read_stream
-from msgflow.sources.sink import publish
+from msgflow.sources.sink import batch_name, publish
 
 
 def relay_rows(messages: DataFrame, pattern: str, replacement: str) -> DataFrame:
@@ -50,7 +50,7 @@ def relay_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        name = f"{target.writer}-{batch_id}"
+        name = batch_name(batch, batch_id, target.writer)
         acking = bool(read.consumer) and not read.ack_none
         if acking:
             batch = batch.persist(StorageLevel.DISK_ONLY)  # read twice: messages, then acks

@@ -55,6 +55,11 @@ def test_ack_floor_lag_and_pending(spark, numbers):
     assert got == {"a": (floor, 100_000 - floor), "b": (2, 2), "c": (0, 7)}
     left = {r.stream: r.pending for r in D.pending_counts(known, acks).collect()}
     assert left == {"a": 100_000 - len(numbers), "b": 1, "c": 7}
+    for earlier in {0, floor // 2, min(floor, 32768), floor}:
+        floors = {"a": earlier, "b": 1}
+        again = {r.stream: (r.ack_floor, r.lag) for r in D.ack_floors(known, acks, floors).collect()}
+        assert again == got
+        assert {r.stream: r.pending for r in D.pending_counts(known, acks, floors).collect()} == left
 
 
 def test_pending_messages_with_and_without_floors(spark, log):

@@ -78,6 +78,21 @@ def test_empty_log_and_empty_batch(spark, log):
     assert log.scan().columns == ["subject", "content", "headers", "timestamp", "streamSeq", "stream"]
 
 
+@pytest.mark.parametrize("few", [2000, 0], ids=["files", "folders"])
+def test_range_scan_reads_chosen_files(spark, log, monkeypatch, few):
+    from msgflow.sources import log as module
+
+    monkeypatch.setattr(module, "FEW_FILES", few)
+    for i in range(3):
+        fill(log, 20, streams=2, batch=f"b{i}")
+    part = log.scan_range({"S-0": 12}, {"S-0": 22, "S-9": 5})
+    assert keys(part) == [("S-0", n) for n in range(13, 23)]
+    assert part.columns == log.scan().columns
+    if few:
+        assert len({f.rsplit("batch=", 1)[1].split("/")[0] for f in part.inputFiles()}) == 2
+    assert log.scan_range({}, {}).count() == 0
+
+
 def test_bad_batch_id(spark, log):
     with pytest.raises(ValueError, match="batch id"):
         fill(log, 1, batch="a/b")
@@ -108,6 +123,7 @@ def test_odd_stream_names(spark, log):
     for name in ("2024", "a b/c=d%", "ü:1"):
         ((file, *_),) = log.index.files(name, 0, 1)
         assert os.path.exists(f"{log.path}/{file}")
+        assert keys(log.scan_range({}, {name: 1})) == [(name, 1)]
 
 
 def test_guard_stops_the_whole_batch(spark, log):

@@ -76,3 +76,4 @@ def test_bad_values(bad):
 def test_sink_options():
     options = SinkOptions.from_options({"path": "/p", "stream": "s", "subjects": "a.>, b", "writer": "w1"})
     assert options == SinkOptions("/p", "s", ("a.>", "b"), "w1")
+    assert SinkOptions.from_options({"path": "/p", "stream": "s"}).writer is None

@@ -1,3 +1,4 @@
+import os
 import time
 
 import pytest
@@ -181,11 +182,28 @@ def test_relay_acks_and_replay(spark, log):
     consumer = Delivery(log, "c")
     assert keys(consumer.acks()) == keys(log.scan())
     assert consumer.floors() == {"S-0": 10, "S-1": 10}
-    # The same batch id again, as after a crash between the append and the checkpoint commit.
+    # Nothing is left for the consumer, whatever the checkpoint.
     run(writer(), scratch(spark, "c"))
     assert MessageLog(spark, target).scan().count() == 20
 
 
+def test_replayed_batch_is_appended_once(spark, log):
+    """The last commit is taken back, as after a crash between the append and the checkpoint commit."""
+    fill(log, 20)
+    target, checkpoint = scratch(spark, "t"), scratch(spark, "c")
+    writer = lambda: relay_stream(
+        spark, {"path": log.path, "stream": "S-0"}, {"path": target, "stream": "OUT"}, r"(.+)", "done.$1"
+    )
+    run(writer(), checkpoint)
+    for name in ("0", ".0.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    run(writer(), checkpoint)
+    assert MessageLog(spark, target).scan().count() == 20
+    # A query on a new checkpoint is another writer: its batches are not taken for replays.
+    run(writer(), scratch(spark, "c"))
+    assert MessageLog(spark, target).scan().count() == 40
+
+
 def test_relay_refuses_foreign_subjects(spark, log):
     fill(log, 5)
     writer = relay_stream(
