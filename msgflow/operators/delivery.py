@@ -199,29 +199,43 @@ class Delivery:
         return self._table("acks", schemas.ACKS)
 
     def pull_batch(
-        self, batch: str, now: Column, fetch: int, listeners: int = 1, ack_wait: int = 90, subjects: tuple[str, ...] = ()
+        self,
+        batch: str,
+        now: Column,
+        fetch: int,
+        listeners: int = 1,
+        ack_wait: int | None = None,
+        subjects: tuple[str, ...] | None = None,
     ) -> DataFrame:
         """Deliver the next open messages, at most ``fetch`` per listener, as a finite batch.
 
-        Acknowledged messages and those still within their ack wait are left out.
+        Acknowledged messages and those still within their ack wait are left out. What is not given
+        comes from the consumer's settings; its cap on unacknowledged messages holds over all pulls.
         """
         folder = self._folder("deliveries", batch)
         if files.exists(f"{folder}/_SUCCESS"):
             return self.batch_messages(batch)
         settings = self.store.settings()
         fetch = min(fetch, int(settings.get("max_request_batch", fetch)))
-        held = self.deliveries()
+        ack_wait = int(settings.get("ack_wait", 90)) if ack_wait is None else ack_wait
+        subjects = tuple(settings.get("subjects", ())) if subjects is None else subjects
+        floors = self.floors()
+        acked = beyond(self.acks(), floors).select(*KEY)
+        held = beyond(self.deliveries(), floors)
         if not self.ack_none:
             held = held.where(F.col("delivered_at") + F.make_dt_interval(secs=F.lit(ack_wait)) > now)
-        excluded = self.acks().select(*KEY).union(held.select(*KEY))
-        floors = self.floors()
-        shut = _acked_once(beyond(excluded, floors))
+        held = held.select(*KEY)
+        shut = _acked_once(acked.union(held))
         if subjects:
             open_messages = beyond(self.log.scan(), floors).where(subject_filter(subjects))
         else:
             reach, rest = search_ends(shut, floors, fetch, listeners)
             open_messages = self.log.scan_range(floors, {s: reach.get(s, rest) for s in self.log.heads()})
         picked = _pick(open_messages.select(*KEY), shut, fetch, listeners)
+        cap = int(settings.get("max_ack_pending", 0))
+        if cap > 0 and not self.ack_none:
+            in_flight = _acked_once(held).join(_acked_once(acked), KEY, "left_anti").count()
+            picked = picked.orderBy("streamSeq", "stream").limit(max(0, cap - in_flight))
         earlier = beyond(self.deliveries(), floors).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
         rows = picked.join(earlier, KEY, "left").select(
             *KEY, now.alias("delivered_at"), (F.coalesce("_n", F.lit(0)) + 1).alias("attempt"), "listener"

@@ -92,6 +92,7 @@ class SourceOptions:
     idle_timeout: float | None = None
     datetime_format: str = DEFAULT_DATETIME_FORMAT
     envelope: str = "full"
+    columns: tuple[str, ...] = ()
     domain: str = ""
     account: str = ""
 
@@ -125,6 +126,7 @@ class SourceOptions:
             idle_timeout=read.number("idle_timeout"),
             datetime_format=read.text("datetime_format", DEFAULT_DATETIME_FORMAT),
             envelope=read.choice("envelope", "full", ENVELOPES),
+            columns=read.names("columns"),
             domain=read.text("domain", ""),
             account=read.text("account", ""),
         )

@@ -78,17 +78,14 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_listeners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three listeners share the log; together they give every message once."""
     log = X.event_log(spark, sf_dir)
-    shared = read_stream(spark, **_source(log, listeners=3)).select("stream", "streamSeq")
-    return _to_files(spark, shared)
+    return _to_files(spark, read_stream(spark, **_source(log, listeners=3, columns="stream,streamSeq")))
 
 
 def stream_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subject filter inside the source."""
     log = X.event_log(spark, sf_dir)
-    found = read_stream(spark, **_source(log, subjects="events.purchase.>, events.*.7")).select(
-        "subject", "stream", "streamSeq"
-    )
-    return _to_files(spark, found)
+    wanted = {"subjects": "events.purchase.>, events.*.7", "columns": "subject,stream,streamSeq"}
+    return _to_files(spark, read_stream(spark, **_source(log, **wanted)))
 
 
 def stream_text5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +107,7 @@ def stream_inflate(spark: SparkSession, sf_dir: str) -> DataFrame:
         E.utf8_bytes(F.col("text")).alias("data"),
     )
     publish(log, X.deflate(docs, "data"), "DOCS", "docs")
-    messages = read_stream(spark, path=log.path, stream="DOCS", codec="zlib")
+    messages = read_stream(spark, path=log.path, stream="DOCS", codec="zlib", columns="subject,content")
     text = messages.select("subject", F.col("content").cast("string").alias("text"))
     return _to_files(spark, text)
 
@@ -120,7 +117,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = X.new_log(spark, "resume")
     first, second = _halves(spark, sf_dir)
     folder, checkpoint = scratch(spark, "resume-out"), scratch(spark, "resume-ck")
-    source = read_stream(spark, **_source(log)).select("stream", "streamSeq", "subject")
+    source = read_stream(spark, **_source(log, columns="stream,streamSeq,subject"))
     X.publish_events(log, first, "one")
     _to_files(spark, source, folder, checkpoint)
     X.publish_events(log, second, "two")
@@ -147,7 +144,7 @@ def stream_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = X.new_log(spark, "reset")
     first, second = _halves(spark, sf_dir)
     folder, checkpoint = scratch(spark, "reset-out"), scratch(spark, "reset-ck")
-    source = read_stream(spark, **_source(log, reset_on_restart="true")).select("stream", "streamSeq")
+    source = read_stream(spark, **_source(log, reset_on_restart="true", columns="stream,streamSeq"))
     X.publish_events(log, first, "one")
     _to_files(spark, source, folder, checkpoint)
     X.publish_events(log, second, "two")
@@ -200,7 +197,7 @@ def stream_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = X.event_log(spark, sf_dir)
-    messages = read_stream(spark, **_source(log))
+    messages = read_stream(spark, **_source(log, columns="subject,timestamp"))
     counts = windowed_counts(messages, "6 hours", "1 minute", subject_token(F.col("subject"), 2))
     flat = counts.select(
         F.unix_micros("window.start").alias("start_us"), "key", "messages"

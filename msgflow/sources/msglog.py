@@ -78,7 +78,11 @@ class MessageLogSource(DataSource):
         return "msglog"
 
     def schema(self) -> StructType:
-        return schemas.ENVELOPE
+        columns = SourceOptions.from_options(self.options).columns
+        unknown = [c for c in columns if c not in schemas.ENVELOPE.names]
+        if unknown:
+            raise ValueError(f"Unknown envelope columns: {', '.join(unknown)}")
+        return StructType([schemas.ENVELOPE[c] for c in columns]) if columns else schemas.ENVELOPE
 
     def streamReader(self, schema: StructType) -> MessageLogStreamReader:
         options = SourceOptions.from_options(self.options)
@@ -92,6 +96,7 @@ class MessageLogStreamReader(DataSourceStreamReader):
         self.options = options
         self.index = LogIndex(options.path)
         self.patterns = parse_patterns(options.subjects)
+        self.columns = options.columns or tuple(_ARROW_ENVELOPE.names)
         self.store = ConsumerStore(options.path, options.consumer) if options.consumer else None
         self.max_ack_pending = 0
         if self.store is not None:
@@ -158,54 +163,48 @@ class MessageLogStreamReader(DataSourceStreamReader):
         subject_test = _subject_expression(self.patterns)
         if subject_test is not None:
             wanted = wanted & subject_test
+        stored = [c for c in ("subject", "content", "headers") if c in self.columns]
+        if {"timestamp", "replyTo"} & set(self.columns):
+            stored.append("timestamp")
         scanner = ds.dataset(path, filesystem=system, format="parquet").scanner(
-            columns=["subject", "content", "headers", "timestamp", "streamSeq"],
+            columns=[*stored, "streamSeq"],
             filter=wanted,
             batch_size=self.options.batch_size,
             use_threads=False,  # Spark already runs one task per core
         )
+        inflate = "content" in self.columns and self.options.codec not in PLAIN_CODECS
+        schema = pa.schema([_ARROW_ENVELOPE.field(c) for c in self.columns])
         for batch in scanner.to_batches():
             if not batch.num_rows:
                 continue
-            full = self._envelope(batch, run)
-            if self.options.codec in PLAIN_CODECS:
-                yield full
-            else:
-                for piece in inflate_batch(full, "content", self.options.strict):
-                    yield pa.RecordBatch.from_arrays(piece.columns, schema=_ARROW_ENVELOPE)
-
-    def _envelope(self, batch: pa.RecordBatch, run: Slice) -> pa.RecordBatch:
-        n = batch.num_rows
+            made = pa.RecordBatch.from_arrays([self._column(c, batch, run) for c in self.columns], schema=schema)
+            if not inflate:
+                yield made
+                continue
+            for piece in inflate_batch(made, "content", self.options.strict):
+                yield pa.RecordBatch.from_arrays(piece.columns, schema=schema)
+
+    def _column(self, name: str, batch: pa.RecordBatch, run: Slice) -> pa.Array:
+        """One envelope column of a batch of stored messages."""
+        kind = _ARROW_ENVELOPE.field(name).type
+        if name in ("subject", "content", "headers"):
+            return batch.column(name).cast(kind)
+        fixed = {"domain": self.options.domain, "stream": run.stream, "consumer": self.options.consumer, "delivered": 1}
+        if name in fixed:
+            return pa.repeat(pa.scalar(fixed[name], kind), batch.num_rows)
         seq = batch.column("streamSeq").cast(pa.int64())
-        micros = batch.column("timestamp").cast(pa.timestamp("us", tz="UTC"))
-        whole_ms = pc.multiply(pc.divide(micros.cast(pa.int64()), 1000), 1000)
-        consumer = self.options.consumer or ""
+        if name in ("streamSeq", "consumerSeq"):
+            return seq
         pending = pc.subtract(pa.scalar(run.end, pa.int64()), seq)
-        seq_text = seq.cast(pa.string())
-        reply = pc.binary_join_element_wise(
-            f"{REPLY_PREFIX}.{self.options.domain}.{self.options.account}.{run.stream}.{consumer}.1",
-            seq_text,
-            seq_text,
-            pc.multiply(micros.cast(pa.int64()), 1000).cast(pa.string()),
-            pending.cast(pa.string()),
-            ".",
-        )
-        text = pa.string()
-        arrays = [
-            batch.column("subject").cast(text),
-            reply,
-            batch.column("content").cast(pa.binary()),
-            batch.column("headers").cast(_ARROW_ENVELOPE.field("headers").type),
-            pa.repeat(pa.scalar(self.options.domain, text), n),
-            pa.repeat(pa.scalar(run.stream, text), n),
-            pa.repeat(pa.scalar(self.options.consumer, text), n),
-            pa.repeat(pa.scalar(1, pa.int64()), n),
-            seq,
-            seq,
-            whole_ms.cast(pa.timestamp("us", tz="UTC")),
-            pending,
-        ]
-        return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_ENVELOPE)
+        if name == "pending":
+            return pending
+        micros = batch.column("timestamp").cast(pa.timestamp("us", tz="UTC")).cast(pa.int64())
+        if name == "timestamp":
+            return pc.multiply(pc.divide(micros, 1000), 1000).cast(kind)
+        head = (REPLY_PREFIX, self.options.domain, self.options.account, run.stream, self.options.consumer or "", "1")
+        seq_text = seq.cast(kind)
+        nanos = pc.multiply(micros, 1000).cast(kind)
+        return pc.binary_join_element_wise(".".join(head), seq_text, seq_text, nanos, pending.cast(kind), ".")
 
 
 _ARROW_ENVELOPE = pa.schema(

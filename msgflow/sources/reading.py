@@ -25,9 +25,12 @@ def register(spark: SparkSession) -> None:
 def read_stream(spark: SparkSession, received_at: Column | None = None, **options: object) -> DataFrame:
     """A stream over a message log in the wanted envelope.
 
-    ``received_at`` replaces the wall clock as receive time of text5 envelopes.
+    ``received_at`` replaces the wall clock as receive time of text5 envelopes. The option
+    ``columns`` names the full-envelope columns to read; Spark cannot prune a Python source by itself.
     """
     parsed = SourceOptions.from_options(options)
+    if parsed.columns and parsed.envelope != "full":
+        raise ValueError("Option 'columns' is for full envelopes")
     register(spark)
     plain = {k: str(v) for k, v in options.items() if k.lower() != "envelope" and v is not None}
     messages = spark.readStream.format("msglog").options(**plain).load()

@@ -231,3 +231,15 @@ def test_filtered_consumer_position(spark, log):
     consumer.pull_batch("q", at(2), fetch=9, subjects=("s.b",))
     consumer.commit_batch("q", at(3))
     assert consumer.advance_floors() == {"S-0": 15}
+
+
+def test_cap_on_unacknowledged_messages_over_pulls(spark, log):
+    fill(log, 30, streams=2)
+    consumer = D.Delivery(log, "c")
+    consumer.store.open(create=True, ack_wait=60, max_ack_pending=7)
+    assert len(keys(consumer.pull_batch("p1", at(0), fetch=5))) == 5
+    assert len(keys(consumer.pull_batch("p2", at(1), fetch=5))) == 2
+    assert len(keys(consumer.pull_batch("p3", at(2), fetch=5))) == 0
+    consumer.commit_batch("p1", at(3))
+    assert len(keys(consumer.pull_batch("p4", at(4), fetch=20, listeners=2))) == 5
+    assert len(keys(consumer.pull_batch("p5", at(62), fetch=20))) == 2  # the second pull's wait is over

@@ -132,6 +132,20 @@ def test_envelope_of_the_source(spark, log):
     assert bytes(row.content) == b"This is msg 7" and row.headers is None
 
 
+def test_chosen_columns_only(spark, log):
+    fill(log, 5)
+    names = ["pending", "replyTo", "streamSeq"]
+    stream = read_stream(spark, path=log.path, stream="S-0", columns=",".join(names))
+    assert stream.columns == names
+    rows = collect(spark, stream, scratch(spark, "o"), scratch(spark, "c")).orderBy("streamSeq").collect()
+    assert [(r.streamSeq, r.pending) for r in rows] == [(n, 5 - n) for n in range(1, 6)]
+    assert all(r.replyTo.startswith("$JS.ACK") for r in rows)
+    with pytest.raises(Exception, match="Unknown envelope columns: nope"):
+        read_stream(spark, path=log.path, stream="S-0", columns="nope")
+    with pytest.raises(ValueError, match="full envelopes"):
+        read_stream(spark, path=log.path, stream="S-0", columns="subject", envelope="text3")
+
+
 def test_restart_has_no_gap_and_no_repeat(spark, log):
     folder, checkpoint = scratch(spark, "o"), scratch(spark, "c")
     stream = read_stream(spark, path=log.path, stream="S-0").select("stream", "streamSeq")
