@@ -83,8 +83,8 @@ class MessageLog:
 
     def _uncommitted(self) -> list[str]:
         names = files.list_names(f"{self.path}/data")
-        batches = [n.split("=", 1)[1] for n in names if n.startswith("batch=")]
-        return [b for b in batches if not self.index.committed(b)]
+        present = {n.split("=", 1)[1] for n in names if n.startswith("batch=")}
+        return sorted(present - self.index.batches())
 
     # -- append ---------------------------------------------------------------
 
