@@ -97,10 +97,15 @@ def acks(messages: DataFrame) -> DataFrame:
 def heartbeat(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """One acknowledged delivery long after all others, so that watermarks pass the last real one."""
     at = F.timestamp_micros(E.micros_of_ntz(F.expr("timestamp_ntz'2100-01-01 00:00:00'")))
-    known = {"consumer": F.lit(CONSUMER), "stream": F.lit(HEARTBEAT), "delivered_at": at, "acked_at": at}
-    return spark.range(1).select(
-        *[known.get(f.name, F.lit(1)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    values = {
+        "consumer": F.lit(CONSUMER),
+        "stream": F.lit(HEARTBEAT),
+        "streamSeq": F.lit(0),
+        "attempt": F.lit(1),
+        "delivered_at": at,
+        "acked_at": at,
+    }
+    return spark.range(1).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def _later(ts: Column, seconds: Column) -> Column:
