@@ -22,41 +22,51 @@ from msgflow.sources.log import MessageLog
 
 KEY = ["stream", "streamSeq"]
 
-# Fixed value: numbers covered by one bitmap of Spark's bitmap functions.
-BITMAP_SPAN = 32768
+# Acks are kept as bit masks: one 64-bit word per 64 numbers, and words counted per span of 32,768.
+WORD_BITS = 6
+SPAN_BITS = 15
+SPAN = 1 << SPAN_BITS
 
 
-def _acked_once(acks: DataFrame) -> DataFrame:
-    return acks.select(*KEY).distinct()
+def _ack_words(acks: DataFrame) -> DataFrame:
+    """Acknowledged numbers as masks per stream and word; repeats vanish before the shuffle."""
+    seq = F.col("streamSeq")
+    bit = F.expr(f"shiftleft(1L, cast(streamSeq & {(1 << WORD_BITS) - 1} as int))")
+    return acks.groupBy("stream", F.shiftright(seq, WORD_BITS).alias("_word")).agg(F.bit_or(bit).alias("_mask"))
+
+
+def _without_acked(messages: DataFrame, acks: DataFrame) -> DataFrame:
+    """Messages whose bit is not set: an anti-join with a side 64 times shorter than the acks."""
+    word = F.shiftright("streamSeq", WORD_BITS)
+    bit = F.expr(f"cast(streamSeq & {(1 << WORD_BITS) - 1} as int)")
+    marked = messages.withColumn("_word", word).join(_ack_words(acks), ["stream", "_word"], "left")
+    is_open = F.col("_mask").isNull() | (F.getbit("_mask", bit) == 0)
+    return marked.where(is_open).select(*messages.columns)
 
 
 def pending_messages(messages: DataFrame, acks: DataFrame, floors: dict[str, int] | None = None) -> DataFrame:
     """Messages not acknowledged yet. Known floors spare the scan of what lies below them."""
     floors = floors or {}
-    return beyond(messages, floors).join(_acked_once(beyond(acks, floors)), KEY, "left_anti")
+    return _without_acked(beyond(messages, floors), beyond(acks, floors))
 
 
 def pending_counts(heads: DataFrame, acks: DataFrame, floors: dict[str, int] | None = None) -> DataFrame:
     """Unacknowledged messages per stream from the acks alone: the log is not read.
 
-    ``heads`` has stream and head. Acks are folded into bitmaps before the shuffle.
+    ``heads`` has stream and head.
     """
     floors = floors or {}
-    acked = _ack_bitmaps(beyond(acks, floors)).groupBy("stream").agg(F.sum("_count").alias("_acked"))
+    acked = _acked_per_span(beyond(acks, floors)).groupBy("stream").agg(F.sum("_count").alias("_acked"))
     joined = with_offset(heads.join(acked, "stream", "left"), floors, "_floor")
     return joined.select(
         "stream", (F.col("head") - F.col("_floor") - F.coalesce(F.col("_acked"), F.lit(0))).alias("pending")
     )
 
 
-def _ack_bitmaps(acks: DataFrame) -> DataFrame:
-    """Number of distinct acknowledged messages per stream and span of sequence numbers, from 1."""
-    seq = F.col("streamSeq")
-    return (
-        acks.groupBy("stream", F.bitmap_bucket_number(seq).alias("_span"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(seq)).alias("_bits"))
-        .select("stream", "_span", F.bitmap_count("_bits").alias("_count"))
-    )
+def _acked_per_span(acks: DataFrame) -> DataFrame:
+    """Number of distinct acknowledged messages per stream and span."""
+    span = F.shiftright("_word", SPAN_BITS - WORD_BITS).alias("_span")
+    return _ack_words(acks).groupBy("stream", span).agg(F.sum(F.bit_count("_mask")).alias("_count"))
 
 
 def ack_floors(heads: DataFrame, acks: DataFrame, floors: dict[str, int] | None = None) -> DataFrame:
@@ -68,21 +78,21 @@ def ack_floors(heads: DataFrame, acks: DataFrame, floors: dict[str, int] | None
     """
     floors = floors or {}
     newer = beyond(acks, floors)
-    floor_span = F.call_function("div", F.col("_floor"), F.lit(BITMAP_SPAN)) + 1
-    counted = with_offset(_ack_bitmaps(newer), floors, "_floor")
-    below = F.when(F.col("_span") == floor_span, F.col("_floor") % BITMAP_SPAN).otherwise(F.lit(0))
-    spans = counted.where(F.col("_count") + below == BITMAP_SPAN).select("stream", "_span")
+    # Numbers from 0 up to the floor count as acknowledged; number 0 itself does not exist.
+    floor_span = F.shiftright("_floor", SPAN_BITS)
+    counted = with_offset(_acked_per_span(newer), floors, "_floor")
+    below = F.when(F.col("_span") == floor_span, F.col("_floor") % SPAN + 1).otherwise(F.lit(0))
+    complete = counted.where(F.col("_count") + below == SPAN).select("stream", "_span")
     gaps = (
-        spans.select("stream", (F.col("_span") + 1).alias("_span"))
+        complete.select("stream", (F.col("_span") + 1).alias("_span"))
         .union(with_offset(heads, floors, "_floor").select("stream", floor_span.alias("_span")))
-        .join(spans, ["stream", "_span"], "left_anti")
+        .join(complete, ["stream", "_span"], "left_anti")
         .groupBy("stream")
         .agg(F.min("_span").alias("_gap"))
         .collect()  # one row per stream
     )
-    # The last number known to be acknowledged before the gap: the end of the span before, or the floor.
-    before = {r["stream"]: max((r["_gap"] - 1) * BITMAP_SPAN, floors.get(r["stream"], 0)) for r in gaps}
-    ends = {r["stream"]: r["_gap"] * BITMAP_SPAN for r in gaps}
+    before = {r["stream"]: max(r["_gap"] * SPAN - 1, floors.get(r["stream"], 0)) for r in gaps}
+    ends = {r["stream"]: (r["_gap"] + 1) * SPAN - 1 for r in gaps}
     near = range_scan(newer, before, ends).select(*KEY).distinct()
     starts = heads.sparkSession.createDataFrame(sorted(before.items()), "stream string, streamSeq bigint")
     found = (
@@ -135,7 +145,7 @@ def first_unacked(
     subjects: tuple[str, ...] = (),
 ) -> DataFrame:
     """The first k messages not in ``excluded``, per stream, or per listener over all streams."""
-    shut = _acked_once(beyond(excluded, floors))
+    shut = beyond(excluded, floors)
     open_messages = beyond(messages, floors).where(subject_filter(subjects))
     if not subjects:
         reach, rest = search_ends(shut, floors, k, listeners or 1)
@@ -152,13 +162,13 @@ def search_ends(shut: DataFrame, floors: dict[str, int], k: int, shares: int) ->
     share has at least k open ones. The second value is the end for streams not named in the first.
     A subject filter voids this bound; then the whole rest of the log has to be looked at.
     """
-    counts = shut.groupBy("stream").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per stream
+    counts = _acked_per_span(shut).groupBy("stream").agg(F.sum("_count").alias("n")).collect()  # one row per stream
     taken = {r["stream"]: r["n"] for r in counts}
     return {s: floors.get(s, 0) + shares * (k + taken.get(s, 0)) for s in {*floors, *taken}}, shares * k
 
 
 def _pick(open_messages: DataFrame, shut: DataFrame, k: int, listeners: int | None) -> DataFrame:
-    left = open_messages.join(shut, KEY, "left_anti")
+    left = _without_acked(open_messages, shut)
     if listeners is None:
         return first_in_stream(left, ["stream"], k)
     shared = left.withColumn("listener", F.pmod(F.col("streamSeq"), F.lit(listeners)))
@@ -225,7 +235,7 @@ class Delivery:
         if not self.ack_none:
             held = held.where(F.col("delivered_at") + F.make_dt_interval(secs=F.lit(ack_wait)) > now)
         held = held.select(*KEY)
-        shut = _acked_once(acked.union(held))
+        shut = acked.union(held)
         if subjects:
             open_messages = beyond(self.log.scan(), floors).where(subject_filter(subjects))
         else:
@@ -234,7 +244,7 @@ class Delivery:
         picked = _pick(open_messages.select(*KEY), shut, fetch, listeners)
         cap = int(settings.get("max_ack_pending", 0))
         if cap > 0 and not self.ack_none:
-            in_flight = _acked_once(held).join(_acked_once(acked), KEY, "left_anti").count()
+            in_flight = _without_acked(held.distinct(), acked).count()
             picked = picked.orderBy("streamSeq", "stream").limit(max(0, cap - in_flight))
         earlier = beyond(self.deliveries(), floors).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
         rows = picked.join(earlier, KEY, "left").select(

@@ -25,6 +25,10 @@ from msgflow.sources.consumers import ConsumerStore
 from msgflow.sources.index import LogIndex
 
 
+# Messages per Arrow batch handed to Spark.
+ARROW_ROWS = 10_000
+
+
 @dataclass(frozen=True)
 class Slice:
     """Messages ``(after, upto]`` of one stream, all inside one data file."""
@@ -43,8 +47,10 @@ class SlicePartition(InputPartition):
 
 
 def slice_rows(pending: int, options: SourceOptions) -> int:
-    """Messages per Spark partition: the wanted number, or more when that gave too many partitions."""
-    return max(options.batch_size, options.partition_rows, -(-pending // options.max_partitions))
+    """Messages per Spark partition: whole fetches up to the wanted number, more if that gave too many."""
+    wanted = max(options.partition_rows // options.batch_size, 1)
+    needed = -(-pending // (options.batch_size * options.max_partitions))
+    return options.batch_size * max(wanted, needed)
 
 
 def plan_slices(
@@ -169,7 +175,7 @@ class MessageLogStreamReader(DataSourceStreamReader):
         scanner = ds.dataset(path, filesystem=system, format="parquet").scanner(
             columns=[*stored, "streamSeq"],
             filter=wanted,
-            batch_size=self.options.batch_size,
+            batch_size=ARROW_ROWS,
             use_threads=False,  # Spark already runs one task per core
         )
         inflate = "content" in self.columns and self.options.codec not in PLAIN_CODECS
