@@ -78,10 +78,11 @@ def ack_floors(heads: DataFrame, acks: DataFrame, floors: dict[str, int] | None
     """
     floors = floors or {}
     newer = beyond(acks, floors)
-    # Numbers from 0 up to the floor count as acknowledged; number 0 itself does not exist.
-    floor_span = F.shiftright("_floor", SPAN_BITS)
+    # Numbers from 0 up to the floor count as acknowledged; number 0 itself does not exist. The search
+    # starts in the span of the number after the floor.
+    floor_span = F.shiftright(F.col("_floor") + 1, SPAN_BITS)
     counted = with_offset(_acked_per_span(newer), floors, "_floor")
-    below = F.when(F.col("_span") == floor_span, F.col("_floor") % SPAN + 1).otherwise(F.lit(0))
+    below = F.when(F.col("_span") == floor_span, (F.col("_floor") + 1) % SPAN).otherwise(F.lit(0))
     complete = counted.where(F.col("_count") + below == SPAN).select("stream", "_span")
     gaps = (
         complete.select("stream", (F.col("_span") + 1).alias("_span"))

@@ -1,11 +1,13 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from msgflow.operators import delivery as D
 from msgflow.operators import ranking
+from msgflow.session import scratch
 from tests.helpers import fill, keys
 
 T0 = dt.datetime(2024, 1, 1)
@@ -30,36 +32,45 @@ def brute_floor(numbers):
     return n
 
 
-@pytest.mark.parametrize(
-    "numbers",
-    [
-        [],
-        [1],
-        [2, 3],
-        [*range(1, 10), 11],
-        list(range(1, 32769)),
-        list(range(1, 32768)),
-        list(range(1, 70001)),
-        [n for n in range(1, 70001) if n != 40000],
-        [n for n in range(1, 100001) if n != 32769],
-        [*range(2, 70001)],
-    ],
-    ids=lambda n: f"{len(n)}-{n[0] if n else 0}",
-)
-def test_ack_floor_lag_and_pending(spark, numbers):
-    rows = [("a", n) for n in numbers] + [("a", n) for n in numbers[:50]] + [("b", n) for n in (1, 2, 4)]
-    acks = acks_frame(spark, rows)
-    known = heads(spark, a=100_000, b=4, c=7)
-    got = {r.stream: (r.ack_floor, r.lag) for r in D.ack_floors(known, acks).collect()}
-    floor = brute_floor(set(numbers))
-    assert got == {"a": (floor, 100_000 - floor), "b": (2, 2), "c": (0, 7)}
-    left = {r.stream: r.pending for r in D.pending_counts(known, acks).collect()}
-    assert left == {"a": 100_000 - len(numbers), "b": 1, "c": 7}
-    for earlier in {0, floor // 2, min(floor, 32768), floor}:
-        floors = {"a": earlier, "b": 1}
-        again = {r.stream: (r.ack_floor, r.lag) for r in D.ack_floors(known, acks, floors).collect()}
-        assert again == got
-        assert {r.stream: r.pending for r in D.pending_counts(known, acks, floors).collect()} == left
+CASES = {
+    "none": [],
+    "first": [1],
+    "hole-at-1": [2, 3],
+    "hole-at-10": [*range(1, 10), 11],
+    "span-minus-1": range(1, 32767),
+    "span": range(1, 32768),
+    "span-plus-1": range(1, 32769),
+    "two-spans": range(1, 65536),
+    "long": range(1, 70001),
+    "hole-inside": [n for n in range(1, 70001) if n != 40000],
+    "hole-at-span-end": [n for n in range(1, 100001) if n != 32767],
+    "hole-at-span-start": [n for n in range(1, 100001) if n != 32768],
+    "late-start": range(2, 70001),
+}
+
+
+@pytest.fixture(scope="module")
+def case_acks(spark):
+    """All cases as streams of one table, with some acks repeated."""
+    folder = scratch(spark, "case-acks")
+    frames = [
+        pd.DataFrame({"stream": s, "streamSeq": pd.Series([*numbers, *numbers[:50]], dtype="int64")})
+        for s, numbers in CASES.items()
+    ]
+    spark.createDataFrame(pd.concat(frames), "stream string, streamSeq bigint").write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+@pytest.mark.parametrize("earlier", [None, 0.0, 0.3, 0.5, 0.9, 1.0])
+def test_ack_floor_lag_and_pending(spark, case_acks, earlier):
+    """With and without floors known from before."""
+    wanted = {name: brute_floor(set(numbers)) for name, numbers in CASES.items()}
+    floors = None if earlier is None else {s: int(f * earlier) for s, f in wanted.items()}
+    known = heads(spark, **dict.fromkeys(CASES, 100_000))
+    got = {r.stream: (r.ack_floor, r.lag) for r in D.ack_floors(known, case_acks, floors).collect()}
+    assert got == {s: (f, 100_000 - f) for s, f in wanted.items()}
+    left = {r.stream: r.pending for r in D.pending_counts(known, case_acks, floors).collect()}
+    assert left == {s: 100_000 - len(numbers) for s, numbers in CASES.items()}
 
 
 def test_pending_messages_with_and_without_floors(spark, log):
