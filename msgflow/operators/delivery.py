@@ -102,7 +102,8 @@ def ack_floors(heads: DataFrame, acks: DataFrame, floors: dict[str, int] | None
         .groupBy("stream")
         .agg(F.min("streamSeq").alias("ack_floor"))
     )
-    return heads.join(found, "stream").select("stream", "ack_floor", "head", (F.col("head") - F.col("ack_floor")).alias("lag"))
+    lag = (F.col("head") - F.col("ack_floor")).alias("lag")
+    return heads.join(found, "stream").select("stream", "ack_floor", "head", lag)
 
 
 def delivery_counts(deliveries: DataFrame) -> DataFrame:

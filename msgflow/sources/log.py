@@ -125,7 +125,7 @@ class MessageLog:
                 .partitionBy("stream")
                 .parquet(target)
             )
-            return self._commit(batch, target)
+            return self._commit(batch, target, heads)
         finally:
             files.delete_folder(staging)
 
@@ -160,7 +160,7 @@ class MessageLog:
         shift = F.coalesce(F.col("_head"), F.lit(0)) + earlier + 1 - F.col("_first")
         return runs_with_head.select("_task", "stream", shift.alias("_shift")), runs.count()
 
-    def _commit(self, batch: str, target: str) -> int:
+    def _commit(self, batch: str, target: str, heads: dict[str, int]) -> int:
         path = F.col("_metadata.file_path")
         written = (
             self.spark.read.schema("streamSeq bigint, stream string").parquet(target)
@@ -180,6 +180,9 @@ class MessageLog:
         # One row per data file, not per message.
         table = entries.toArrow()
         names = [unquote(f).rsplit("/data/batch=", 1)[-1] for f in table["file"].to_pylist()]
-        table = table.set_column(table.schema.get_field_index("file"), "file", pa.array([f"data/batch={n}" for n in names], pa.string()))
+        paths = pa.array([f"data/batch={n}" for n in names], pa.string())
+        table = table.set_column(table.schema.get_field_index("file"), "file", paths)
+        if self.heads() != heads:
+            raise RuntimeError(f"Another writer has appended to {self.path} meanwhile; append '{batch}' again")
         self.index.commit(batch, table)
         return sum(table["rows"].to_pylist())

@@ -70,6 +70,25 @@ def test_unfinished_batch_is_invisible(spark, log):
     assert keys(log.scan()) == [("S-0", n) for n in range(1, 16)]
 
 
+def test_second_writer_is_noticed(spark, log, monkeypatch):
+    """Numbers handed out from old heads never become visible."""
+    fill(log, 10, batch="b0")
+    other = MessageLog(spark, log.path)
+    runs = log._runs
+
+    def meanwhile(staging, heads):
+        monkeypatch.setattr(log, "_runs", runs)
+        fill(other, 3, batch="other")
+        return runs(staging, heads)
+
+    monkeypatch.setattr(log, "_runs", meanwhile)
+    with pytest.raises(RuntimeError, match="Another writer"):
+        fill(log, 5, batch="mine")
+    assert log.scan().count() == 13
+    assert fill(log, 5, batch="mine") == 5
+    assert keys(log.scan()) == [("S-0", n) for n in range(1, 19)]
+
+
 def test_empty_log_and_empty_batch(spark, log):
     assert log.scan().count() == 0 and log.heads() == {}
     assert fill(log, 0, batch="empty") == 0
