@@ -19,15 +19,25 @@ from urllib.parse import unquote
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from msgflow import schemas
-from msgflow.operators.planning import range_scan
+from msgflow.operators.planning import range_scan, with_offset
 from msgflow.options import LOG_ROW_GROUP
 from msgflow.session import join_small
 from msgflow.sources import files
 from msgflow.sources.index import LogIndex
 
 
+STAGED = T.StructType(
+    [
+        T.StructField("stream", T.StringType()),
+        *schemas.SINK.fields,
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("_row", T.LongType()),
+    ]
+)
+
 # Up to this many data files are named one by one in a scan; beyond, the folders are listed.
 FEW_FILES = 2000
 
@@ -106,11 +116,13 @@ class MessageLog:
         staging = f"{self.path}/staging/{batch}"
         target = f"{self.path}/data/batch={batch}"
         heads = self.heads()
+        runs = None
         try:
             self._stage(df, staging, order_by, one_stream)
-            runs, n_runs = self._runs(staging, heads)
-            staged = self.spark.read.parquet(f"{staging}/rows").withColumn("_task", F.shiftright("_row", 33))
-            numbered = join_small(staged, runs, ["_task", "stream"], n_runs).select(
+            staged = self.spark.read.schema(STAGED).parquet(f"{staging}/rows")
+            staged = staged.withColumn("_task", F.shiftright("_row", 33))
+            runs = self._runs(staged).persist()
+            numbered = join_small(staged, self._shifts(runs, heads), ["_task", "stream"], runs.count()).select(
                 "subject",
                 F.col("data").alias("content"),
                 "headers",
@@ -127,6 +139,8 @@ class MessageLog:
             )
             return self._commit(batch, target, heads)
         finally:
+            if runs is not None:
+                runs.unpersist()
             files.delete_folder(staging)
 
     def _stage(self, df: DataFrame, staging: str, order_by: list[str] | None, one_stream: bool) -> None:
@@ -139,26 +153,16 @@ class MessageLog:
             "stream", "subject", "data", "headers", "timestamp", F.monotonically_increasing_id().alias("_row")
         ).write.mode("overwrite").parquet(f"{staging}/rows")
 
-    def _runs(self, staging: str, heads: dict[str, int]) -> tuple[DataFrame, int]:
+    def _runs(self, staged: DataFrame) -> DataFrame:
         """One row per (task, stream) run of staged rows: at most tasks + streams rows."""
-        found = (
-            self.spark.read.parquet(f"{staging}/rows")
-            .groupBy(F.shiftright("_row", 33).alias("_task"), "stream")
-            .agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-        )
-        found.write.mode("overwrite").parquet(f"{staging}/runs")
-        runs = self.spark.read.schema("_task bigint, stream string, _n bigint, _first bigint").parquet(
-            f"{staging}/runs"
-        )
+        return staged.groupBy("_task", "stream").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+
+    def _shifts(self, runs: DataFrame, heads: dict[str, int]) -> DataFrame:
+        """What turns a run's row numbers into sequence numbers: earlier runs and the stream's head."""
         before = Window.partitionBy("stream").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
         earlier = F.coalesce(F.sum("_n").over(before), F.lit(0))
-        if heads:
-            known = self.spark.createDataFrame(sorted(heads.items()), "stream string, _head bigint")
-            runs_with_head = join_small(runs, known, ["stream"], len(heads), "left")
-        else:
-            runs_with_head = runs.withColumn("_head", F.lit(0))
-        shift = F.coalesce(F.col("_head"), F.lit(0)) + earlier + 1 - F.col("_first")
-        return runs_with_head.select("_task", "stream", shift.alias("_shift")), runs.count()
+        shift = F.col("_head") + earlier + 1 - F.col("_first")
+        return with_offset(runs, heads, "_head").select("_task", "stream", shift.alias("_shift"))
 
     def _commit(self, batch: str, target: str, heads: dict[str, int]) -> int:
         path = F.col("_metadata.file_path")

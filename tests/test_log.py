@@ -76,10 +76,10 @@ def test_second_writer_is_noticed(spark, log, monkeypatch):
     other = MessageLog(spark, log.path)
     runs = log._runs
 
-    def meanwhile(staging, heads):
+    def meanwhile(staged):
         monkeypatch.setattr(log, "_runs", runs)
         fill(other, 3, batch="other")
-        return runs(staging, heads)
+        return runs(staged)
 
     monkeypatch.setattr(log, "_runs", meanwhile)
     with pytest.raises(RuntimeError, match="Another writer"):
