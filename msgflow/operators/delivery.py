@@ -305,6 +305,7 @@ class Delivery:
 
     def _table(self, name: str, schema) -> DataFrame:
         root = f"{self.log.path}/{name}"
-        if not files.exists(f"{root}/consumer={self.consumer}"):
+        own = f"{root}/consumer={self.consumer}"
+        if not files.exists(own):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(root).where(F.col("consumer") == self.consumer)
+        return self.spark.read.schema(schema).option("basePath", root).parquet(own)

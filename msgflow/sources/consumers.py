@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from msgflow.sources import files
 
 
 class ConsumerStore:
     def __init__(self, path: str, consumer: str):
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", consumer):
+            raise ValueError(f"Bad consumer name '{consumer}'")
         self.consumer = consumer
         self.folder = f"{path}/consumers/{consumer}"
 

@@ -42,7 +42,10 @@ class IdleStop(StreamingQueryListener):
             query.stop()
 
 
-def stop_when_idle(spark: SparkSession, query: StreamingQuery, minutes: float) -> IdleStop:
+def stop_when_idle(spark: SparkSession, query: StreamingQuery, minutes: float | None) -> IdleStop | None:
+    """Watch a running query; without a limit (the option's default) nothing is watched."""
+    if minutes is None:
+        return None
     listener = IdleStop(spark, query, minutes)
     spark.streams.addListener(listener)
     return listener

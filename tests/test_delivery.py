@@ -216,6 +216,11 @@ def test_consumers_do_not_see_each_other(spark, log):
     assert len(keys(two.pull_batch("p", at(2), fetch=5))) == 5
 
 
+def test_bad_consumer_name(spark, log):
+    with pytest.raises(ValueError, match="consumer name"):
+        D.Delivery(log, "a/b")
+
+
 def test_consumer_settings(spark, log):
     fill(log, 20)
     consumer = D.Delivery(log, "c")
