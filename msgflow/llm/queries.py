@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgflow.llm import mixing, sharding
+from msgflow.llm import mixing, sharding, simhash, superminhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,13 +17,23 @@ def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(_table(spark, sf_dir, "documents"), similarity=85)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edit_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_external_shuffle": op2_external_shuffle,
+    "op5_superminhash": op5_superminhash,
     "op7_source_mix": op7_source_mix,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLES: dict[str, str] = {
