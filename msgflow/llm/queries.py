@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgflow.llm import mixing, sharding, simhash, superminhash
+from msgflow.llm import decontaminate, mixing, sharding, simhash, superminhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(_table(spark, sf_dir, "documents"), similarity=85)
 
@@ -31,6 +35,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_external_shuffle": op2_external_shuffle,
+    "op3_spaced_seeds": op3_spaced_seeds,
     "op5_superminhash": op5_superminhash,
     "op7_source_mix": op7_source_mix,
     "op9_simhash": op9_simhash,
