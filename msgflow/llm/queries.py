@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgflow.llm import decontaminate, mixing, sharding, simhash, superminhash
+from msgflow.llm import decontaminate, mixing, quality, sharding, simhash, superminhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_attention_quality": op1_attention_quality,
     "op2_external_shuffle": op2_external_shuffle,
     "op3_spaced_seeds": op3_spaced_seeds,
     "op5_superminhash": op5_superminhash,
