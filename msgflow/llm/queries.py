@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgflow.llm import decontaminate, mixing, quality, sharding, simhash, superminhash
+from msgflow.llm import decontaminate, mixing, quality, sharding, simhash, superminhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(_table(spark, sf_dir, "documents"), similarity=85)
 
 
+def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_external_shuffle": op2_external_shuffle,
     "op3_spaced_seeds": op3_spaced_seeds,
     "op5_superminhash": op5_superminhash,
+    "op6_weak_supervision": op6_weak_supervision,
     "op7_source_mix": op7_source_mix,
     "op9_simhash": op9_simhash,
 }
