@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgflow.llm import decontaminate, mixing, quality, sharding, simhash, superminhash, toxicity
+from msgflow.llm import decontaminate, mixing, phrases, quality, sharding, simhash, superminhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.repeats(_table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edit_report(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_superminhash": op5_superminhash,
     "op6_weak_supervision": op6_weak_supervision,
     "op7_source_mix": op7_source_mix,
+    "op8_phrase_automata": op8_phrase_automata,
     "op9_simhash": op9_simhash,
 }
 

@@ -99,7 +99,8 @@ class Hasher:
         self.powers = np.ones(1, np.uint64)
         self.inverses = np.ones(1, np.uint64)
 
-    def _grow(self, n: int) -> None:
+    def grow(self, n: int) -> None:
+        """Have the first n powers at hand."""
         if n > len(self.powers):
             n = max(n, 1 << 16)
             for name, base in (("powers", _BASE), ("inverses", _BASE_INVERSE)):
@@ -109,7 +110,7 @@ class Hasher:
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         """Running sums of the polynomial, with a zero in front."""
-        self._grow(len(data) + 1)
+        self.grow(len(data) + 1)
         out = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.codes[data] * self.powers[: len(data)], out=out[1:], dtype=np.uint64)
         return out
