@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgflow.llm import decontaminate, mixing, phrases, quality, sharding, simhash, superminhash, toxicity
+from msgflow.llm import decontaminate, language, mixing, phrases, quality, sharding, simhash, superminhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edit_report(_table(spark, sf_dir, "documents"))
 
 
+def op10_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_quality": op1_attention_quality,
     "op2_external_shuffle": op2_external_shuffle,
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mix": op7_source_mix,
     "op8_phrase_automata": op8_phrase_automata,
     "op9_simhash": op9_simhash,
+    "op10_evidence_fusion": op10_evidence_fusion,
 }
 
 ORACLES: dict[str, str] = {
