@@ -1,14 +1,35 @@
-"""The training-data pipeline over `documents`; each stage calls one operator."""
+"""The training-data pipeline over `documents`; each stage calls one operator and rereads what the one before wrote."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from msgflow.llm import mixing, sharding
+from msgflow.llm import decontaminate, mixing, sharding, superminhash, toxicity
+from msgflow.llm.tables import materialize
+
+# The same operators as the registered queries; near duplicates at the similarity of 0.8 that stages take.
+ORACLE_SQL = None  # classifiers and sketches are not expressible; tests hold the stages against brute force
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised classifier scores below one half."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the smallest doc_id."""
+    return superminhash.drop_near_duplicates(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix of sources takes them."""
     return mixing.mix(docs)
 
 
@@ -17,7 +38,19 @@ def shuffle_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return sharding.shard(docs)
 
 
-STAGES = [
-    ("mix_sources", mix_sources),
-    ("shuffle_into_shards", shuffle_into_shards),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("mixing", mix_sources),
+    ("sharding", shuffle_into_shards),
 ]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after the other, over the documents of a folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

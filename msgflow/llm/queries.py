@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgflow.llm import decontaminate, language, mixing, phrases, quality, sharding, simhash, superminhash, toxicity
+import corpus_pipeline
+from msgflow.llm import decontaminate, language, mixing, phrases, quality, secrets, sharding, simhash, superminhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(_table(spark, sf_dir, "documents"), similarity=85)
 
@@ -53,12 +58,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_quality": op1_attention_quality,
     "op2_external_shuffle": op2_external_shuffle,
     "op3_spaced_seeds": op3_spaced_seeds,
+    "op4_secret_forest": op4_secret_forest,
     "op5_superminhash": op5_superminhash,
     "op6_weak_supervision": op6_weak_supervision,
     "op7_source_mix": op7_source_mix,
     "op8_phrase_automata": op8_phrase_automata,
     "op9_simhash": op9_simhash,
     "op10_evidence_fusion": op10_evidence_fusion,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
