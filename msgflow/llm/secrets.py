@@ -99,7 +99,7 @@ def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
         "example": _is(value.rlike(EXAMPLES) | F.concat_ws(" ", "before", "after").rlike(EXAMPLES)),
         "path_example": _is(F.col("source").rlike(EXAMPLES)),
         "path_depth": F.coalesce(F.least(F.regexp_count("source", F.lit("[/\\\\]")), F.lit(8)), F.lit(0)).cast("double"),
-        "code_near": _is(F.concat_ws(" ", "before", "after").rlike("[{}();=<>]|//|#")),
+        "code_near": _is(F.concat_ws(" ", "before", "after").rlike("[{}();=<>]|//")),
         "shape": _is(shape),
     }).drop("covered")
 

@@ -218,7 +218,8 @@ def _verify(documents: DataFrame, tiles: DataFrame, similarity: int, shingle: in
         )
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    texts = documents.select("doc_id", "text").join(tiles, F.col("doc_id") == F.col("rep"))
+    # Texts are shuffled once at every size; which tiles exist says little about how many documents they name.
+    texts = documents.select("doc_id", "text").join(tiles.hint("merge"), F.col("doc_id") == F.col("rep"))
     dealt = texts.select("text", "rep", "tiles").mapInArrow(
         deal, "tile long, side int, whole boolean, rep long, shingles array<long>"
     )
