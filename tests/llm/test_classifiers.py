@@ -1,0 +1,158 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from msgflow.llm import quality, toxicity
+from msgflow.llm import words as W
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return [spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels")]
+
+
+def accuracy(report, labels, column, divisor, held):
+    wanted = {r.doc_id: r[column] for r in labels.collect()}
+    rows = report.collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % divisor == held) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    own = [(r.predicted, wanted[r.doc_id]) for r in rows if r.held_out and r.doc_id in wanted]
+    return len(rows), np.mean([a == b for a, b in own]), sum(a for a, _ in own), own
+
+
+def test_quality_of_held_out_documents(tables):
+    documents, labels = tables
+    n, right, _, _ = accuracy(quality.quality_report(documents, labels), labels, "quality", 3, 1)
+    assert n == documents.count() and right > 0.97
+
+
+def test_toxicity_of_held_out_documents(tables):
+    documents, labels = tables
+    n, right, _, own = accuracy(toxicity.toxicity_report(documents, labels), labels, "toxic", 5, 0)
+    assert n == documents.count() and right > 0.95
+    assert sum(a == 1 and b == 0 for a, b in own) <= 0.01 * len(own)
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+ROWS = [(i, f"good words of number {i} are here") for i in range(60)] + [(i, "BAD!! $$$ idiot ### scum !!") for i in range(60, 120)]
+LABELS = [(i, int(i < 60), int(i >= 60)) for i in range(120)]
+
+
+@pytest.mark.parametrize("report", [quality.quality_report, toxicity.toxicity_report])
+def test_odd_rows(spark, make, report):
+    rows = ROWS + [(None, "idiot scum"), (500, None), (501, ""), (502, "long " * 50_000), (7, ROWS[7][1])]
+    labels = labelled(spark, LABELS + [(500, None, None), (None, 1, 1), (501, 7, 7), (3, 1, 0), (999, 1, 1)])
+    df = make(rows, score="a", label="b", held_out="c")
+    out = report(df, labels).collect()
+    assert len(out) == len(rows)
+    assert all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out if r.doc_id == 7}) == 1
+    good = {r.doc_id: r.predicted for r in out}
+    learned = int(report is quality.quality_report)
+    assert good[1] == learned and good[100] == 1 - learned
+    assert report(make([]), labels).count() == 0
+
+
+@pytest.mark.parametrize("report, column", [(quality.quality_report, 1), (toxicity.toxicity_report, 2)])
+def test_one_class_and_no_labels(spark, make, report, column):
+    df = make(ROWS)
+    for value in (0, 1):
+        same = report(df, labelled(spark, [(i, value, value) for i in range(120)])).collect()
+        assert {r.predicted for r in same} == {value}
+    assert len(report(df, labelled(spark, [])).collect()) == len(ROWS)
+
+
+def test_repeated_labels_do_not_leak_held_out_rows(spark, make):
+    """Turning the labels of held-out rows changes no score."""
+    turned = [(i, 1 - q, t) if zlib.crc32(str(i).encode()) % 3 == 1 else (i, q, t) for i, q, t in LABELS]
+    first, second = (quality.quality_report(make(ROWS), labelled(spark, x)).collect() for x in (LABELS, turned))
+    assert sorted(first) == sorted(second)
+    turned = [(i, q, 1 - t) if zlib.crc32(str(i).encode()) % 5 == 0 else (i, q, t) for i, q, t in LABELS]
+    first, second = (toxicity.drop_toxic(make(ROWS), labelled(spark, x)).collect() for x in (LABELS, turned))
+    assert sorted(first) == sorted(second)
+
+
+def test_dropping_toxic_documents(spark, make):
+    df = make(ROWS + [(None, None), (700, "")], __score2="x", terms="y")
+    out = toxicity.drop_toxic(df, labelled(spark, LABELS))
+    assert out.columns == df.columns
+    assert sorted(r.doc_id or -1 for r in out.collect()) == [-1, *range(60), 700]
+
+
+def test_attention_finds_the_telling_passage():
+    """Bags differ in one row only; its weight must come to lead, with labels of bags alone."""
+    random = np.random.default_rng(1)
+    bags, labels = 400, np.arange(400) % 2
+    x = random.normal(0, 1, (bags * 6, 5)).astype(np.float32)
+    bag = np.repeat(np.arange(bags), 6)
+    telling = np.arange(bags) * 6 + random.integers(0, 6, bags)
+    x[telling, 0] = np.where(labels == 1, 6, -6) + random.normal(0, 0.3, bags)
+    model = quality.train(x[: 300 * 6], bag[: 300 * 6], labels[:300].astype(np.float32), epochs=60)
+    rest = slice(300 * 6, None)
+    score = model.score(x[rest], bag[rest] - 300, 100)
+    assert ((score > 0.5) == labels[300:]).mean() > 0.95
+    weight = quality._forward(model.weights, (x - model.mean) / model.scale, bag, bags)["weight"]
+    assert weight[telling].mean() > 0.5
+
+
+def test_gradients_equal_differences():
+    random = np.random.default_rng(0)
+    x, bag, label = random.normal(size=(9, 4)), np.array([0, 0, 0, 1, 2, 2, 2, 2, 3]), np.array([0.0, 1, 1, 0])
+    w = {"encode": random.normal(size=(4, 3)), "shift": random.normal(size=3), "look": random.normal(size=(3, 2)), "gate": random.normal(size=(3, 2)), "attend": random.normal(size=2), "out": random.normal(size=3), "bias": random.normal(size=1)}
+
+    def loss(w):
+        p = 1 / (1 + np.exp(-quality._forward(w, x, bag, 4)["logit"]))
+        return -(label * np.log(p) + (1 - label) * np.log(1 - p)).mean()
+
+    for name, grad in quality._gradients(w, x, bag, 4, label, 0).items():
+        for at in np.ndindex(w[name].shape):
+            up, down = ({k: v.copy() for k, v in w.items()} for _ in range(2))
+            up[name][at] += 1e-6
+            down[name][at] -= 1e-6
+            assert grad[at] == pytest.approx((loss(up) - loss(down)) / 2e-6, abs=1e-6)
+
+
+def test_label_model_learns_accuracies_and_correlation():
+    """Four voters of known accuracy, one of them twice: the copy is found and counts less."""
+    random = np.random.default_rng(3)
+    truth = random.random(20_000) < 0.3
+    single = [np.where(random.random(len(truth)) < a, truth, ~truth) for a in (0.9, 0.8, 0.7)]
+    votes = np.where(np.stack([*single, single[2]], axis=1), 1, -1)
+    combos, counts = np.unique(votes, axis=0, return_counts=True)
+    odds, discount, correlation = toxicity.label_model(combos, counts, votes[:200], truth[:200].astype(int), 0.3)
+    assert correlation[2, 3] > 0.9 and abs(correlation[0, 1]) < 0.1
+    assert discount[3] < 0.6 and discount[0] > 0.85
+    for k, a in enumerate((0.9, 0.8, 0.7)):
+        assert 1 / (1 + np.exp(-odds[k, 2])) == pytest.approx(a, abs=0.05)
+
+
+def test_lexicon_covers_greedily():
+    held = np.zeros((40, 5), bool)
+    held[:10, 0] = held[8:16, 1] = held[:16, 2] = True
+    held[20:, 2] = True  # also in clean documents
+    held[16:18, 3] = True  # too few
+    assert toxicity.cover(held, (np.arange(40) < 20).astype(int)) == [0, 1]
+
+
+def test_features_do_not_depend_on_slices():
+    texts = [f"Some text {i} with WORDS, and signs!! " * (i % 40) for i in range(200)] + [None, "", "x"]
+    one = [f for _, f, _ in quality.encode(pa.array(texts))]
+    several = [f for t in texts for _, f, _ in quality.encode(pa.array([t], pa.string()))]
+    assert np.allclose(np.concatenate(one), np.concatenate(several), atol=1e-5)
+
+
+def test_words_of_arrow_columns():
+    texts = ["a  bb\tc", None, "", " é\x0b\U0001f600 ", "x\xa0y"]
+    got = []
+    for column in (pa.array(texts), pa.array(["skip", *texts])[1:], pa.chunked_array([texts]).combine_chunks()):
+        for part in W.slices(column, slice_bytes=4):
+            own = [part.data[a:b].tobytes().decode() for a, b in zip(part.starts, part.ends)]
+            got += [own[part.first[d] : part.first[d + 1]] for d in range(part.size)]
+    assert got == 3 * [["a", "bb", "c"], [], [], ["é", "\U0001f600"], ["x\xa0y"]]
