@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from msgflow import schemas
@@ -122,20 +122,19 @@ def drop_repeats(deliveries: DataFrame) -> DataFrame:
 def redelivery_due(
     deliveries: DataFrame, acks: DataFrame, ack_wait: int, now: Column, ack_none: bool = False
 ) -> DataFrame:
-    """Messages to deliver again at ``now``: no ack within ``ack_wait`` seconds of the last delivery."""
+    """Messages to deliver again at ``now``: the wait of the last delivery is over and no ack came up to ``now``.
+
+    Deliveries and acks after ``now`` do not count. An ack ends the matter whenever it came, also before a repeated delivery.
+    """
     wait = F.make_dt_interval(secs=F.lit(ack_wait))
-    last = deliveries.groupBy("consumer", *KEY).agg(
+    last = deliveries.where(F.col("delivered_at") <= now).groupBy("consumer", *KEY).agg(
         F.max("delivered_at").alias("delivered_at"), F.count(F.lit(1)).alias("attempts")
     )
     if ack_none:
         return last.where(F.lit(False))
-    first_ack = acks.groupBy("consumer", *KEY).agg(F.min("acked_at").alias("_acked_at"))
-    deadline = F.col("delivered_at") + wait
-    return (
-        last.join(first_ack, ["consumer", *KEY], "left")
-        .where((deadline <= now) & (F.col("_acked_at").isNull() | (F.col("_acked_at") > deadline)))
-        .select("consumer", *KEY, "delivered_at", "attempts")
-    )
+    acked = acks.where(F.col("acked_at") <= now).select("consumer", *KEY).distinct()
+    late = last.where(F.col("delivered_at") + wait <= now)
+    return late.join(acked, ["consumer", *KEY], "left_anti").select("consumer", *KEY, "delivered_at", "attempts")
 
 
 def first_unacked(
@@ -174,7 +173,9 @@ def _pick(open_messages: DataFrame, shut: DataFrame, k: int, listeners: int | No
     if listeners is None:
         return first_in_stream(left, ["stream"], k)
     shared = left.withColumn("listener", F.pmod(F.col("streamSeq"), F.lit(listeners)))
-    return first_in_stream(shared, ["listener"], k, ties=["stream"])
+    # First k of each stream: what then meets per listener is at most k rows a stream, however large the log.
+    near = first_in_stream(shared, ["listener", "stream"], k)
+    return first_in_stream(near, ["listener"], k, ties=["stream"])
 
 
 def inflight_capped(messages: DataFrame, acks: DataFrame, floors: dict[str, int], max_ack_pending: int) -> DataFrame:
@@ -222,13 +223,16 @@ class Delivery:
         """Deliver the next open messages, at most ``fetch`` per listener, as a finite batch.
 
         Acknowledged messages and those still within their ack wait are left out. What is not given
-        comes from the consumer's settings; its cap on unacknowledged messages holds over all pulls.
+        comes from the consumer's settings; its cap on unacknowledged messages holds per stream over all pulls.
+        Asking for more than its ``max_request_batch`` is an error.
         """
         folder = self._folder("deliveries", batch)
         if files.exists(f"{folder}/_SUCCESS"):
             return self.batch_messages(batch)
         settings = self.store.settings()
-        fetch = min(fetch, int(settings.get("max_request_batch", fetch)))
+        most = int(settings.get("max_request_batch", fetch))
+        if fetch > most:
+            raise ValueError(f"fetch={fetch} is more than the consumer's max_request_batch={most}")
         ack_wait = int(settings.get("ack_wait", 90)) if ack_wait is None else ack_wait
         subjects = tuple(settings.get("subjects", ())) if subjects is None else subjects
         floors = self.floors()
@@ -246,8 +250,11 @@ class Delivery:
         picked = _pick(open_messages.select(*KEY), shut, fetch, listeners)
         cap = int(settings.get("max_ack_pending", 0))
         if cap > 0 and not self.ack_none:
-            in_flight = _without_acked(held.distinct(), acked).count()
-            picked = picked.orderBy("streamSeq", "stream").limit(max(0, cap - in_flight))
+            in_flight = _without_acked(held.distinct(), acked).groupBy("stream").agg(F.count("*").alias("_held"))
+            # At most fetch rows per listener were picked, so a stream's rows here are few.
+            place = F.row_number().over(Window.partitionBy("stream").orderBy("streamSeq"))
+            picked = picked.withColumn("_place", place).join(in_flight, "stream", "left")
+            picked = picked.where(F.col("_place") + F.coalesce("_held", F.lit(0)) <= cap).drop("_place", "_held")
         earlier = beyond(self.deliveries(), floors).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
         rows = picked.join(earlier, KEY, "left").select(
             *KEY, now.alias("delivered_at"), (F.coalesce("_n", F.lit(0)) + 1).alias("attempt"), "listener"
@@ -268,12 +275,17 @@ class Delivery:
         return join_small(part, taken, KEY, taken.count())
 
     def commit_batch(self, batch: str, now: Column) -> int:
-        """Acknowledge every message of a pulled batch; the number of them, 0 for an unknown batch."""
+        """Acknowledge every message of a pulled batch and move the position; the number of messages, 0 for an unknown batch.
+
+        The first commit counts: another one changes neither the acks nor their time.
+        """
         folder = self._folder("deliveries", batch)
         if self.ack_none or not files.exists(folder):
             return 0
         taken = self.spark.read.schema("stream string, streamSeq bigint").parquet(folder)
-        self.write_acks(taken, batch, now)
+        if not files.exists(f"{self._folder('acks', batch)}/_SUCCESS"):
+            self.write_acks(taken, batch, now)
+            self.advance_floors()
         return taken.count()
 
     def write_acks(self, messages: DataFrame, batch: str, now: Column) -> None:

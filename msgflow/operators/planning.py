@@ -83,6 +83,8 @@ def range_scan(df: DataFrame, start: Offsets, end: Offsets) -> DataFrame:
         rows = [(s, lo, hi) for s, (lo, hi) in sorted(ranges.items())]
         frame = df.sparkSession.createDataFrame(rows, "stream string, _lo bigint, _hi bigint")
         hit = (F.col("streamSeq") > F.col("_lo")) & (F.col("streamSeq") <= F.col("_hi"))
+        # The join's bounds are not known to the scan; the outermost ones are, and prune row groups there.
+        df = df.where(F.col("streamSeq").between(min(r[1] for r in rows) + 1, max(r[2] for r in rows)))
         return join_small(df, frame, ["stream"], len(rows)).where(hit).drop("_lo", "_hi")
     seq = F.col("streamSeq")
     tests = [(F.col("stream") == s) & (seq > lo) & (seq <= hi) for s, (lo, hi) in sorted(ranges.items())]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,13 +40,18 @@ def match_patterns(df: DataFrame, patterns: DataFrame, pattern: str = "pattern",
     counts = keyed.groupBy("_shape").count().collect()
     shapes = [r["_shape"] for r in counts]
     if not shapes:
-        return df.join(patterns, F.lit(False))
+        return df.withColumn("_none", F.lit(0)).join(patterns.withColumn("_none", F.lit(1)), "_none").drop("_none")
 
     parts = F.split(F.col(subject), r"\.")
 
     def candidate(word: str) -> Column:
         fixed = word.rstrip(">")
         depth_ok = F.size(parts) > len(fixed) if word.endswith(">") else F.size(parts) == len(fixed)
+        # Tokens under a wildcard must not be empty, as in the filter.
+        loose = [F.get(parts, F.lit(i)) != "" for i, sign in enumerate(fixed) if sign == "*"]
+        if word.endswith(">"):
+            loose.append(~F.array_contains(F.slice(parts, len(fixed) + 1, F.greatest(F.size(parts), F.lit(1))), ""))
+        depth_ok = reduce(lambda a, b: a & b, loose, depth_ok)
         chosen = [F.get(parts, F.lit(i)) for i, sign in enumerate(fixed) if sign == "="]
         joined = F.concat_ws(".", *chosen) if chosen else F.lit("")
         return F.when(depth_ok, F.struct(F.lit(word).alias("_shape"), joined.alias("_key")))

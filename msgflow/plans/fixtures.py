@@ -26,6 +26,7 @@ STREAMS = [f"{PREFIX}-{n}" for n in range(PARTITIONS)]
 DOMAIN, ACCOUNT, CONSUMER = "dom", "acct", "cons"
 ACK_WAIT = 90
 HEARTBEAT = "heartbeat"
+LATE_ACK = "2024-01-21 12:00:00"
 
 _logs: dict[tuple[str, str], MessageLog] = {}
 
@@ -84,13 +85,16 @@ def deliveries(messages: DataFrame) -> DataFrame:
 
 
 def acks(messages: DataFrame) -> DataFrame:
-    """All messages but every eleventh are acknowledged, up to two minutes after the last delivery."""
+    """All messages but every eleventh are acknowledged: up to two minutes after the last delivery, every
+    thirteenth right after the first one, and every seventeenth at a late time of its own."""
     seq = F.col("streamSeq")
+    soon = F.when(seq % 13 == 0, 1).otherwise(seq % 3 * ACK_WAIT + seq % 7 * 20)
+    late = F.timestamp_micros(E.micros_of_ntz(F.expr(f"timestamp_ntz'{LATE_ACK}'")))
     return messages.where(seq % 11 != 0).select(
         F.lit(CONSUMER).alias("consumer"),
         "stream",
         "streamSeq",
-        _later(F.col("timestamp"), seq % 3 * ACK_WAIT + seq % 7 * 20).alias("acked_at"),
+        F.when(seq % 17 == 0, late).otherwise(_later(F.col("timestamp"), soon)).alias("acked_at"),
     )
 
 

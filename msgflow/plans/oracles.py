@@ -38,7 +38,9 @@ deliveries AS (
   FROM (SELECT *, unnest(generate_series(1, 1 + streamSeq % 3)) AS a FROM log)),
 acks AS (
   SELECT 'cons' AS consumer, stream, streamSeq,
-         us + (streamSeq % 3) * 90000000 + (streamSeq % 7) * 20000000 AS acked_us
+         CASE WHEN streamSeq % 17 = 0 THEN epoch_us(TIMESTAMP '2024-01-21 12:00:00')
+              WHEN streamSeq % 13 = 0 THEN us + 1000000
+              ELSE us + (streamSeq % 3) * 90000000 + (streamSeq % 7) * 20000000 END AS acked_us
   FROM log WHERE streamSeq % 11 <> 0)
 """
 
@@ -70,6 +72,11 @@ _DOC_ASCII = (
 
 _ALL_ONCE = "SELECT stream, streamSeq FROM log"
 
+_ONE = (
+    "SELECT {columns} FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS streamSeq,"
+    " count(*) OVER () AS total FROM events)"
+)
+
 ORACLES = {
     "relay_rewrite": _log(
         "SELECT 'done.' || subject AS subject, content AS data, header_type FROM log WHERE event_type = 'purchase'"
@@ -188,11 +195,10 @@ ORACLES = {
     ),
     "distinct_messages": _del("SELECT DISTINCT stream, streamSeq FROM deliveries"),
     "redelivery_due": _del(
-        "SELECT d.consumer, d.stream, d.streamSeq, d.delivered_at_us, d.attempts FROM"
-        " (SELECT consumer, stream, streamSeq, max(delivered_us) AS delivered_at_us, count(*) AS attempts"
-        " FROM deliveries GROUP BY ALL) d LEFT JOIN acks a USING (consumer, stream, streamSeq)"
-        f" WHERE d.delivered_at_us + 90000000 <= {_NOW}"
-        " AND (a.acked_us IS NULL OR a.acked_us > d.delivered_at_us + 90000000)"
+        "SELECT consumer, stream, streamSeq, max(delivered_us) AS delivered_at_us, count(*) AS attempts FROM deliveries d"
+        f" WHERE delivered_us <= {_NOW} AND NOT EXISTS (SELECT 1 FROM acks a WHERE a.consumer = d.consumer"
+        f" AND a.stream = d.stream AND a.streamSeq = d.streamSeq AND a.acked_us <= {_NOW})"
+        f" GROUP BY ALL HAVING max(delivered_us) + 90000000 <= {_NOW}"
     ),
     "inflight_capped": _del(
         "SELECT stream, streamSeq, subject FROM (SELECT *, row_number() OVER (PARTITION BY stream ORDER BY streamSeq) AS r"
@@ -229,7 +235,20 @@ ORACLES = {
         "SELECT 'CHAT' AS stream, 'chat.text' AS subject, text AS content, 0::BIGINT AS n_headers FROM conversations"
     ),
     "stream_replay": _env("SELECT subject, stream, streamSeq, content, pending, timestamp_us FROM envelope"),
-    "stream_listeners": _log(_ALL_ONCE),
+    "stream_listeners": _log("SELECT stream, streamSeq, 1::BIGINT AS takers, 3::BIGINT AS listeners FROM log"),
+    "stream_consumer_default": _log("SELECT stream, streamSeq, head AS ack_floor FROM log"),
+    "stream_consumer_filtered": _ONE.format(columns="streamSeq, total AS ack_floor") + " WHERE 2 * event_id >= total",
+    "stream_empty_batch": _log(
+        "SELECT stream, streamSeq, 2::BIGINT AS runs FROM log"
+    ),
+    "stream_bind": _log("SELECT stream, streamSeq FROM log WHERE event_type = 'click'"),
+    "stream_processing_time": _log(_ALL_ONCE),
+    "format_table_scan": _log("SELECT stream, streamSeq, subject, content, head - streamSeq AS pending FROM log"),
+    "publish_routed": (
+        "WITH r AS (SELECT *, CASE WHEN user_id % 4 <> 1 THEN 'PART-' || (user_id % 4) END AS stream FROM events)"
+        " SELECT stream, row_number() OVER (PARTITION BY stream ORDER BY event_id) AS streamSeq, props AS content,"
+        " (SELECT count(*) FROM r WHERE stream IS NULL) AS unroutable FROM r WHERE stream IS NOT NULL"
+    ),
     "stream_filtered": _log(
         "SELECT subject, stream, streamSeq FROM log WHERE event_type = 'purchase' OR user_id = 7"
     ),
@@ -260,7 +279,8 @@ ORACLES = {
     ),
     "stream_dedupe": _log(_ALL_ONCE),
     "stream_redelivery": _del(
-        "SELECT d.stream, d.streamSeq, d.delivered_us FROM deliveries d LEFT JOIN acks a USING (stream, streamSeq)"
-        " WHERE d.attempt = 1 + d.streamSeq % 3 AND (a.acked_us IS NULL OR a.acked_us > d.delivered_us + 90000000)"
+        "SELECT stream, streamSeq, attempt, delivered_us FROM deliveries d WHERE NOT EXISTS (SELECT 1 FROM acks a"
+        " WHERE a.stream = d.stream AND a.streamSeq = d.streamSeq"
+        " AND a.acked_us BETWEEN d.delivered_us - 86400000000 AND d.delivered_us + 90000000)"
     ),
 }

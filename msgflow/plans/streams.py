@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,13 @@ from msgflow import schemas
 from msgflow.functions import envelope as E
 from msgflow.functions.subjects import subject_token
 from msgflow.operators.delivery import Delivery
+from msgflow.operators.routing import route_by_token
 from msgflow.plans import fixtures as X
 from msgflow.session import scratch, state_partitions
+from msgflow.sources.consumers import ConsumerStore
+from msgflow.sources.index import LogIndex
 from msgflow.sources.log import MessageLog
-from msgflow.sources.reading import read_stream
+from msgflow.sources.reading import read_stream, register
 from msgflow.sources.sink import publish, write_stream
 from msgflow.streaming.relay import relay_rows, relay_stream
 from msgflow.streaming.stateful import dedupe, redeliveries, windowed_counts
@@ -76,9 +80,11 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_listeners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three listeners share the log; together they give every message once."""
+    """Three listeners share the log: every message has one taker, and all of them get some."""
     log = X.event_log(spark, sf_dir)
-    return _to_files(spark, read_stream(spark, **_source(log, listeners=3, columns="stream,streamSeq")))
+    seen = _to_files(spark, read_stream(spark, **_source(log, listeners=3, columns="stream,streamSeq,listener")))
+    taken = seen.groupBy("stream", "streamSeq").agg(F.countDistinct("listener").alias("takers"))
+    return taken.crossJoin(F.broadcast(seen.agg(F.countDistinct("listener").alias("listeners"))))
 
 
 def stream_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +96,7 @@ def stream_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_text5(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = X.event_log(spark, sf_dir)
-    options = _source(log, envelope="text5", consumer=f"c-{uuid.uuid4().hex[:8]}", max_ack_pending=0)
+    options = _source(log, envelope="text5", consumer=f"c-{uuid.uuid4().hex[:8]}")
     return _to_files(spark, read_stream(spark, received_at=F.col("timestamp"), **options))
 
 
@@ -129,7 +135,7 @@ def stream_durable(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = X.new_log(spark, "durable")
     target = scratch(spark, "durable-target")
     name = f"c-{uuid.uuid4().hex[:8]}"
-    source = _source(log, consumer=name, max_ack_pending=0)
+    source = _source(log, consumer=name)
     first, second = _halves(spark, sf_dir)
     for part, batch in ((first, "one"), (second, "two")):
         X.publish_events(log, part, batch)
@@ -152,6 +158,91 @@ def stream_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.groupBy("stream", "streamSeq").agg(F.count(F.lit(1)).alias("seen"))
 
 
+def _position(log: MessageLog, name: str, wanted: dict[str, int], seconds: float = 30) -> DataFrame:
+    """The consumer's position; progress reports come a moment after the run's end."""
+    store, until = ConsumerStore(log.path, name), time.monotonic() + seconds
+    while store.floors() != wanted and time.monotonic() < until:
+        time.sleep(0.05)
+    return log.spark.createDataFrame(sorted(store.floors().items()), "stream string, ack_floor bigint")
+
+
+def stream_consumer_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named consumer with default options on a plain sink: one run gives everything and acknowledges it."""
+    log, name = X.event_log(spark, sf_dir), f"c-{uuid.uuid4().hex[:8]}"
+    seen = _to_files(spark, read_stream(spark, **_source(log, consumer=name, columns="stream,streamSeq")))
+    return seen.join(F.broadcast(_position(log, name, log.heads())), "stream")
+
+
+def stream_consumer_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A relay whose first match comes after half of the stream; the consumer ends behind the last message."""
+    log, target, name = X.new_log(spark, "filtered"), scratch(spark, "filtered-target"), f"c-{uuid.uuid4().hex[:8]}"
+    events = X.table(spark, sf_dir, "events")
+    half = F.when(F.col("event_id") * 2 >= F.lit(events.count()), "late.hit").otherwise("early.miss")
+    rows = events.select("event_id", half.alias("subject"), E.utf8_bytes(F.col("props")).alias("data"))
+    publish(log, rows, "ALL", "events", order_by=["event_id"])
+    source = {"path": log.path, "stream": "ALL", "consumer": name, "subjects": "late.hit"}
+    writer = relay_stream(spark, source, {"path": target, "stream": "HITS"}, r"(.+)", "done.$1")
+    _run(spark, writer, scratch(spark, "filtered-ck"))
+    floor = _position(log, name, log.heads()).select("ack_floor")
+    hits = MessageLog(spark, target).scan().select((F.col("streamSeq") + F.lit(events.count() - _count(target))).alias("streamSeq"))
+    return hits.crossJoin(F.broadcast(floor))
+
+
+def _count(path: str) -> int:
+    return sum(LogIndex(path).heads().values())
+
+
+def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run without new messages gives nothing and fails at nothing."""
+    log = X.event_log(spark, sf_dir)
+    folder, checkpoint = scratch(spark, "empty-out"), scratch(spark, "empty-ck")
+    source = read_stream(spark, **_source(log, columns="stream,streamSeq"))
+    for _ in range(2):
+        seen = _to_files(spark, source, folder, checkpoint)
+    return seen.withColumn("runs", F.lit(2).cast("long"))
+
+
+def stream_bind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that only attaches to a consumer takes the subjects that the consumer was made with."""
+    log, name = X.event_log(spark, sf_dir), f"c-{uuid.uuid4().hex[:8]}"
+    ConsumerStore(log.path, name).open(create=True, subjects=("events.click.>",))
+    bound = _source(log, consumer=name, create_consumer="false", columns="stream,streamSeq")
+    return _to_files(spark, read_stream(spark, **bound))
+
+
+def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running query with a processing-time trigger, stopped when all is done."""
+
+    def run(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
+        return _run_until_idle(spark, writer.trigger(processingTime="1 second"), checkpoint)
+
+    log = X.event_log(spark, sf_dir)
+    return _to_files(spark, read_stream(spark, **_source(log, columns="stream,streamSeq")), run=run)
+
+
+def format_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The format as a table: full envelopes of everything committed."""
+    log = X.event_log(spark, sf_dir)
+    register(spark)
+    messages = spark.read.format("msglog").options(**{k: str(v) for k, v in _source(log).items()}).load()
+    return messages.select("stream", "streamSeq", "subject", F.col("content").cast("string").alias("content"), "pending")
+
+
+def publish_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages routed by a subject token; those without one are split off and counted, the rest is published."""
+    number = F.when(F.col("user_id") % 4 != 1, (F.col("user_id") % 4).cast("string")).otherwise("none")
+    messages = X.table(spark, sf_dir, "events").select(
+        "event_id", F.concat_ws(".", F.lit("app"), number).alias("subject"), E.utf8_bytes(F.col("props")).alias("data")
+    )
+    routed = route_by_token(messages, "PART", 2)
+    lost = routed.where("stream is null").count()
+    log = X.new_log(spark, "routed")
+    publish(log, routed.where("stream is not null"), F.col("stream"), "events", order_by=["event_id"])
+    return log.scan().select(
+        "stream", "streamSeq", F.col("content").cast("string").alias("content"), F.lit(lost).cast("long").alias("unroutable")
+    )
+
+
 # -- sink and relay ----------------------------------------------------------------
 
 
@@ -183,7 +274,7 @@ def stream_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = X.event_log(spark, sf_dir)
     name = f"c-{uuid.uuid4().hex[:8]}"
     sink = {"path": scratch(spark, "acks-target"), "stream": "DONE"}
-    source = _source(log, consumer=name, max_ack_pending=0)
+    source = _source(log, consumer=name)
     _run(spark, relay_stream(spark, source, sink, r"(.+)", "done.$1"), scratch(spark, "acks-ck"))
     consumer = Delivery(log, name)
     floors = consumer.advance_floors()
@@ -227,9 +318,10 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries, acks = _delivery_streams(spark, sf_dir)
-    last = deliveries.where(F.col("attempt") == 1 + F.col("streamSeq") % 3)
-    due = redeliveries(last, acks, X.ACK_WAIT)
-    return _to_files(spark, due.select("stream", "streamSeq", F.unix_micros("delivered_at").alias("delivered_us")))
+    due = redeliveries(deliveries, acks, X.ACK_WAIT)
+    return _to_files(
+        spark, due.select("stream", "streamSeq", "attempt", F.unix_micros("delivered_at").alias("delivered_us"))
+    )
 
 
 QUERIES = {
@@ -237,6 +329,13 @@ QUERIES = {
     for f in (
         stream_replay,
         stream_listeners,
+        stream_consumer_default,
+        stream_consumer_filtered,
+        stream_empty_batch,
+        stream_bind,
+        stream_processing_time,
+        format_table_scan,
+        publish_routed,
         stream_filtered,
         stream_text5,
         stream_text3,

@@ -22,6 +22,9 @@ ENVELOPE = T.StructType(
     ]
 )
 
+# On wish next to the envelope: the listener that a message was dealt to.
+LISTENER = T.StructField("listener", T.LongType())
+
 TEXT5 = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("subject", "dateTime", "content", "headers", "jsMetadata")]
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,11 +21,13 @@ _roots: dict[str, str] = {}
 
 
 def workspace(spark: SparkSession) -> str:
-    """Folder shared by driver and executors: spark.checkpoint.dir, else a temporary one (tests)."""
+    """Folder shared by driver and executors: spark.checkpoint.dir; a temporary one in local mode only."""
     app = spark.sparkContext.applicationId
     if app not in _roots:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="msgflow-")
         _roots[app] = f"{root.rstrip('/')}/msgflow/{app}"
     return _roots[app]
@@ -52,13 +55,14 @@ def state_partitions(spark: SparkSession) -> Iterator[None]:
     """Start stateful queries inside this block: state partitions in line with the cluster's cores.
 
     The number is fixed for the life of a checkpoint, and a query takes it from the session when it
-    starts. A value the user has chosen is kept; only Spark's default is replaced.
+    starts. A value the user has set is kept, whatever it is; only Spark's own default is replaced.
     """
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key, "200")
-    if before == "200":
-        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    if key in spark.conf.getAll:
+        yield
+        return
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key)

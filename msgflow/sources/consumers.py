@@ -14,6 +14,12 @@ class ConsumerStore:
         self.consumer = consumer
         self.folder = f"{path}/consumers/{consumer}"
 
+    @classmethod
+    def at(cls, folder: str) -> ConsumerStore:
+        """The consumer kept in a folder."""
+        path, consumer = folder.rsplit("/consumers/", 1)
+        return cls(path, consumer)
+
     def exists(self) -> bool:
         return files.exists(f"{self.folder}/settings.json")
 

@@ -38,9 +38,6 @@ STAGED = T.StructType(
     ]
 )
 
-# Up to this many data files are named one by one in a scan; beyond, the folders are listed.
-FEW_FILES = 2000
-
 
 def _escaped(path: str) -> str:
     """A path with the signs escaped that Spark would read as a pattern."""
@@ -48,10 +45,11 @@ def _escaped(path: str) -> str:
 
 
 class MessageLog:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, index: LogIndex | None = None):
+        """``index`` is one kept from before: what it has read of the manifests is not read again."""
         self.spark = spark
         self.path = path.rstrip("/")
-        self.index = LogIndex(self.path)
+        self.index = index or LogIndex(self.path)
 
     # -- read -----------------------------------------------------------------
 
@@ -78,8 +76,6 @@ class MessageLog:
         ]
         if not chosen:
             return self.spark.createDataFrame([], schemas.LOG).drop("batch")
-        if len(chosen) > FEW_FILES:
-            return range_scan(self.scan(), start, end)
         reader = self.spark.read.schema(schemas.LOG).option("basePath", f"{self.path}/data")
         return range_scan(reader.parquet(*[_escaped(f) for f in chosen]).drop("batch"), start, end)
 
@@ -122,6 +118,7 @@ class MessageLog:
             staged = self.spark.read.schema(STAGED).parquet(f"{staging}/rows")
             staged = staged.withColumn("_task", F.shiftright("_row", 33))
             runs = self._runs(staged).persist()
+            expected = runs.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
             numbered = join_small(staged, self._shifts(runs, heads), ["_task", "stream"], runs.count()).select(
                 "subject",
                 F.col("data").alias("content"),
@@ -137,13 +134,16 @@ class MessageLog:
                 .partitionBy("stream")
                 .parquet(target)
             )
-            return self._commit(batch, target, heads)
+            return self._commit(batch, target, heads, expected)
         finally:
             if runs is not None:
                 runs.unpersist()
             files.delete_folder(staging)
 
     def _stage(self, df: DataFrame, staging: str, order_by: list[str] | None, one_stream: bool) -> None:
+        named = F.col("stream").isNotNull() & (F.col("stream") != "")
+        error = F.raise_error(F.lit("A message has no stream; route or drop it before it is appended")).cast("string")
+        df = df.withColumn("stream", F.when(named, F.col("stream")).otherwise(error))
         if order_by or not one_stream:
             # The input position breaks ties, so rows with equal order values can still be split.
             order = ["stream", *(order_by or []), "_position"]
@@ -164,7 +164,7 @@ class MessageLog:
         shift = F.col("_head") + earlier + 1 - F.col("_first")
         return with_offset(runs, heads, "_head").select("_task", "stream", shift.alias("_shift"))
 
-    def _commit(self, batch: str, target: str, heads: dict[str, int]) -> int:
+    def _commit(self, batch: str, target: str, heads: dict[str, int], expected: int) -> int:
         path = F.col("_metadata.file_path")
         written = (
             self.spark.read.schema("streamSeq bigint, stream string").parquet(target)
@@ -186,7 +186,10 @@ class MessageLog:
         names = [unquote(f).rsplit("/data/batch=", 1)[-1] for f in table["file"].to_pylist()]
         paths = pa.array([f"data/batch={n}" for n in names], pa.string())
         table = table.set_column(table.schema.get_field_index("file"), "file", paths)
+        rows = sum(table["rows"].to_pylist())
+        if rows != expected:
+            raise RuntimeError(f"Batch '{batch}' has {rows} of {expected} messages; it is not committed")
         if self.heads() != heads:
             raise RuntimeError(f"Another writer has appended to {self.path} meanwhile; append '{batch}' again")
         self.index.commit(batch, table)
-        return sum(table["rows"].to_pylist())
+        return rows

@@ -2,17 +2,20 @@
 
 The offset is ``{stream: last sequence number}`` and comes from the log's manifests, so it never
 depends on a counter kept in memory. The driver only plans ranges; executors read the Parquet files.
+
+Spark tells a source only that the batch before the last one is done. So offsets also carry, as keys that no
+stream can have, the consumer to move and the idle limit; ``SourceWatch`` reads them from the query's progress.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from msgflow import schemas
@@ -25,6 +28,10 @@ from msgflow.sources.consumers import ConsumerStore
 from msgflow.sources.index import LogIndex
 
 
+# Keys of an offset that are not streams: the consumer's folder, and the idle limit in seconds.
+CONSUMER_KEY = "consumer:"
+IDLE_KEY = "idle-seconds:"
+
 # Messages per Arrow batch handed to Spark.
 ARROW_ROWS = 10_000
 
@@ -85,10 +92,14 @@ class MessageLogSource(DataSource):
 
     def schema(self) -> StructType:
         columns = SourceOptions.from_options(self.options).columns
-        unknown = [c for c in columns if c not in schemas.ENVELOPE.names]
+        known = {f.name: f for f in (*schemas.ENVELOPE, schemas.LISTENER)}
+        unknown = [c for c in columns if c not in known]
         if unknown:
             raise ValueError(f"Unknown envelope columns: {', '.join(unknown)}")
-        return StructType([schemas.ENVELOPE[c] for c in columns]) if columns else schemas.ENVELOPE
+        return StructType([known[c] for c in columns]) if columns else schemas.ENVELOPE
+
+    def reader(self, schema: StructType) -> MessageLogReader:
+        return MessageLogReader(SourceOptions.from_options(self.options))
 
     def streamReader(self, schema: StructType) -> MessageLogStreamReader:
         options = SourceOptions.from_options(self.options)
@@ -102,9 +113,8 @@ class MessageLogStreamReader(DataSourceStreamReader):
         self.options = options
         self.index = LogIndex(options.path)
         self.patterns = parse_patterns(options.subjects)
-        self.columns = options.columns or tuple(_ARROW_ENVELOPE.names)
+        self.columns = options.columns or tuple(schemas.ENVELOPE.names)
         self.store = ConsumerStore(options.path, options.consumer) if options.consumer else None
-        self.max_ack_pending = 0
         if self.store is not None:
             settings = self.store.open(
                 options.create_consumer,
@@ -113,8 +123,6 @@ class MessageLogStreamReader(DataSourceStreamReader):
                 options.subjects,
                 options.max_request_batch,
             )
-            if not options.ack_none:
-                self.max_ack_pending = int(settings.get("max_ack_pending", 0))
             if not options.create_consumer:
                 self.patterns = parse_patterns(settings.get("subjects", []))
         self.first_batch = True
@@ -123,21 +131,28 @@ class MessageLogStreamReader(DataSourceStreamReader):
 
     def initialOffset(self) -> dict:
         floors = self.store.floors() if self.store else {}
-        return {s: int(floors.get(s, 0)) for s in self.options.streams}
+        return self._offset(floors)
 
     def latestOffset(self) -> dict:
-        heads = self.index.heads()
-        ends = {s: heads.get(s, 0) for s in self.options.streams}
-        if self.store and self.max_ack_pending > 0:
-            # Unacknowledged messages never exceed the cap; floors only grow, so neither goes back.
-            floors = self.store.floors()
-            ends = {s: min(e, int(floors.get(s, 0)) + self.max_ack_pending) for s, e in ends.items()}
-        return ends
+        """The streams' ends. A batch is acknowledged as a whole when it is done, so nothing waits for a cap."""
+        return self._offset(self.index.heads())
+
+    def _offset(self, ends: dict[str, int]) -> dict:
+        offset = {s: int(ends.get(s, 0)) for s in self.options.streams}
+        if self._acking():
+            offset[CONSUMER_KEY + self.store.folder] = 0
+        if self.options.idle_timeout is not None:
+            offset[IDLE_KEY] = int(self.options.idle_timeout * 60)
+        return offset
+
+    def _acking(self) -> bool:
+        return self.store is not None and not self.options.ack_none
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         for offset in (start, end):
             if not isinstance(offset, dict) or any(not isinstance(v, int) or v < 0 for v in offset.values()):
                 raise ValueError(f"Not a stream offset: {offset!r}")
+        self.commit(start)  # a batch is planned from where the last one ended
         heads = self.index.heads()
         moved = any(end.get(s, 0) > start.get(s, 0) for s in self.options.streams)
         if not moved:
@@ -154,16 +169,16 @@ class MessageLogStreamReader(DataSourceStreamReader):
         return share_slices(slices, self.options.listeners, self.options.max_partitions)
 
     def commit(self, end: dict) -> None:
-        if self.store and not self.options.ack_none:
-            self.store.advance(end)
+        if self._acking():
+            self.store.advance({s: end[s] for s in self.options.streams if end.get(s)})
 
     # -- executors --------------------------------------------------------------
 
     def read(self, partition: SlicePartition) -> Iterator[pa.RecordBatch]:
         for run in _runs(partition.slices):
-            yield from self._read_run(run)
+            yield from self._read_run(run, partition.listener)
 
-    def _read_run(self, run: Slice) -> Iterator[pa.RecordBatch]:
+    def _read_run(self, run: Slice, listener: int) -> Iterator[pa.RecordBatch]:
         system, path = files.open_fs(f"{self.options.path}/{run.file}")
         wanted = (ds.field("streamSeq") > run.after) & (ds.field("streamSeq") <= run.upto)
         subject_test = _subject_expression(self.patterns)
@@ -183,19 +198,19 @@ class MessageLogStreamReader(DataSourceStreamReader):
         for batch in scanner.to_batches():
             if not batch.num_rows:
                 continue
-            made = pa.RecordBatch.from_arrays([self._column(c, batch, run) for c in self.columns], schema=schema)
+            made = pa.RecordBatch.from_arrays([self._column(c, batch, run, listener) for c in self.columns], schema=schema)
             if not inflate:
                 yield made
                 continue
             for piece in inflate_batch(made, "content", self.options.strict):
                 yield pa.RecordBatch.from_arrays(piece.columns, schema=schema)
 
-    def _column(self, name: str, batch: pa.RecordBatch, run: Slice) -> pa.Array:
+    def _column(self, name: str, batch: pa.RecordBatch, run: Slice, listener: int) -> pa.Array:
         """One envelope column of a batch of stored messages."""
         kind = _ARROW_ENVELOPE.field(name).type
         if name in ("subject", "content", "headers"):
             return batch.column(name).cast(kind)
-        fixed = {"domain": self.options.domain, "stream": run.stream, "consumer": self.options.consumer, "delivered": 1}
+        fixed = {"domain": self.options.domain, "stream": run.stream, "consumer": self.options.consumer, "delivered": 1, "listener": listener}
         if name in fixed:
             return pa.repeat(pa.scalar(fixed[name], kind), batch.num_rows)
         seq = batch.column("streamSeq").cast(pa.int64())
@@ -213,6 +228,20 @@ class MessageLogStreamReader(DataSourceStreamReader):
         return pc.binary_join_element_wise(".".join(head), seq_text, seq_text, nanos, pending.cast(kind), ".")
 
 
+class MessageLogReader(DataSourceReader):
+    """The same envelopes as a table: everything committed when the query starts."""
+
+    def __init__(self, options: SourceOptions):
+        self.stream = MessageLogStreamReader(replace(options, consumer=None, reset_on_restart=False))
+
+    def partitions(self) -> list[InputPartition]:
+        return self.stream.partitions({}, self.stream.latestOffset())
+
+    def read(self, partition: SlicePartition) -> Iterator[pa.RecordBatch]:
+        if partition is not None:  # an empty log has no partitions
+            yield from self.stream.read(partition)
+
+
 _ARROW_ENVELOPE = pa.schema(
     [
         ("subject", pa.string()),
@@ -227,6 +256,7 @@ _ARROW_ENVELOPE = pa.schema(
         ("consumerSeq", pa.int64()),
         ("timestamp", pa.timestamp("us", tz="UTC")),
         ("pending", pa.int64()),
+        ("listener", pa.int64()),
     ]
 )
 

@@ -9,6 +9,7 @@ from msgflow.operators.envelope import to_text3, to_text5
 from msgflow.options import SourceOptions
 from msgflow.session import ship_package
 from msgflow.sources.msglog import MessageLogSource
+from msgflow.streaming.idle import SourceWatch
 
 
 _registered: set[str] = set()
@@ -19,6 +20,7 @@ def register(spark: SparkSession) -> None:
     ship_package()
     if spark.sparkContext.applicationId not in _registered:
         spark.dataSource.register(MessageLogSource)
+        spark.streams.addListener(SourceWatch(spark))
         _registered.add(spark.sparkContext.applicationId)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from msgflow.operators.envelope import conform_to_sink, publish_rows, text_rows
 from msgflow.operators.routing import guard_subjects
 from msgflow.options import SinkOptions
+from msgflow.sources.index import LogIndex
 from msgflow.sources.log import MessageLog
 
 
@@ -63,9 +64,10 @@ def batch_name(batch: DataFrame, batch_id: int, writer: str | None) -> str:
 def batch_writer(options: Mapping[str, object]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends each micro-batch once, also when it is replayed."""
     parsed = SinkOptions.from_options(options)
+    index = LogIndex(parsed.path.rstrip("/"))  # lives as long as the query: each batch reads new manifests only
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log = MessageLog(batch.sparkSession, parsed.path)
+        log = MessageLog(batch.sparkSession, parsed.path, index)
         publish(log, batch, parsed.stream, batch_name(batch, batch_id, parsed.writer), parsed.subjects)
 
     return write

@@ -1,51 +1,79 @@
-"""Stopping a query that gets no messages for a while."""
+"""Following running queries: moving consumers with every batch that is done, stopping queries that get no messages."""
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from msgflow.sources.consumers import ConsumerStore
+from msgflow.sources.msglog import CONSUMER_KEY, IDLE_KEY
 
-class IdleStop(StreamingQueryListener):
-    """Stops one query after ``minutes`` without a non-empty batch."""
 
-    def __init__(self, spark: SparkSession, query: StreamingQuery, minutes: float):
+class SourceWatch(StreamingQueryListener):
+    """For all queries over message logs of one application.
+
+    Each progress report names the offset up to which the batch is done, also the last batch of a run and one in
+    which no message matched: that is where the consumer stands. Queries whose source has an idle limit are
+    stopped after so long without a message.
+    """
+
+    def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.query_id = query.id
-        self.limit = minutes * 60.0
-        self.last_message = time.monotonic()
+        self.limits: dict[str, float] = {}
+        self.last_message: dict[str, float] = {}
+
+    def watch(self, query_id: str, seconds: float) -> None:
+        self.limits[query_id] = seconds
+        self.last_message.setdefault(query_id, time.monotonic())
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        if str(event.progress.id) != self.query_id:
-            return
+        query = str(event.progress.id)
+        for source in event.progress.sources:
+            self._source(query, source.endOffset)
         if event.progress.numInputRows > 0:
-            self.last_message = time.monotonic()
-        self._check()
+            self.last_message[query] = time.monotonic()
+        self._check(query)
 
     def onQueryIdle(self, event) -> None:
-        if str(event.id) == self.query_id:
-            self._check()
+        self._check(str(event.id))
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.limits.pop(str(event.id), None)
+        self.last_message.pop(str(event.id), None)
+
+    def _source(self, query: str, offset: str | None) -> None:
+        try:
+            ends = json.loads(offset or "null")
+        except ValueError:
+            return
+        if not isinstance(ends, dict):
+            return  # another kind of source
+        streams = {k: v for k, v in ends.items() if not k.startswith((CONSUMER_KEY, IDLE_KEY))}
+        for key, value in ends.items():
+            if key.startswith(CONSUMER_KEY):
+                ConsumerStore.at(key.removeprefix(CONSUMER_KEY)).advance(streams)
+            elif key == IDLE_KEY:
+                self.watch(query, value)
 
-    def _check(self) -> None:
-        if time.monotonic() - self.last_message < self.limit:
+    def _check(self, query_id: str) -> None:
+        if query_id not in self.limits or time.monotonic() - self.last_message[query_id] < self.limits[query_id]:
             return
-        query = self.spark.streams.get(self.query_id)
+        query = self.spark.streams.get(query_id)
         if query is not None and query.isActive:
             query.stop()
 
 
-def stop_when_idle(spark: SparkSession, query: StreamingQuery, minutes: float | None) -> IdleStop | None:
-    """Watch a running query; without a limit (the option's default) nothing is watched."""
+def stop_when_idle(spark: SparkSession, query: StreamingQuery, minutes: float | None) -> SourceWatch | None:
+    """Watch a running query of any source; without a limit nothing is watched."""
     if minutes is None:
         return None
-    listener = IdleStop(spark, query, minutes)
+    listener = SourceWatch(spark)
+    listener.watch(str(query.id), minutes * 60.0)
     spark.streams.addListener(listener)
     return listener

@@ -14,6 +14,7 @@ from msgflow.operators.delivery import Delivery
 from msgflow.operators.envelope import conform_to_sink
 from msgflow.operators.routing import filter_subjects
 from msgflow.options import SinkOptions, SourceOptions
+from msgflow.sources.index import LogIndex
 from msgflow.sources.log import MessageLog
 from msgflow.sources.reading import read_stream
 from msgflow.sources.sink import batch_name, publish
@@ -43,10 +44,12 @@ def relay_stream(
 
     Per micro-batch the rows are appended first and acknowledged after that, both under the batch id,
     so a replayed batch neither repeats messages nor loses acks. The source delivers each stream in
-    order without holes, so the consumer's position moves to the end of the acknowledged batch.
+    order without holes, so the consumer's position moves to the end of the acknowledged batch; past messages
+    that its subjects leave out it moves when the query reports the batch as done.
     """
     read = SourceOptions.from_options(source)
     target = SinkOptions.from_options(sink)
+    index = LogIndex(target.path.rstrip("/"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -57,7 +60,7 @@ def relay_stream(
         try:
             renamed = batch.withColumn("subject", rewrite_subject(F.col("subject"), pattern, replacement))
             rows = renamed.withColumnRenamed("content", "data")
-            publish(MessageLog(session, target.path), rows, target.stream, name, target.subjects)
+            publish(MessageLog(session, target.path, index), rows, target.stream, name, target.subjects)
             if acking:
                 consumer = Delivery(MessageLog(session, read.path), read.consumer)
                 consumer.write_acks(batch, name, F.current_timestamp())

@@ -142,7 +142,13 @@ def test_redelivery(spark):
         "consumer string, stream string, streamSeq bigint, acked_at timestamp",
     )
     due = D.redelivery_due(deliveries, acks, 90, at(100))
-    assert sorted((r.streamSeq, r.attempts) for r in due.collect()) == [(2, 1), (3, 1)]
+    assert sorted((r.streamSeq, r.attempts) for r in due.collect()) == [(2, 1)]
+    # Before the late ack came, its message was due; a delivery or an ack of the future does not count.
+    earlier = D.redelivery_due(deliveries, acks, 90, at(90))
+    assert sorted((r.streamSeq, r.attempts) for r in earlier.collect()) == [(2, 1), (3, 1)]
+    assert D.redelivery_due(deliveries, acks, 90, at(-1)).count() == 0
+    # An ack that came before the last delivery ends the matter, too.
+    assert [r.streamSeq for r in D.redelivery_due(deliveries, acks.where("streamSeq = 1"), 90, at(1000)).orderBy("streamSeq").collect()] == [2, 3, 4, 5]
     assert D.redelivery_due(deliveries, acks, 90, at(100), ack_none=True).count() == 0
     assert {r.streamSeq: r.delivered for r in D.delivery_counts(deliveries).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 2}
     assert [(r.streamSeq, r.seen) for r in D.repeated_messages(deliveries).collect()] == [(5, 2)]
@@ -194,8 +200,9 @@ def test_pull_and_commit_can_be_repeated(spark, log):
     fill(log, 10)
     consumer = D.Delivery(log, "c")
     assert keys(consumer.pull_batch("p1", at(0), fetch=4)) == keys(consumer.pull_batch("p1", at(0), fetch=4))
-    assert consumer.commit_batch("p1", at(1)) == consumer.commit_batch("p1", at(1)) == 4
-    assert consumer.acks().count() == 4
+    assert consumer.commit_batch("p1", at(1)) == consumer.commit_batch("p1", at(9)) == 4
+    assert consumer.acks().count() == consumer.acks().where(F.col("acked_at") == at(1)).count() == 4
+    assert consumer.floors() == {"S-0": 4}
     assert consumer.commit_batch("unknown", at(1)) == 0
     assert keys(consumer.batch_messages("unknown")) == []
 
@@ -228,7 +235,9 @@ def test_consumer_settings(spark, log):
         consumer.store.open(create=False)
     consumer.store.open(create=True, ack_wait=5, max_request_batch=3)
     assert consumer.store.open(create=False)["ack_wait"] == 5
-    assert len(keys(consumer.pull_batch("p", at(0), fetch=10))) == 3
+    with pytest.raises(ValueError, match="max_request_batch=3"):
+        consumer.pull_batch("p", at(0), fetch=10)
+    assert len(keys(consumer.pull_batch("p", at(0), fetch=3))) == 3
     consumer.store.open(create=True, ack_wait=6)
     assert consumer.store.settings()["ack_wait"] == 6
     assert consumer.store.advance({"S-0": 5}) == consumer.store.advance({"S-0": 4}) == {"S-0": 5}
@@ -253,9 +262,12 @@ def test_cap_on_unacknowledged_messages_over_pulls(spark, log):
     fill(log, 30, streams=2)
     consumer = D.Delivery(log, "c")
     consumer.store.open(create=True, ack_wait=60, max_ack_pending=7)
+    # Seven per stream: three and two, two and three, then two and two are left.
     assert len(keys(consumer.pull_batch("p1", at(0), fetch=5))) == 5
-    assert len(keys(consumer.pull_batch("p2", at(1), fetch=5))) == 2
-    assert len(keys(consumer.pull_batch("p3", at(2), fetch=5))) == 0
+    assert len(keys(consumer.pull_batch("p2", at(1), fetch=5))) == 5
+    assert len(keys(consumer.pull_batch("p3", at(2), fetch=5))) == 4
+    assert len(keys(consumer.pull_batch("none", at(2), fetch=5))) == 0
     consumer.commit_batch("p1", at(3))
+    assert consumer.floors() == {"S-0": 3, "S-1": 2}
     assert len(keys(consumer.pull_batch("p4", at(4), fetch=20, listeners=2))) == 5
-    assert len(keys(consumer.pull_batch("p5", at(62), fetch=20))) == 2  # the second pull's wait is over
+    assert len(keys(consumer.pull_batch("p5", at(62), fetch=20))) == 9  # the second and third pulls' waits are over

@@ -96,18 +96,13 @@ def test_empty_log_and_empty_batch(spark, log):
     assert log.scan().columns == ["subject", "content", "headers", "timestamp", "streamSeq", "stream"]
 
 
-@pytest.mark.parametrize("few", [2000, 0], ids=["files", "folders"])
-def test_range_scan_reads_chosen_files(spark, log, monkeypatch, few):
-    from msgflow.sources import log as module
-
-    monkeypatch.setattr(module, "FEW_FILES", few)
+def test_range_scan_reads_chosen_files(spark, log):
     for i in range(3):
         fill(log, 20, streams=2, batch=f"b{i}")
     part = log.scan_range({"S-0": 12}, {"S-0": 22, "S-9": 5})
     assert keys(part) == [("S-0", n) for n in range(13, 23)]
     assert part.columns == log.scan().columns
-    if few:
-        assert len({f.rsplit("batch=", 1)[1].split("/")[0] for f in part.inputFiles()}) == 2
+    assert len({f.rsplit("batch=", 1)[1].split("/")[0] for f in part.inputFiles()}) == 2
     assert log.scan_range({}, {}).count() == 0
 
 
@@ -157,3 +152,29 @@ def test_publish_helpers(spark, log):
     publish_text(log, spark.createDataFrame([("x",), ("y",)], "t string"), "B", "sub", "t", "b2")
     rows = {(r.stream, r.subject, bytes(r.content), str(r.headers)) for r in log.scan().collect()}
     assert rows == {("A", "s", b"m", "{'originTimestamp': ['t0']}"), ("B", "sub", b"x", "{}"), ("B", "sub", b"y", "{}")}
+
+
+@pytest.mark.parametrize("name", [None, ""])
+def test_messages_without_a_stream_fail_the_batch(spark, log, name):
+    df = messages(spark, [("s", "1"), ("s", "2"), ("s", "3")]).withColumn("n", F.monotonically_increasing_id())
+    to = F.when(F.col("n") == df.agg(F.max("n")).first()[0], F.lit(name)).otherwise(F.lit("A"))
+    with pytest.raises(Exception, match="has no stream"):
+        publish(log, df, to, "b")
+    assert log.scan().count() == 0 and log.heads() == {}
+    assert publish(log, df, F.coalesce(to, F.lit("B")) if name is None else F.lit("B"), "b") == 3
+
+
+def test_a_batch_with_missing_messages_is_not_committed(spark, log, monkeypatch):
+    monkeypatch.setattr(type(log), "_runs", lambda self, staged: staged.groupBy("_task", "stream").agg(F.lit(5).alias("_n"), F.min("_row").alias("_first")))
+    with pytest.raises(RuntimeError, match="not committed"):
+        publish(log, messages(spark, [("s", "1"), ("s", "2")]), "A", "b")
+    assert log.heads() == {}
+
+
+def test_bounds_of_many_streams_reach_the_scan(spark, log):
+    from msgflow.operators.planning import range_scan
+
+    publish(log, messages(spark, [("s", "1")]), "A", "b")
+    ends = {f"S-{n}": 90 + n for n in range(1000)}
+    plan = range_scan(log.scan(), {s: e - 10 for s, e in ends.items()}, ends)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(streamSeq,81)" in plan and "LessThanOrEqual(streamSeq,1089)" in plan

@@ -97,14 +97,16 @@ def test_reset_applies_to_the_first_real_batch_only(spark, log):
     assert seqs(source.partitions({"S-0": 6}, {"S-0": 8})) == [7, 8]
 
 
-def test_durable_consumer_floor_and_cap(spark, log):
+def test_durable_consumer_position(spark, log):
     fill(log, 50)
     source = reader(log, consumer="c", max_ack_pending=20)
-    assert source.initialOffset() == {"S-0": 0} and source.latestOffset() == {"S-0": 20}
-    source.commit({"S-0": 20})
-    assert source.latestOffset() == {"S-0": 40}
+    tag = {f"consumer:{log.path}/consumers/c": 0}
+    assert source.initialOffset() == {"S-0": 0} | tag and source.latestOffset() == {"S-0": 50} | tag
+    source.commit({"S-0": 20} | tag)
     again = reader(log, consumer="c", create_consumer="false")
-    assert again.initialOffset() == {"S-0": 20} and again.latestOffset() == {"S-0": 40}
+    assert again.initialOffset() == {"S-0": 20} | tag and again.latestOffset() == {"S-0": 50} | tag
+    assert seqs(again.partitions({"S-0": 30}, {"S-0": 50})) == list(range(31, 51))
+    assert ConsumerStore(log.path, "c").floors() == {"S-0": 30}  # planning from an offset means all before it is done
     assert reader(log, consumer="c", ack_none="true").latestOffset() == {"S-0": 50}
     with pytest.raises(ValueError, match="'new'"):
         reader(log, consumer="new", create_consumer="false")
@@ -290,3 +292,47 @@ def test_stream_redelivery(spark):
         file_stream(spark, stamped(spark, deliveries, "delivered_at")), file_stream(spark, stamped(spark, acks, "acked_at")), 90
     )
     assert keys(collect(spark, due, scratch(spark, "o"), scratch(spark, "c"))) == [("s", 2), ("s", 3)]
+
+
+def wait_for(test, seconds=20):
+    until = time.monotonic() + seconds
+    while not test() and time.monotonic() < until:
+        time.sleep(0.05)
+    return test()
+
+
+def test_default_consumer_gets_and_acknowledges_everything(spark, log):
+    fill(log, 3000)
+    stream = read_stream(spark, path=log.path, stream="S-0", consumer="c", columns="stream,streamSeq")
+    out = collect(spark, stream, scratch(spark, "o"), scratch(spark, "c"))
+    assert out.count() == 3000
+    assert wait_for(lambda: ConsumerStore(log.path, "c").floors() == log.heads())
+
+
+def test_filtered_consumer_is_not_held_up(spark, log):
+    fill(log, 3000, batch="b0", subject="x.miss")
+    fill(log, 5, batch="b1", subject="x.hit")
+    fill(log, 10, batch="b2", subject="x.miss")
+    target = scratch(spark, "t")
+    source = {"path": log.path, "stream": "S-0", "consumer": "c", "subjects": "x.hit"}
+    run(relay_stream(spark, source, {"path": target, "stream": "OUT"}, r"(.+)", "done.$1"), scratch(spark, "c"))
+    assert MessageLog(spark, target).scan().count() == 5
+    assert wait_for(lambda: ConsumerStore(log.path, "c").floors() == log.heads())
+
+
+def test_idle_option_stops_the_query(spark, log):
+    fill(log, 5)
+    stream = read_stream(spark, path=log.path, stream="S-0", idle_timeout=0.03)
+    query = stream.writeStream.format("noop").option("checkpointLocation", scratch(spark, "c")).start()
+    assert query.awaitTermination(60)
+
+
+def test_format_as_a_table(spark, log):
+    from msgflow.sources.reading import register
+
+    register(spark)
+    fill(log, 30, streams=2)
+    table = spark.read.format("msglog").options(path=log.path, stream_prefix="S", num_partitions="2").load()
+    assert keys(table) == keys(log.scan()) and table.columns == schemas.ENVELOPE.names
+    empty = spark.read.format("msglog").options(path=log.path, stream="none").load()
+    assert empty.count() == 0

@@ -115,3 +115,14 @@ def test_rewrite(spark, pattern, subject, expected):
 
     got = spark.range(1).select(rewrite_subject(F.lit(subject), pattern, "done.$1")).collect()[0][0]
     assert got == expected
+
+
+def test_empty_tokens_match_no_wildcard_in_filter_and_join(spark):
+    subjects = ["a..b", "a.b.", ".a", "a.x.b", "a.", "a..", "a.b.c", "", "."]
+    df = spark.createDataFrame([(s,) for s in subjects], "subject string")
+    for pattern in ("a.*.b", "a.>", "*.*", ">", "*"):
+        table = spark.createDataFrame([(pattern,)], "pattern string")
+        joined = sorted(r.subject for r in R.match_patterns(df, table).collect())
+        if pattern != ">":
+            assert joined == sorted(r.subject for r in R.filter_subjects(df, pattern).collect()), pattern
+    assert R.match_patterns(df, spark.createDataFrame([], "pattern string")).count() == 0
