@@ -33,7 +33,8 @@ _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 def anchors(part: W.Slice, hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor hashes of all windows, one for each place that is an anchor, and the documents that own them."""
+    """Anchor hashes of all windows and the documents that own them: each once per document, or twice if it is an anchor
+    at several places of the document."""
     places, owners = W.run_places(part, window)
     if not len(places):
         return np.zeros(0, np.uint64), owners
@@ -47,7 +48,13 @@ def anchors(part: W.Slice, hashes: np.ndarray, window: int = WINDOW, gram: int =
     chosen = places + at[places]
     new = np.ones(len(chosen), bool)
     new[1:] = chosen[1:] != chosen[:-1]
-    return grams[chosen[new]], owners[new]
+    values, owners = grams[chosen[new]], owners[new]
+    order = np.argsort(values, kind="stable")
+    order = order[np.argsort(owners[order], kind="stable")]
+    values, owners = values[order], owners[order]
+    third = np.zeros(len(values), bool)
+    third[2:] = (values[2:] == values[:-2]) & (owners[2:] == owners[:-2])
+    return values[~third], owners[~third]
 
 
 def sequence_keys(part: W.Slice, hashes: np.ndarray, hasher: W.Hasher) -> list[np.ndarray]:
@@ -237,8 +244,10 @@ def repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 def drop_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with repeated passages cut out of `text` (kept words joined by one space); texts that lose no word
     stay as they are."""
-    found = repeats(documents, window).where("n_removed > 0").select(F.col("doc_id").alias("__id"), "n_words", "removed")
-    found = found.dropDuplicates(["__id", "n_words"])
+    found = repeats(documents, window).where("n_removed > 0").select(
+        F.col("doc_id").alias("__id"), F.col("n_words").alias("__words"), F.col("removed").alias("__removed")
+    )
+    found = found.dropDuplicates(["__id", "__words"])
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, removed: pa.Array) -> pa.Array:
@@ -253,5 +262,5 @@ def drop_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         return pa.array(out, pa.string())
 
     rows = documents.withColumn("__n", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__n") == F.col("n_words")), "left")
-    return joined.withColumn("text", cut(F.col("text"), F.col("removed"))).select(*documents.columns)
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__n") == F.col("__words")), "left")
+    return joined.withColumn("text", cut(F.col("text"), F.col("__removed"))).select(*documents.columns)
