@@ -33,6 +33,7 @@ LEAST_ODDS = 8.0  # how much more often a toxic document must hold it
 HELD_OUT = 0
 DIVISOR = 5
 PATTERNS = 3  # shares of words in capitals, of exclamation and question marks, of words of address
+DEPENDENT = 0.25  # correlation given the label from which on voters count as dependent; less is the estimate's own error
 TRUST = np.log(0.95 / 0.05)  # of a label, as one more voter of the documents the classifier is fitted on
 
 # Common insults and words of address.
@@ -128,7 +129,7 @@ def label_model(
 
     `votes` are the combinations seen with their `counts`; `known` are votes of labelled rows, which start the
     estimate and stay in it. Rounds of EM re-estimate P(vote | label) and, from the residuals of voter pairs given the label,
-    their correlations; a voter's log odds are divided by one plus its positive correlations with the others.
+    their correlations; a voter's log odds are divided by one plus its correlations with the voters it depends on.
     """
     both = np.concatenate([votes, known])
     weight = np.concatenate([counts.astype(float), np.ones(len(known))])
@@ -157,7 +158,8 @@ def label_model(
             spread = np.sqrt((w[:, None] * rest**2).sum(0)) + 1e-3
             parts.append((w[:, None] * rest).T @ rest / np.outer(spread, spread))
         correlation = (parts[0] + parts[1]) / 2
-        discount = 1 / (1 + np.maximum(correlation - np.diag(np.diag(correlation)), 0).sum(0))
+        others = correlation - np.diag(np.diag(correlation))
+        discount = 1 / (1 + np.where(others > DEPENDENT, others, 0).sum(0))
     return odds, discount, correlation
 
 
@@ -242,10 +244,10 @@ def fit(documents: DataFrame, labels: DataFrame, allowed: Column, per_class: int
     """The classifier; a constant one where the allowed labels hold one class only (0 without any)."""
     ship_package()
     drawn = materialize(sample(documents, labels, "toxic", allowed, per_class, seed=6), "toxic-sample")
-    shares = labels.where(F.col("toxic").isin(0, 1) & allowed).agg(F.avg("toxic"), F.min("toxic"), F.max("toxic")).first()
-    if shares[1] == shares[2]:
-        sure = shares[1] or 0
-        return Model(np.zeros(0, np.uint64), np.zeros(PATTERNS), 6.0 if sure else -6.0, [])
+    present = {r.label for r in drawn.select("label").distinct().collect()}  # at most two
+    if len(present) < 2:
+        return Model(np.zeros(0, np.uint64), np.zeros(PATTERNS), 6.0 if present == {1} else -6.0, [])
+    prior = labels.where(F.col("toxic").isin(0, 1) & allowed).agg(F.avg("toxic")).first()[0]
 
     listed = np.unique(np.concatenate([_counted(drawn), _word_list(INSULTS)]))
     insults = np.isin(listed, _word_list(INSULTS))
@@ -277,8 +279,7 @@ def fit(documents: DataFrame, labels: DataFrame, allowed: Column, per_class: int
     # At most 3 combinations per voter and voter: a few hundred rows.
     seen = looked.select(*[v.alias(n) for v, n in zip(voters, names)]).groupBy(*names).count().toArrow()
     combined = np.stack([seen[n].to_numpy() for n in names], axis=1).astype(np.int64)
-    odds, discount, _ = label_model(combined, seen["count"].to_numpy(), votes, label, float(shares[0]))
-    prior = float(shares[0])
+    odds, discount, _ = label_model(combined, seen["count"].to_numpy(), votes, label, prior)
     logit = np.log(prior / (1 - prior)) + log_odds(votes, odds, discount) + np.where(label == 1, TRUST, -TRUST)
     weights = train(np.concatenate([held, share], axis=1), 1 / (1 + np.exp(-logit)))
     accuracy = [float(x) for x in ((votes > 0) == (label[:, None] == 1)).mean(axis=0)]

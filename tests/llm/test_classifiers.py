@@ -83,7 +83,7 @@ def test_dropping_toxic_documents(spark, make):
     df = make(ROWS + [(None, None), (700, "")], __score2="x", terms="y")
     out = toxicity.drop_toxic(df, labelled(spark, LABELS))
     assert out.columns == df.columns
-    assert sorted(r.doc_id or -1 for r in out.collect()) == [-1, *range(60), 700]
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in out.collect()) == [-1, *range(60), 700]
 
 
 def test_attention_finds_the_telling_passage():
