@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
-1. Words and word beginnings that toxic documents hold more often are counted over a bounded labelled sample. In each fold
-   of the sample a lexicon is chosen greedily: the term that covers most toxic documents not yet covered comes next.
+1. Words and word beginnings that toxic documents hold, or repeat, more often are counted over a bounded labelled sample.
+   In each fold of the sample a lexicon is chosen greedily: the term that covers most toxic documents not yet covered
+   comes next. A term is a word or beginning that a document holds at least once, twice or three times.
 2. Voters look at every document: the folds' lexicons, a list of common insults, and patterns of writing. Their votes
    are counted by combination over all documents.
 3. A generative label model (EM over the combinations) estimates each voter's accuracy and the correlations of
@@ -26,7 +27,8 @@ from msgflow.session import ship_package
 
 PER_CLASS = 6000  # labelled documents of each class that lexicons are mined from and the classifier is fitted on
 CANDIDATES = 8000  # counted terms that a lexicon may be chosen from, the most frequent in toxic documents first
-PREFIXES = (4, 5, 6)  # bytes of a word's beginning
+PREFIXES = (4, 5, 6, 7, 8)  # bytes of a word's beginning
+TIMES = 3  # up to so many occurrences make terms of their own; they are the low two bits of a term
 FOLDS = 3
 LEAST_DOCUMENTS = 3  # toxic documents that a term must add to a lexicon's cover
 LEAST_ODDS = 8.0  # how much more often a toxic document must hold it
@@ -75,24 +77,49 @@ def term_hashes(part: W.Slice, hasher: W.Hasher) -> Iterator[tuple[np.ndarray, n
         yield W.mix64(hasher.spans(sums, part.starts[longer], part.starts[longer] + k) + np.uint64(k)), longer
 
 
+_BASE = ~np.uint64(3)
+
+
+def counted(hashes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of documents, each once, from the hashes of all occurrences of words and beginnings."""
+    base = hashes & _BASE
+    order = np.argsort(base)
+    order = order[np.argsort(owners[order], kind="stable")]
+    base, owners = base[order], owners[order]
+    new = np.ones(len(base), bool)
+    new[1:] = (base[1:] != base[:-1]) | (owners[1:] != owners[:-1])
+    starts = np.flatnonzero(new)
+    times = np.minimum(np.diff(np.append(starts, len(base))), TIMES)
+    which = np.repeat(starts, times)
+    step = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + 1
+    return base[which] | step.astype(np.uint64), owners[which]
+
+
 def _word_list(texts: tuple[str, ...]) -> np.ndarray:
+    """The words as terms held once."""
     hasher = W.Hasher()
-    return np.concatenate([next(term_hashes(part, hasher))[0] for part in W.slices(pa.array(texts), W.NOT_LETTER)])
+    found = [next(term_hashes(part, hasher))[0] for part in W.slices(pa.array(texts), W.NOT_LETTER)]
+    return np.concatenate(found) & _BASE | np.uint64(1)
 
 
 def look(texts: pa.Array, known: np.ndarray) -> Iterator[tuple[W.Slice, np.ndarray, np.ndarray, np.ndarray]]:
-    """Slices of documents with the known terms they hold (numbers and documents, each once) and their patterns."""
-    hasher, lookup, address = W.Hasher(), Lookup(known), Lookup(_word_list(ADDRESS))
+    """Slices of documents with the known terms they hold (numbers, and documents in order) and their patterns."""
+    hasher, address = W.Hasher(), Lookup(_word_list(ADDRESS) & _BASE)
+    lookup, bases = Lookup(known), np.unique(known & _BASE)
+    looked = Lookup(bases)
     for part in W.slices(texts, W.NOT_LETTER):
         owners = part.owners()
-        numbers, documents, addressed = [], [], None
+        held, documents, addressed = [], [], None
         for hashes, word in term_hashes(part, hasher):
+            hashes = hashes & _BASE
             if addressed is None:
                 addressed = owners[address.find(hashes)[0]]
-            at, number = lookup.find(hashes)
-            numbers.append(number.astype(np.uint64))
+            at, number = looked.find(hashes)
+            held.append(bases[number])
             documents.append(owners[word[at]])
-        number, document = W.distinct(np.concatenate(numbers), np.concatenate(documents))
+        term, document = counted(np.concatenate(held), np.concatenate(documents))
+        at, number = lookup.find(term)
+        document = document[at]
 
         capital = np.concatenate([[0], np.cumsum((part.data >= 65) & (part.data < 91))])
         shouted = (capital[part.ends] - capital[part.starts] == part.ends - part.starts) & (part.ends - part.starts > 1)
@@ -103,7 +130,7 @@ def look(texts: pa.Array, known: np.ndarray) -> Iterator[tuple[W.Slice, np.ndarr
             np.minimum((mark[part.offsets[1:]] - mark[part.offsets[:-1]]) / n, 1),
             np.bincount(addressed, minlength=part.size) / n,
         ]
-        yield part, number.astype(np.int64), document, np.stack(shares, axis=1)
+        yield part, number, document, np.stack(shares, axis=1)
 
 
 @dataclass
@@ -172,8 +199,8 @@ def cover(held: np.ndarray, labels: np.ndarray, most: int = 400) -> list[int]:
     toxic, clean = held[labels == 1], held[labels == 0]
     rate = (toxic.sum(0) + 0.5) / (len(toxic) + 1) / ((clean.sum(0) + 0.5) / (len(clean) + 1))
     usable = rate >= LEAST_ODDS
-    # A clean document with the term takes back what ten toxic ones give.
-    fine = 10 * clean.sum(0)
+    # A clean document with the term takes back what three toxic ones give.
+    fine = 3 * clean.sum(0)
     chosen, left = [], np.ones(len(toxic), bool)
     while len(chosen) < most:
         gain = np.where(usable, toxic[left].sum(0) - fine, 0)
@@ -224,7 +251,7 @@ def _counted(drawn: DataFrame) -> np.ndarray:
             for part in W.slices(batch["text"], W.NOT_LETTER):
                 owners = part.owners()
                 found = [(hashes, owners[word]) for hashes, word in term_hashes(part, hasher)]
-                value, owner = W.distinct(*(np.concatenate(x) for x in zip(*found)))
+                value, owner = counted(*(np.concatenate(x) for x in zip(*found)))
                 yield pa.RecordBatch.from_arrays(
                     [batch["label"].slice(part.row, part.size), W.lists(value.view(np.int64), owner, part.size, pa.int64())],
                     ["label", "terms"],
