@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgflow.llm.tables import materialize, numbered
+from msgflow.session import BROADCAST_ROWS
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)  # by the source's place in code-point order, repeating
@@ -70,7 +71,7 @@ def plan(
     sources = materialize(
         ranked.withColumn("weight", F.get(cycle, (F.col("idx") % len(weights)).cast("int"))).drop("idx"), "mix-weights"
     )
-    total = sources.agg(F.sum("size")).first()[0] or 0
+    total, count = sources.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     level = water_level(sources, share * total, epochs)
     cap = F.col("size") * F.lit(float(epochs))
     target = cap if math.isinf(level) else F.least(cap, F.col("weight") * F.lit(level))
@@ -81,7 +82,7 @@ def plan(
 
     slices = sized.groupBy("source", F.substring("key", 1, 4).alias("slice")).agg(F.sum("size").alias("words"))
     running = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    slices = _with_source(slices.withColumn("end", F.sum("words").over(running)), sources.select("source", "need"))
+    slices = _with_source(slices.withColumn("end", F.sum("words").over(running)), sources.select("source", "need"), count)
     edge = (F.col("end") > F.col("need")) & (F.col("end") - F.col("words") < F.col("need"))
     found = materialize(
         slices.groupBy("source").agg(
@@ -91,20 +92,22 @@ def plan(
         "mix-edges",
     )
     edges = found.where("edge is not null").select("source", "edge.*")
-    inside = _with_source(sized.withColumn("slice", F.substring("key", 1, 4)), edges, F.col("l.slice") == F.col("r.slice"))
+    same_slice = F.col("l.slice") == F.col("r.slice")
+    inside = _with_source(sized.withColumn("slice", F.substring("key", 1, 4)), edges, count, same_slice)
     inside = inside.groupBy("source", "key", "start", "need").agg(F.sum("size").alias("words"))
     taken = F.sum("words").over(Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     inside = inside.withColumn("middle", F.col("start") + taken - F.col("words") / 2)
     last = inside.where("middle <= need").groupBy("source").agg(F.max("key").alias("key"))
-    cuts = _with_source(found, last, how="left").select(
+    cuts = _with_source(found, last, count, how="left").select(
         "source",
         # "g" sorts behind every digit: the slices below the boundary are taken whole.
         F.coalesce(F.col("key"), F.col("full"), F.lit("")).alias("cut"),
     )
-    return _with_source(sources, cuts, how="left").select(
+    plans = _with_source(sources, cuts, count, how="left").select(
         "source", F.col("size").alias("source_size"), "target", F.col("whole").cast("int").alias("whole"),
         F.when(F.col("need") > 0, F.coalesce("cut", F.lit(""))).otherwise("").alias("cut"),
     )
+    return materialize(plans, "mix-plans")
 
 
 def repetitions() -> Column:
@@ -123,7 +126,7 @@ def mix(documents: DataFrame, **options) -> DataFrame:
     seed = options.pop("seed", SEED)
     plans = plan(_sized(documents, seed), **options)
     keyed = documents.select(F.struct("*").alias("__row"), F.col("source"), draw_key(F.col("doc_id"), seed).alias("key"))
-    taken = _with_source(keyed, plans).withColumn("__times", F.explode(F.array_repeat(F.lit(0), repetitions())))
+    taken = _with_source(keyed, plans, plans.count()).withColumn("__times", F.explode(F.array_repeat(F.lit(0), repetitions())))
     return taken.select("__row.*")
 
 
@@ -131,7 +134,8 @@ def mix_report(documents: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, size, source_size, target (both of its source) and taken, the words the mix takes of it."""
     options = dict(options)
     sized = _sized(documents, options.pop("seed", SEED))
-    joined = _with_source(sized, plan(sized, **options))
+    plans = plan(sized, **options)
+    joined = _with_source(sized, plans, plans.count())
     return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * repetitions()).alias("taken"))
 
 
@@ -144,8 +148,13 @@ def _sized(documents: DataFrame, seed: str) -> DataFrame:
     )
 
 
-def _with_source(left: DataFrame, right: DataFrame, also: Column | None = None, how: str = "inner") -> DataFrame:
-    """Join on source, null with null. Sources are few beside documents; a large source is split by AQE."""
+def _with_source(
+    left: DataFrame, right: DataFrame, rows: int, also: Column | None = None, how: str = "inner"
+) -> DataFrame:
+    """Join on source, null with null, with a side of at most `rows` rows: broadcast up to a bound, so that a source with
+    very many documents stays where it lies; above it a large source is split by adaptive execution."""
+    if rows <= BROADCAST_ROWS:
+        right = F.broadcast(right)
     on = F.col("l.source").eqNullSafe(F.col("r.source"))
     joined = left.alias("l").join(right.alias("r"), on if also is None else on & also, how)
     extra = [F.col(f"r.{c}") for c in right.columns if c not in left.columns]
