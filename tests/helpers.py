@@ -17,7 +17,7 @@ def numbered(spark, n, streams=1, subject="s.a"):
     return spark.range(n).select(
         "id",
         F.lit(subject).alias("subject"),
-        F.encode(F.concat(F.lit("This is msg "), F.col("id").cast("string")), "UTF-8").alias("data"),
+        F.encode(F.concat(F.lit("number "), F.col("id").cast("string")), "UTF-8").alias("data"),
         F.lit(None).cast("map<string,array<string>>").alias("headers"),
         F.concat(F.lit("S-"), (F.col("id") % streams).cast("string")).alias("stream"),
     )

@@ -17,9 +17,8 @@ def decoded(df):
 
 
 def test_round_trips(spark):
-    long = b"Wheels on the bus go" + b" round and round" * 100_000
-    assert len(long) == 1_600_020
-    values = [b"Hello there", long, b""]
+    long = b"0123456789abcdef" * 100_001
+    values = [b"a short one", long, b""]
     df = payloads(spark, [zlib.compress(v) for v in values] + [None])
     assert decoded(decode_payload(df, "zlib")) == [*values, None]
 

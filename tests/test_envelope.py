@@ -8,7 +8,7 @@ from msgflow import schemas
 from msgflow.functions import envelope as E
 from msgflow.operators import envelope as M
 
-REPLY = "$JS.ACK.v2Domain.v2Hash.test-stream.test-consumer.1.1066.1066.1605139610113260000.4"
+REPLY = "$JS.ACK.north.h1.ORDERS.billing.3.812.790.1718000000123456789.17"
 
 
 def one(spark, *columns):
@@ -17,15 +17,15 @@ def one(spark, *columns):
 
 def test_reply_subject_metadata(spark):
     wire = spark.createDataFrame(
-        [("s", REPLY, bytearray(b"hunter2"), None)],
+        [("s", REPLY, bytearray(b"a payload"), None)],
         "subject string, replyTo string, content binary, headers map<string,array<string>>",
     )
     row = M.to_full_envelope(wire).collect()[0]
-    assert (row.domain, row.stream, row.consumer) == ("v2Domain", "test-stream", "test-consumer")
-    assert (row.delivered, row.streamSeq, row.consumerSeq, row.pending) == (1, 1066, 1066, 4)
+    assert (row.domain, row.stream, row.consumer) == ("north", "ORDERS", "billing")
+    assert (row.delivered, row.streamSeq, row.consumerSeq, row.pending) == (3, 812, 790, 17)
     micros = M.to_full_envelope(wire).select(F.unix_micros("timestamp")).collect()[0][0]
-    assert micros == 1605139610113000
-    assert bytes(row.content) == b"hunter2"
+    assert micros == 1718000000123000
+    assert bytes(row.content) == b"a payload"
     assert row.headers is None
 
 
@@ -42,8 +42,8 @@ def test_broken_reply_subject_gives_nulls(spark):
 
 def test_reply_subject_round_trip(spark):
     names = ("d", "a", "st", "co")
-    reply = E.reply_subject(*[F.lit(n) for n in names], *[F.lit(n) for n in (2, 7, 8, 1605139610113260000, 0)])
-    assert one(spark, reply.alias("r")).r == "$JS.ACK.d.a.st.co.2.7.8.1605139610113260000.0"
+    reply = E.reply_subject(*[F.lit(n) for n in names], *[F.lit(n) for n in (2, 7, 8, 1718000000123456789, 0)])
+    assert one(spark, reply.alias("r")).r == "$JS.ACK.d.a.st.co.2.7.8.1718000000123456789.0"
 
 
 def test_headers_from_pairs(spark):
@@ -70,7 +70,7 @@ def test_metadata_and_message_json(spark):
     text = one(spark, meta.alias("j")).j
     assert text == (
         '{"jsMetaData": {"stream" : "st", "streamSeq" :  5, "consumerSeq" : 6, "delivered" : 1,'
-        ' "pending" : 0, "timestamp" : "2020-11-12T00:06:50.113000Z"}}'
+        ' "pending" : 0, "timestamp" : "2024-06-10T06:13:20.123000Z"}}'
     )
     no_headers = F.lit(None).cast("map<string,array<string>>")
     whole = E.message_json(F.lit("s"), F.lit("now"), F.lit('{"a": 1}'), no_headers, meta)
@@ -119,7 +119,7 @@ def test_text_envelopes(spark):
     assert rows[0].headers == '{ "a": "1,2" }' and rows[1].headers is None
     assert rows[0].dateTime.startswith("01/02/2024 - ") and rows[0].content == "hé"
     three = M.to_text3(full).orderBy("subject").collect()
-    assert three[0] == ("s", "2020-11-12T00:06:50.113000Z", "h��")
+    assert three[0] == ("s", "2024-06-10T06:13:20.123000Z", "h��")
 
 
 def test_conform_reorders_drops_and_guards(spark):

@@ -14,7 +14,7 @@ def test_numbers_are_dense_and_follow_the_order(spark, log):
     assert fill(log, 1000, streams=3) == 1000
     rows = log.scan().select("stream", "streamSeq", F.col("content").cast("string").alias("c")).collect()
     got = {(r.stream, r.streamSeq): r.c for r in rows}
-    assert got == {(f"S-{i % 3}", i // 3 + 1): f"This is msg {i}" for i in range(1000)}
+    assert got == {(f"S-{i % 3}", i // 3 + 1): f"number {i}" for i in range(1000)}
     assert log.heads() == {"S-0": 334, "S-1": 333, "S-2": 333}
 
 

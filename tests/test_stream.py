@@ -131,7 +131,7 @@ def test_envelope_of_the_source(spark, log):
     row = out.where("stream = 'S-1' and streamSeq = 4").collect()[0]
     assert row.replyTo.startswith("$JS.ACK.d.a.S-1.c.1.4.4.") and row.replyTo.endswith(".11")
     assert (row.domain, row.consumer, row.delivered, row.consumerSeq, row.pending) == ("d", "c", 1, 4, 11)
-    assert bytes(row.content) == b"This is msg 7" and row.headers is None
+    assert bytes(row.content) == b"number 7" and row.headers is None
 
 
 def test_chosen_columns_only(spark, log):
