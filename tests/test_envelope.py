@@ -65,7 +65,7 @@ def test_json_texts_have_fixed_form_and_are_valid(spark):
 
 
 def test_metadata_and_message_json(spark):
-    ts = F.timestamp_micros(F.lit(1605139610113000))
+    ts = F.timestamp_micros(F.lit(1718000000123000))
     meta = E.metadata_json(F.lit("st"), F.lit(5), F.lit(6), F.lit(1), F.lit(0), ts)
     text = one(spark, meta.alias("j")).j
     assert text == (
@@ -81,16 +81,16 @@ def test_metadata_and_message_json(spark):
 
 
 def test_times(spark):
-    ts = F.timestamp_micros(F.lit(1605139610113260))
+    ts = F.timestamp_micros(F.lit(1718000000123456))
     row = one(
         spark,
         E.format_time(ts, "MM/dd/yyyy - HH:mm:ss Z").alias("a"),
         E.iso_time(ts).alias("b"),
-        F.unix_micros(E.event_time(F.lit(1605139610113999999))).alias("c"),
+        F.unix_micros(E.event_time(F.lit(1718000000123999999))).alias("c"),
     )
-    assert row.a == "11/12/2020 - 00:06:50 +0000"
-    assert row.b == "2020-11-12T00:06:50.113260Z"
-    assert row.c == 1605139610113000
+    assert row.a == "06/10/2024 - 06:13:20 +0000"
+    assert row.b == "2024-06-10T06:13:20.123456Z"
+    assert row.c == 1718000000123000
 
 
 def test_ascii_follows_replacement_rules(spark):
