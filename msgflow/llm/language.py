@@ -21,7 +21,7 @@ from msgflow.session import ship_package
 
 SLOTS = 1 << 16  # of hashed words and word endings, for each language
 ENDING = 3  # bytes
-MOST_LANGUAGES = 256  # the model has SLOTS * languages numbers, so their count is bounded
+MOST_LANGUAGES = 64  # the model has SLOTS * languages numbers, so their count is bounded
 WORDS_THAT_COUNT = 40  # neighbouring words are not independent: a longer text speaks with so many words at most
 SMOOTHING = 8.0  # pages that the next wider prior counts for
 # Elements that hold no running text.
