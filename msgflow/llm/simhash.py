@@ -110,7 +110,8 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS) ->
     return (
         keyed(queries, "query").alias("q")
         .join(
-            keyed(index, "found").alias("i"),
+            # Each fingerprint becomes a row per table: a side that looked small before must not be broadcast after that.
+            keyed(index, "found").alias("i").hint("merge"),
             (F.col("q.table") == F.col("i.table")) & (F.col("q.key") == F.col("i.key")) & first & (distance <= radius),
         )
         .select("query", "found", distance.alias("distance"))
