@@ -50,18 +50,13 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     per node, so a node with very many edges can be split over tasks.
     """
     current = materialize(_downward(edges.select("a", "b")), name)
-    state = _state(current)
-    while True:
+    while not _are_stars(current):
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(lowest, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         current = materialize(_downward(moved.union(lowest.select("a", F.col("m").alias("b")))), name)
-        after = _state(current)
-        if after == state:
-            break
-        state = after
     members = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return members.union(members.select(F.col("component").alias("node"), "component").distinct())
 
@@ -71,5 +66,10 @@ def _downward(edges: DataFrame) -> DataFrame:
     return edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, which has none, or only larger ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up = 1 and down = 1)").isEmpty()
