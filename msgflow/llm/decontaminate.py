@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 from msgflow.llm.tables import materialize
 from msgflow.session import join_small
 
-# Each ignores other places: none, every third, and an uneven pattern.
-MASKS = ("11111111", "11011011011", "110010110111")
 SIMILARITY = 0.8
 REGION = 13  # tokens compared around a hit, or the whole item if it is shorter
+SHORTEST = 8  # tokens of an item that is evidence
 SEED_ROWS = 200_000  # seeds that are broadcast at once; more are joined in rounds
 
 
@@ -27,16 +26,31 @@ def tokens(text: Column) -> Column:
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
 
 
-def _seeds(df: DataFrame, place: str) -> DataFrame:
-    """A row for every place and mask that fits, with the hash of the mask and the tokens it shows."""
-    last = F.size("tokens") - min(map(len, MASKS))
+def masks(n: int, similarity: float = SIMILARITY) -> tuple[str, ...]:
+    """Masks of which one shows equal tokens only, wherever a window of n tokens is similar enough.
+
+    With k tokens exchanged at most, two of k + 2 blocks of the window stay whole. A mask shows two blocks, and there
+    is one for each distance they can have.
+    """
+    exchanged = max(k for k in range(n) if k == 0 or (n - k) / n >= similarity)
+    block = n // (exchanged + 2)
+    if not block:
+        return ("1",)
+    return tuple("1" * block + "0" * (gap * block) + "1" * block for gap in range(exchanged + 1))
+
+
+def _seeds(df: DataFrame, place: str, shapes: tuple[str, ...]) -> DataFrame:
+    """A row for every place and mask that fits, with the hash of the mask and the tokens it shows, and its span."""
+    last = F.size("tokens") - min(map(len, shapes))
     placed = df.where(last >= 0).withColumn(place, F.explode(F.sequence(F.lit(0), last)))
     hashes = []
-    for number, mask in enumerate(MASKS):
+    for mask in shapes:
         shown = [F.get("tokens", F.col(place) + k) for k, bit in enumerate(mask) if bit == "1"]
         fits = F.col(place) + len(mask) <= F.size("tokens")
-        hashes.append(F.when(fits, F.xxhash64(F.lit(number), *shown)))
-    return placed.withColumn("seed", F.explode(F.array(*hashes))).where("seed is not null")
+        hashes.append(F.when(fits, F.xxhash64(F.lit(mask), *shown)))
+    spans = F.array(*[F.lit(len(mask)) for mask in shapes])
+    seeds = placed.select("*", F.posexplode(F.array(*hashes)).alias("mask", "seed")).where("seed is not null")
+    return seeds.withColumn("span", F.get(spans, F.col("mask"))).drop("mask")
 
 
 def leaks(
@@ -45,11 +59,12 @@ def leaks(
     """Contaminated documents: per document and item doc_id, item_id, n_hits (verified), overlap (the best share of equal
     tokens) and the tokens they span, doc_start and doc_end, item_start and item_end (ends excluded).
 
-    A hit aligns a document with an item. It is verified on `region` tokens from the place of the seed on (earlier ones where
-    either text ends, the whole item if it is shorter): the share of equal tokens must be `similarity` or more. So an
-    item with exchanged words or a part of it of `region` tokens is found.
+    A hit aligns a document with an item. It is verified in every window of `region` aligned tokens that holds the seed
+    (the whole item if it is shorter): the share of equal tokens must be `similarity` or more in one. The masks follow
+    from an item's window, so every window that is similar enough is hit: what is found is exactly what a comparison of
+    all alignments finds.
 
-    Items shorter than the shortest mask are no evidence and match nothing, like null and empty texts.
+    Items shorter than SHORTEST tokens are no evidence and match nothing, like null and empty texts.
     Rows with one doc_id are reported as one document, repeated items under their smallest item_id; items without an id are
     left out. Tables without rows give no rows.
 
@@ -59,10 +74,20 @@ def leaks(
     items = benchmark.where("item_id is not null").groupBy(tokens(F.col("text")).alias("item_tokens"))
     items = items.agg(F.min("item_id").alias("item_id")).withColumn("item", F.xxhash64("item_tokens"))
     items = materialize(items, "leak-items")
-    seeds = _seeds(items.withColumnRenamed("item_tokens", "tokens"), "item_place").select("seed", "item", "item_place")
-    seeds = materialize(seeds, "leak-seeds")
+    window = F.least(F.lit(region), F.size("item_tokens"))
+    lengths = [r[0] for r in items.where(F.size("item_tokens") >= SHORTEST).select(window).distinct().collect()]
+    # The lengths of windows that share their masks; documents are hashed under the masks that some item needs.
+    by_masks: dict[tuple[str, ...], list[int]] = {}
+    for n in sorted(lengths, reverse=True):
+        by_masks.setdefault(masks(n, similarity), []).append(n)
+    shapes = tuple(dict.fromkeys(mask for group in by_masks for mask in group)) or masks(region, similarity)
+    each = [items.where("false").select(F.lit(0).cast("long").alias("seed"), "item", F.lit(0).alias("item_place"), F.lit(0).alias("span"))]
+    for group, own_lengths in by_masks.items():
+        long_enough = items.where((F.size("item_tokens") >= SHORTEST) & window.isin(own_lengths))
+        each.append(_seeds(long_enough.withColumnRenamed("item_tokens", "tokens"), "item_place", group).select(*each[0].columns))
+    seeds = materialize(reduce(DataFrame.union, each), "leak-seeds")
     rounds = max(1, -(-seeds.count() // SEED_ROWS))
-    read = _seeds(documents.select("doc_id", tokens(F.col("text")).alias("tokens")), "place")
+    read = _seeds(documents.select("doc_id", tokens(F.col("text")).alias("tokens")), "place", shapes).drop("span")
     own = F.pmod(F.col("item"), F.lit(rounds))
     found = []
     for k in range(rounds):
@@ -81,22 +106,31 @@ def leaks(
 def _verified(hits: DataFrame, similarity: float, region: int) -> DataFrame:
     ahead = F.col("place") - F.col("item_place")  # where the item would begin in the document
     n = F.least(F.lit(region), F.size("item_tokens"))
-    low = F.greatest(F.lit(0), -ahead)
-    high = F.least(F.size("item_tokens"), F.size("tokens") - ahead) - n
-    placed = hits.withColumns({"n": n, "ahead": ahead, "item_start": F.least(F.col("item_place"), high), "low": low})
+    low = F.greatest(F.lit(0), -ahead, F.col("item_place") + F.col("span") - n)
+    high = F.least(F.size("item_tokens") - n, F.size("tokens") - ahead - n, F.col("item_place"))
+    placed = hits.withColumns({"n": n, "ahead": ahead, "low": low, "windows": high - low + 1}).where("windows > 0")
+    # Equal tokens of each window; the array of one element keeps the comparison of tokens from being repeated.
     equal = F.expr(
-        """aggregate(zip_with(slice(tokens, ahead + item_start + 1, n), slice(item_tokens, item_start + 1, n),
-             (a, b) -> if(a = b, 1, 0)), 0, (total, x) -> total + x)"""
+        """transform(array(zip_with(slice(tokens, greatest(ahead + low, 0) + 1, greatest(windows + n - 1, 0)),
+             slice(item_tokens, low + 1, greatest(windows + n - 1, 0)), (a, b) -> if(a = b, 1, 0))),
+             same -> transform(sequence(1, greatest(windows, 1)),
+               w -> aggregate(slice(same, w, n), 0, (total, x) -> total + x)))[0]"""
+    )
+    similar = placed.withColumn("equal", equal).withColumn("overlap", F.array_max("equal") / F.col("n"))
+    similar = similar.where(F.col("overlap") >= similarity).withColumn(
+        "passes", F.transform("equal", lambda x: x / F.col("n") >= similarity)
     )
-    compared = placed.where("item_start >= low").withColumn("overlap", equal / F.col("n"))
-    return compared.where(F.col("overlap") >= similarity).select(
+    first = F.col("low") + F.array_position("passes", F.lit(True)).cast("int") - 1
+    end = F.col("low") + F.col("windows") - F.array_position(F.reverse("passes"), F.lit(True)).cast("int") + F.col("n")
+    ends = similar.withColumns({"item_start": first, "item_end": end})
+    return ends.select(
         "doc_id",
         "item_id",
         "overlap",
         (F.col("ahead") + F.col("item_start")).alias("doc_start"),
-        (F.col("ahead") + F.col("item_start") + F.col("n")).alias("doc_end"),
+        (F.col("ahead") + F.col("item_end")).alias("doc_end"),
         "item_start",
-        (F.col("item_start") + F.col("n")).alias("item_end"),
+        "item_end",
     )
 
 

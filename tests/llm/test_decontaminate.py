@@ -73,6 +73,32 @@ def test_plain_version_agrees(make, items):
             assert i not in got
 
 
+def similar(own, base, region=13):
+    """The best share of equal tokens over all alignments and windows of one item."""
+    n, best = min(region, len(base)), 0
+    for ahead in range(-len(base), len(own)):
+        for low in range(max(0, -ahead), min(len(base), len(own) - ahead) - n + 1):
+            best = max(best, sum(own[ahead + k] == base[k] for k in range(low, low + n)) / n)
+    return best
+
+
+def test_every_pattern_of_exchanged_words(spark, make):
+    """Whole items of 8 to 13 words and excerpts with every choice of up to three exchanged words: found equals similar."""
+    from itertools import combinations
+
+    bases = {n: [f"w{n}x{k}" for k in range(n)] for n in range(8, 14)} | {40: [f"item{k}" for k in range(40)]}
+    table = spark.createDataFrame([(n, " ".join(words)) for n, words in bases.items()], "item_id long, text string")
+    texts = []
+    for n, words in bases.items():
+        for low, size in ((9, 13), (20, 15)) if n == 40 else ((0, n),):
+            for count in range(4):
+                for gone in combinations(range(size), count):
+                    texts.append((n, ["pre"] + ["other" if k in gone else words[low + k] for k in range(size)] + ["post"]))
+    got = hits(make([(i, " ".join(own)) for i, (_, own) in enumerate(texts)]), table)
+    best = {(i, n): similar(own, bases[n]) for i, (n, own) in enumerate(texts)}
+    assert {k: r.overlap for k, r in got.items()} == {k: x for k, x in best.items() if x >= 0.8}
+
+
 def test_dropped_documents(make, items):
     df = make([(1, item()), (1, "clean"), (2, FILL), (None, item()), (3, None), (4, FILL)], seed="a", tokens="b", item_id="c", place="d")
     out = D.drop_leaks(df, items)
