@@ -134,6 +134,52 @@ def test_given_findings(make):
     assert got and all(i >= 200 for i in got)
 
 
+def test_candidates_of_every_form(make):
+    """All values that may be secrets become candidates, several a word, whatever their length and signs."""
+    jwt = f"eyJhbGciOiJIUzI1NiJ9.{secret(1)}.{secret(2)}"
+    forms = [
+        (f"Bearer {jwt}.", {jwt}),
+        ("key SG.abcdefghijklmnop123456.qrstuvwxyzABCDEF7890 sent", {"SG.abcdefghijklmnop123456.qrstuvwxyzABCDEF7890"}),
+        ("postgres://u:s3cr3t@host/db", {"s3cr3t"}),
+        ("DB_URL=postgres://u:p%40ss@host/db?password=inner1&x=1", {"p%40ss", "inner1"}),
+        ("https://h.org/?api_key=k3yk3y&x=1", {"k3yk3y"}),
+        ('{"user":"me","password":"pa55!word","token":"tok-123"}', {"pa55!word", "tok-123"}),
+        ('{"conn":"Server=s;Pwd=abc1;Uid=u"}', {"abc1"}),
+        ("a=abc123def456ghi;b=xyz789uvw012rst", {"abc123def456ghi", "xyz789uvw012rst"}),
+        ("a=first1value,b=second2value", {"first1value", "second2value"}),
+        ("password=Tr0ub4dor&3xyzq", {"Tr0ub4dor&3xyzq"}),
+        ("password=hunter2abc, and", {"hunter2abc"}),
+        ("password=correcthorsebattery", {"correcthorsebattery"}),
+        ('secret : "h2#x"', {"h2#x"}),
+        ("password is hunter2abc", {"hunter2abc"}),
+        ("password: correct&horse&1battery", {"correct&horse&1battery"}),
+    ]
+    got = {}
+    for r in secrets.candidates(make(list(enumerate(text for text, _ in forms)))).collect():
+        got.setdefault(r.doc_id, set()).add(r.value)
+    assert [(text, wanted - got.get(i, set())) for i, (text, wanted) in enumerate(forms) if not wanted <= got.get(i, set())] == []
+
+
+def test_secrets_of_every_form_are_found(make):
+    def forms(i):
+        x = secret(i)
+        return [
+            f"postgres://u{i}:{x[:9]}@host/db", f"https://h.org/?api_key={x[:10]}&x=1", f"eyJ{x}.{x[::-1]}.{x[5:25]}",
+            f"password={x[:5]}&{x[5:9]}!", f'{{"id":{i},"token":"{x[:20]}","n":1}}', f"the latest password={x[:9]}",
+        ]
+
+    rows = [(1000 + 10 * i + k, text) for i in range(30) for k, text in enumerate(forms(i))]
+    got = {i for i, _ in found(make(TEXTS + rows))}
+    assert {i for i, _ in rows} <= got and not any(200 <= i < 400 for i in got)
+
+
+def test_long_words(make):
+    """Words without spaces are read once: long runs and long chains of assignments."""
+    rows = [(1, "a" * 500_000), (2, "ab:cd1:" * 50_000), (3, "x=1&" * 50_000 + "token=" + secret(1)), (4, "-" * 300_000)]
+    values = secrets.candidates(make(rows)).where("name = 'token'").select("value").collect()
+    assert [r.value for r in values] == [secret(1)]
+
+
 def test_repeats_long_texts_and_reruns(make):
     long = "word " * 60_000 + f'token = "{secret(1)}"'
     rows = TEXTS + [(1, TEXTS[1][1]), (5000, long), (None, TEXTS[2][1])]
