@@ -8,7 +8,9 @@ documents of a known language.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from msgflow.session import ship_package
 
 SLOTS = 1 << 16  # of hashed words and word endings, for each language
 ENDING = 3  # bytes
-MOST_LANGUAGES = 64  # the model has SLOTS * languages numbers, so their count is bounded
+BLOCK = 64  # languages that are scored at once: SLOTS * BLOCK numbers are held; more are scored in further passes
 WORDS_THAT_COUNT = 40  # neighbouring words are not independent: a longer text speaks with so many words at most
 SMOOTHING = 8.0  # pages that the next wider prior counts for
 # Elements that hold no running text.
@@ -52,37 +54,59 @@ def _slots(part: W.Slice, hasher: W.Hasher) -> tuple[np.ndarray, np.ndarray]:
     return slots, np.concatenate([owners, owners[longer]])
 
 
-def text_model(documents: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, log probability of each slot by language), from the words of all documents with a language."""
+@dataclass
+class TextModel:
+    """Counts of the slots by language as a table; log probabilities are made for BLOCK languages at a time."""
+
+    languages: int
+    counts: DataFrame
+    base: np.ndarray  # what smoothing adds to each slot
+
+    def block(self, first: int) -> np.ndarray:
+        """Log probability of each slot by language, for the languages from `first` on."""
+        size = min(BLOCK, self.languages - first)
+        own = self.counts.where((F.col("language") >= first) & (F.col("language") < first + size)).toArrow()
+        smooth = np.zeros((size, SLOTS))
+        smooth[own["language"].to_numpy() - first, own["slot"].to_numpy()] = own["n"].to_numpy()
+        smooth += self.base
+        return np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32)
+
+
+def text_model(documents: DataFrame) -> tuple[list[str], TextModel]:
+    """(languages, model of the words of all documents with a language). The driver holds the languages' names."""
     ship_package()
     known = documents.where("lang is not null and lang != ''").select(F.lower("lang").alias("lang"), "text")
-    names = [r[0] for r in known.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    names = [r[0] for r in known.select("lang").distinct().orderBy("lang").collect()]
     number = {name: k for k, name in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, total = W.Hasher(), np.zeros((len(names), SLOTS), np.int64)
+        def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            arrays = [pa.array(keys // SLOTS, pa.int64()), pa.array(keys % SLOTS, pa.int64()), pa.array(n, pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, ["language", "slot", "n"])
+
+        hasher, keys, n = W.Hasher(), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             language = np.array([number[x] for x in batch["lang"].to_pylist()], np.int64)
             for part in W.slices(batch["text"], W.NOT_LETTER):
                 slots, owners = _slots(part, hasher)
-                row = language[part.row + owners]
-                total += np.bincount(row * SLOTS + slots, minlength=total.size).reshape(total.shape)
-        language, slot = np.nonzero(total)
-        arrays = [pa.array(language, pa.int64()), pa.array(slot, pa.int64()), pa.array(total[language, slot], pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, ["language", "slot", "n"])
+                own, own_n = np.unique(language[part.row + owners] * SLOTS + slots, return_counts=True)
+                keys, place = np.unique(np.concatenate([keys, own]), return_inverse=True)
+                n = np.bincount(place, np.concatenate([n, own_n]), minlength=len(keys)).astype(np.int64)
+                if len(keys) > 16 * SLOTS:
+                    yield rows(keys, n)
+                    keys, n = keys[:0], n[:0]
+        yield rows(keys, n)
 
     counted = known.mapInArrow(count, "language long, slot long, n long")
-    table = counted.groupBy("language", "slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows a language
-    counts = np.zeros((len(names), SLOTS))
-    counts[table["language"].to_numpy(), table["slot"].to_numpy()] = table["n"].to_numpy()
-    smooth = counts + 0.1 * (counts.sum(0) + 1) / (counts.sum() + SLOTS) * SLOTS
-    return names, np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32)
+    table = materialize(counted.groupBy("language", "slot").agg(F.sum("n").alias("n")), "language-counts")
+    by_slot = table.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
+    totals = np.zeros(SLOTS)
+    totals[by_slot["slot"].to_numpy()] = by_slot["n"].to_numpy()
+    return names, TextModel(len(names), table, 0.1 * (totals + 1) / (totals.sum() + SLOTS) * SLOTS)
 
 
-def evidence(pages: DataFrame, model: np.ndarray) -> DataFrame:
-    """page_id, host, domain, suffix, declared, and the text's log likelihood by language (zeros without words)."""
+def _scores(read: DataFrame, model: np.ndarray, block: int) -> DataFrame:
+    """The rows with the text's log likelihood by language of one block."""
     languages = model.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,20 +117,47 @@ def evidence(pages: DataFrame, model: np.ndarray) -> DataFrame:
                 n = np.bincount(owners, minlength=part.size)
                 scale = np.minimum(1, 2 * WORDS_THAT_COUNT / np.maximum(n, 1))
                 found = [np.bincount(owners, model[slots, k], minlength=part.size) * scale for k in range(languages)]
-                rows = np.stack(found, axis=1) - np.max(found, axis=0)[:, None]
+                rows = np.stack(found, axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch[c].slice(part.row, part.size) for c in ("page_id", "host", "declared")),
+                        *(batch[c].slice(part.row, part.size) for c in ("row", "page_id", "host", "declared")),
                         pa.array(part.counts(), pa.int64()),
+                        pa.array(np.full(part.size, block), pa.int64()),
                         W.lists(rows.ravel(), np.repeat(np.arange(part.size), languages), part.size, pa.float64()),
                     ],
-                    ["page_id", "host", "declared", "n_words", "likelihood"],
+                    ["row", "page_id", "host", "declared", "n_words", "block", "scores"],
                 )
 
+    return read.mapInArrow(
+        run, "row long, page_id long, host string, declared string, n_words long, block long, scores array<double>"
+    )
+
+
+def evidence(pages: DataFrame, model: TextModel) -> DataFrame:
+    """page_id, host, domain, suffix, declared, and the text's log likelihood by language (zeros without words).
+
+    Pages are read once for every BLOCK languages; with more than one block their rows are numbered and put together again.
+    """
+    firsts = range(0, model.languages, BLOCK)
     read = pages.select(
         "page_id", host(F.col("url")).alias("host"), declared(F.col("html")).alias("declared"), plain_text(F.col("html")).alias("text")
     )
-    scored = read.mapInArrow(run, "page_id long, host string, declared string, n_words long, likelihood array<double>")
+    several = len(firsts) > 1
+    read = read.withColumn("row", F.monotonically_increasing_id() if several else F.lit(0).cast("long"))
+    if several:
+        read = materialize(read, "language-texts")
+    blocks = [_scores(read, model.block(first), first) for first in firsts]
+    scored = blocks[0].withColumnRenamed("scores", "raw")
+    if several:
+        whole = blocks[0]
+        for block in blocks[1:]:
+            whole = whole.union(block)
+        same = [F.first(c).alias(c) for c in ("page_id", "host", "declared", "n_words")]
+        listed = F.sort_array(F.collect_list(F.struct("block", "scores")))
+        scored = whole.groupBy("row").agg(*same, F.flatten(listed["scores"]).alias("raw"))
+    scored = scored.withColumn("most", F.array_max("raw")).select(
+        "page_id", "host", "declared", "n_words", F.transform("raw", lambda x: x - F.col("most")).alias("likelihood")
+    )
     labels = F.split("host", r"\.")
     return scored.withColumns({
         "domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."),
@@ -128,43 +179,47 @@ def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
             "page_id", nothing.alias("lang"), F.lit(None).cast("double").alias("confidence"), nothing.alias("text_lang"),
             F.nullif(declared(F.col("html")), F.lit("")).alias("declared_lang"), host(F.col("url")).alias("host"),
         )
-    each = range(len(names))
     best = F.when(F.col("n_words") > 0, F.array_position("likelihood", F.array_max("likelihood")).cast("int") - 1)
     read = materialize(evidence(pages, model).withColumn("text_number", best), "language-pages")
+    last = len(names) - 1
 
     def counts(by: str) -> DataFrame:
         """How many pages of each value the text alone gives to each language; one row per value, summed map-side."""
-        sums = [F.coalesce(F.sum((F.col("text_number") == k).cast("long")), F.lit(0)) for k in each]
-        return read.groupBy(by).agg(F.array(*sums).alias(f"{by}_n"))
-
-    total = read.agg(*[F.coalesce(F.sum((F.col("text_number") == k).cast("long")), F.lit(0)) for k in each]).first()
+        summed = read.groupBy(by, "text_number").agg(F.count("text_number").alias("n"))
+        known = F.map_from_entries(F.collect_list(F.when(F.col("text_number").isNotNull(), F.struct("text_number", "n"))))
+        one = summed.groupBy(by).agg(known.alias("known"), F.sum("n").alias(f"{by}_all"))
+        dense = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda k: F.coalesce(F.try_element_at("known", k), F.lit(0)))
+        return one.select(by, f"{by}_all", dense.alias(f"{by}_n"))
+
+    seen_by_number = {r[0]: r[1] for r in read.where("text_number is not null").groupBy("text_number").count().collect()}
+    total = F.from_json(F.lit(json.dumps([seen_by_number.get(k, 0) for k in range(len(names))])), "array<long>")
     joined = read
     for by in ("host", "domain", "suffix", "declared"):
         joined = joined.join(counts(by), by)
-    seen = float(sum(total))
+    seen = float(sum(seen_by_number.values()))
 
-    def others(by: str, k: int) -> Column:
+    def others(by: str, k: Column) -> Column:
         """Pages of the same value that the text gives to language k, without this one."""
-        return F.get(f"{by}_n", F.lit(k)) - F.coalesce((F.col("text_number") == k).cast("long"), F.lit(0))
+        return F.get(f"{by}_n", k) - F.coalesce((F.col("text_number") == k).cast("long"), F.lit(0))
 
     def all_others(by: str) -> Column:
-        return sum((others(by, k) for k in each), F.lit(0))
+        return F.col(f"{by}_all") - F.col("text_number").isNotNull().cast("long")
 
-    logs = []
-    for k in each:
-        everywhere = (total[k] + 1.0) / (seen + len(names))
+    def log(likelihood: Column, k: Column) -> Column:
+        everywhere = (F.get(total, k) + 1.0) / (seen + len(names))
         domain = (others("domain", k) + SMOOTHING * everywhere) / (all_others("domain") + SMOOTHING)
         prior = (others("host", k) + SMOOTHING * domain) / (all_others("host") + SMOOTHING)
-        log = F.get("likelihood", F.lit(k)) + F.log(prior)
+        out = likelihood + F.log(prior)
         for by in ("suffix", "declared"):
             # P(value | language), smoothed towards the value's share of all pages.
             share = (all_others(by) + 1) / (seen + 1)
-            log += F.log((others(by, k) + SMOOTHING * share) / (total[k] + SMOOTHING))
-        logs.append(log.alias(f"log{k}"))
-    kept = joined.select("page_id", "host", "declared", "text_number", F.array(*logs).alias("logs"))
+            out += F.log((others(by, k) + SMOOTHING * share) / (F.get(total, k) + SMOOTHING))
+        return out
+
+    kept = joined.select("page_id", "host", "declared", "text_number", F.transform("likelihood", log).alias("logs"))
     top = kept.withColumn("top", F.array_max("logs"))
     number = F.array_position("logs", F.col("top")).cast("int") - 1
-    listed = F.array(*[F.lit(n) for n in names])
+    listed = F.from_json(F.lit(json.dumps(names)), "array<string>")
     weight = F.aggregate("logs", F.lit(0.0), lambda sum_, x: sum_ + F.exp(x - F.col("top")))
     return top.select(
         "page_id",

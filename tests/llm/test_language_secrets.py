@@ -81,6 +81,18 @@ def test_posterior_equals_plain_version(spark, known):
         assert got[i].confidence == pytest.approx(1 / sum(math.exp(x - top) for x in logs))
 
 
+def test_any_number_of_languages(spark, make, known, monkeypatch):
+    """More languages than a block: every page has a row, and blocks give what one block gives."""
+    more = known.union(spark.createDataFrame([(k, f"wort{chr(97 + k // 26)}{chr(97 + k % 26)} " * 9, f"x{k:02d}-y") for k in range(68)], known.schema))
+    rows = [(k, f"http://h{k % 3}.a.org/", page("", f"wort{chr(97 + k // 26)}{chr(97 + k % 26)} " * 9)) for k in range(68)]
+    rows += [(100, "http://h1.a.fr/", page("fr", FR)), (101, None, None)]
+    got = identify(spark, rows, more)
+    assert set(got) == {r[0] for r in rows} and got[100].lang == "fr"
+    assert all(got[k].text_lang == f"x{k:02d}-y" for k in range(68))
+    monkeypatch.setattr(language, "BLOCK", 128)
+    assert {k: tuple(r) for k, r in identify(spark, rows, more).items()} == {k: pytest.approx(tuple(r)) for k, r in got.items()}
+
+
 def test_no_pages_and_no_languages(spark, known):
     none = spark.createDataFrame([], "page_id long, url string, html string, host string")
     assert language.identify(none, known).count() == 0
