@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from msgflow.llm import decontaminate, language, mixing, phrases, quality, secrets, sharding, simhash, superminhash, toxicity
+import public_tokenizers
+from msgflow.llm import bpe, decontaminate, language, mixing, phrases, quality, secrets, sharding, simhash, superminhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +55,10 @@ def op10_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_quality": op1_attention_quality,
     "op2_external_shuffle": op2_external_shuffle,
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_phrase_automata": op8_phrase_automata,
     "op9_simhash": op9_simhash,
     "op10_evidence_fusion": op10_evidence_fusion,
+    "op13_prefix_bpe": op13_prefix_bpe,
     "pipeline": corpus_pipeline.run,
 }
 
