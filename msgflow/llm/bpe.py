@@ -13,13 +13,14 @@ Texts are first divided as byte-level tokenizers do, so pieces are short; the en
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections.abc import Iterator
+from hashlib import sha256
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ _SETTLED = "\u0557"
 # Stand-ins of the classes letter, number and other: their place in the pattern is that of their class.
 _STAND_INS = {"letter": "\u0436", "number": "1", "other": "\u00a7", "space": " "}
 _FOREVER = 1 << 62
+# UTF-8 bytes of text whose ids a worker holds at once, or one document if that is longer.
+PIECE_BYTES = 4 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -201,6 +204,23 @@ def _shared(documents: DataFrame, path: str):
     return encoder
 
 
+def _rows(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Iterator[str]]]:
+    """Doc ids and texts of about PIECE_BYTES; a text is made only when it is asked for."""
+    for batch in batches:
+        ids, texts = batch["doc_id"], batch["text"]
+        ends = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False)))
+        row = 0
+        while row < len(batch):
+            done = ends[row - 1] if row else 0
+            end = max(row + 1, int(np.searchsorted(ends, done + PIECE_BYTES, side="right")))
+            yield ids.slice(row, end - row), (t.as_py() or "" for t in texts.slice(row, end - row))
+            row = end
+
+
 def encode(documents: DataFrame, path: str) -> DataFrame:
     """Per row of documents: doc_id and ids, the whole text's token ids by the vocabulary file at `path`.
 
@@ -214,16 +234,15 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder()
-        for batch in batches:
-            packed = [own.encode(text or "") for text in batch["text"].to_pylist()]
-            offsets = np.zeros(len(packed) + 1, np.int64)
+        for doc_ids, texts in _pieces(batches):
+            packed = [own.encode(text) for text in texts]
+            offsets = np.zeros(len(packed) + 1, np.int32)
             np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
             values = np.frombuffer(b"".join(packed), "<i4")
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], ids], ["doc_id", "ids"])
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+            yield pa.RecordBatch.from_arrays([doc_ids, ids], ["doc_id", "ids"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return _rows(documents).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -234,25 +253,28 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     @F.arrow_udf(T.StringType())
     def text(ids: pa.Array) -> pa.Array:
         own = encoder()
-        return pa.array([own.decode(x or []) for x in ids.to_pylist()], pa.string())
+        return pa.array((own.decode(x.as_py() or []) for x in ids), pa.string())
 
     return tokens.withColumn("decoded", text("ids"))
 
 
-@F.arrow_udf(T.StringType())
-def ids_digest(ids: pa.Array) -> pa.Array:
-    """sha256 of ids as little-endian unsigned 32-bit integers."""
-    values = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-    ends = np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)).tolist()
-    return pa.array([hashlib.sha256(values[a:b].tobytes()).hexdigest() for a, b in zip([0, *ends], ends)], pa.string())
-
-
 def encode_report(documents: DataFrame, path: str) -> DataFrame:
-    """Per row of documents: doc_id, n_tokens, ids_sha256 and decoded_sha256 of `encode` and `decode`."""
-    both = decode(encode(documents, path), path)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        ids_digest("ids").alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """Per row of documents: doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit integers) and
+    decoded_sha256 (of the text that the ids decode to). Encoding, decoding and special cases as in `encode`."""
+    ship_package()
+    encoder = _shared(documents, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder()
+        for doc_ids, texts in _pieces(batches):
+            rows = []
+            for text in texts:
+                ids = own.encode(text)
+                decoded = own.decode(np.frombuffer(ids, "<u4").tolist())
+                rows.append((len(ids) // 4, sha256(ids).hexdigest(), sha256(decoded.encode()).hexdigest()))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string()))]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            yield pa.RecordBatch.from_arrays([doc_ids, *columns], names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _rows(documents).mapInArrow(run, schema)
