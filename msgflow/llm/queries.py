@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 import public_tokenizers
-from msgflow.llm import alignment, bpe, decontaminate, language, mixing, phrases, quality, secrets, sharding, simhash, superminhash, toxicity
+from msgflow.llm import alignment, bpe, decontaminate, language, mixing, phrases, quality, secrets, sharding, simhash, spelling
+from msgflow.llm import superminhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,10 @@ def op10_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
 
 
+def op11_position_bitsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return alignment.alignment_report(_table(spark, sf_dir, "documents"), *paths)
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_phrase_automata": op8_phrase_automata,
     "op9_simhash": op9_simhash,
     "op10_evidence_fusion": op10_evidence_fusion,
+    "op11_position_bitsets": op11_position_bitsets,
     "op12_lockstep_alignment": op12_lockstep_alignment,
     "op13_prefix_bpe": op13_prefix_bpe,
     "pipeline": corpus_pipeline.run,
