@@ -31,7 +31,7 @@ from msgflow.session import ship_package
 
 # Fixed value: how byte-level pre-tokenizers divide a text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Remembered pieces and token pairs of a worker; when full, it starts anew, so its memory is bounded.
+# Remembered pieces (twice: the latest and those before them) and token pairs of a worker, so its memory is bounded.
 REMEMBERED = 1 << 18
 REMEMBERED_LENGTH = 64
 # Letters and digits up to here have the same class in all versions of Unicode in use.
@@ -78,16 +78,20 @@ class PrefixEncoder:
                 raise ValueError("A token with two merges has no unique history")
             self.merges[vocab[a], vocab[b]] = rank
             self.rank[made], self.left[made], self.right[made] = rank, vocab[a], vocab[b]
+        if not {bytes([b]) for b in range(256)} <= set(self.bytes):
+            raise ValueError("Some bytes have no token")
         for token, i in self.added.items():
             self.bytes[i] = token.encode()
         self.packed = [int(i).to_bytes(4, "little") for i in range(size)]
+        self.single = {self.bytes[i].decode("latin-1"): i for i in vocab.values() if len(self.bytes[i]) == 1}
         self.suffixes = ahocorasick.Automaton()
-        for token, i in vocab.items():
-            if len(self.bytes[i]) == 1 or self._reachable(i):
+        for i in vocab.values():
+            if self._reachable(i):
                 self.suffixes.add_word(self.bytes[i].decode("latin-1"), (i, len(self.bytes[i])))
         self.suffixes.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.split = regex.compile(PIECES)
         self.unsettled = regex.compile(f"[^\\x00-{_SETTLED}]")
         longest_first = sorted(self.added, key=len, reverse=True)
@@ -118,9 +122,13 @@ class PrefixEncoder:
                 return True
 
     def last_tokens(self, piece: str) -> list[int]:
-        """The last token of each prefix's encoding; `piece` has one character per byte."""
+        """The last token of each prefix's encoding; `piece` has one character per byte.
+
+        Tokens of one byte are suffixes everywhere and not looked up: such a token is the last one where no longer one
+        fits.
+        """
         last = [-1] * len(piece)
-        pairs = self.pairs
+        pairs, single = self.pairs, self.single
         if len(pairs) > REMEMBERED:
             pairs.clear()
         for end, (token, length) in self.suffixes.iter(piece):
@@ -128,14 +136,17 @@ class PrefixEncoder:
                 before = end - length
                 if before < 0:
                     last[end] = token
-                else:
-                    pair = (last[before], token)
-                    fits = pairs.get(pair)
-                    if fits is None:
-                        fits = pairs[pair] = self.apart(*pair)
-                    if fits:
-                        last[end] = token
-        return last
+                    continue
+                front = last[before]
+                if front < 0:
+                    front = last[before] = single[piece[before]]
+                pair = (front, token)
+                fits = pairs.get(pair)
+                if fits is None:
+                    fits = pairs[pair] = self.apart(front, token)
+                if fits:
+                    last[end] = token
+        return [single[c] if t < 0 else t for c, t in zip(piece, last)]
 
     def encode_piece(self, piece: str) -> bytes:
         """Packed ids of one piece of a text."""
@@ -143,8 +154,6 @@ class PrefixEncoder:
         last = self.last_tokens(raw)
         ids, end = [], len(raw) - 1
         while end >= 0:
-            if last[end] < 0:
-                raise ValueError("The vocabulary has no token for a byte of the text")
             ids.append(self.packed[last[end]])
             end -= len(self.bytes[last[end]])
         ids.reverse()
@@ -170,22 +179,28 @@ class PrefixEncoder:
     def encode(self, text: str) -> bytes:
         """Ids of a text, four bytes each, lowest first. Added tokens inside the text are tokens."""
         out = []
-        known = self.pieces
         for k, part in enumerate(self.specials.split(text) if self.specials else [text]):
             if k % 2:
                 out.append(self.packed[self.added[part]])
                 continue
-            for piece in self.divide(part):
-                ids = known.get(piece)
-                if ids is None:
-                    ids = self.encode_piece(piece)
-                    if len(piece) <= REMEMBERED_LENGTH:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[piece] = ids
-                out.append(ids)
+            pieces = self.divide(part)
+            ids = list(map(self.pieces.get, pieces))
+            if None in ids:
+                ids = [self._piece(p) if i is None else i for p, i in zip(pieces, ids)]
+            out += ids
         return b"".join(out)
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece that is not among the latest ones; short ones are remembered."""
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode_piece(piece)
+        if len(piece) <= REMEMBERED_LENGTH:
+            if len(self.pieces) >= REMEMBERED:
+                self.pieces, self.older = {}, self.pieces
+            self.pieces[piece] = ids
+        return ids
+
     def decode(self, ids: list[int]) -> str:
         """Text of ids, added tokens included; bytes that are no UTF-8 become replacement characters."""
         return b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")

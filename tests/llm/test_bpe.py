@@ -75,6 +75,9 @@ def test_only_one_token_fits_each_prefix(encoder):
     for end, (token, length) in encoder.suffixes.iter(piece):
         fits = end < length or encoder.apart(last[end - length], token)
         assert fits == (token == last[end])
+    for end in range(1, len(piece)):
+        single = encoder.single[piece[end]]
+        assert encoder.apart(last[end - 1], single) == (single == last[end])
 
 
 def test_every_token_is_the_encoding_of_its_text(encoder, library):
