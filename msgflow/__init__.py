@@ -14,6 +14,8 @@ _EXPORTS = {
     "write_stream": "msgflow.sources.sink",
     "relay_stream": "msgflow.streaming.relay",
     "relay_table": "msgflow.streaming.relay",
+    "redeliver": "msgflow.streaming.redelivery",
+    "redeliveries": "msgflow.streaming.redelivery",
     "stop_when_idle": "msgflow.streaming.idle",
 }
 

@@ -27,6 +27,7 @@ DOMAIN, ACCOUNT, CONSUMER = "dom", "acct", "cons"
 ACK_WAIT = 90
 HEARTBEAT = "heartbeat"
 LATE_ACK = "2024-01-21 12:00:00"
+LATE_ATTEMPT, LATE_DAYS = 9, 40
 
 _logs: dict[tuple[str, str], MessageLog] = {}
 
@@ -84,6 +85,17 @@ def deliveries(messages: DataFrame) -> DataFrame:
     )
 
 
+def late_deliveries(messages: DataFrame) -> DataFrame:
+    """One more delivery of every nineteenth message, days after all acks."""
+    return messages.where(F.col("streamSeq") % 19 == 0).select(
+        F.lit(CONSUMER).alias("consumer"),
+        "stream",
+        "streamSeq",
+        _later(F.col("timestamp"), F.lit(LATE_DAYS * 86_400).cast("long")).alias("delivered_at"),
+        F.lit(LATE_ATTEMPT).cast("long").alias("attempt"),
+    )
+
+
 def acks(messages: DataFrame) -> DataFrame:
     """All messages but every eleventh are acknowledged: up to two minutes after the last delivery, every
     thirteenth right after the first one, and every seventeenth at a late time of its own."""

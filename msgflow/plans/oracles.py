@@ -279,8 +279,14 @@ ORACLES = {
     ),
     "stream_dedupe": _log(_ALL_ONCE),
     "stream_redelivery": _del(
-        "SELECT stream, streamSeq, attempt, delivered_us FROM deliveries d WHERE NOT EXISTS (SELECT 1 FROM acks a"
-        " WHERE a.stream = d.stream AND a.streamSeq = d.streamSeq"
-        " AND a.acked_us BETWEEN d.delivered_us - 86400000000 AND d.delivered_us + 90000000)"
+        "SELECT stream, streamSeq, attempt, delivered_us FROM (SELECT stream, streamSeq, attempt, delivered_us FROM deliveries"
+        " UNION ALL SELECT stream, streamSeq, 9::BIGINT, us + 40 * 86400000000 FROM log WHERE streamSeq % 19 = 0) d"
+        " WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.stream = d.stream AND a.streamSeq = d.streamSeq"
+        " AND a.acked_us <= d.delivered_us + 90000000)"
+    ),
+    "stream_resend": _del(
+        "SELECT stream, streamSeq, k + 1 AS attempt, us + k * 90000000 AS delivered_us"
+        " FROM log, generate_series(1, 4) g(k) WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.stream = log.stream"
+        " AND a.streamSeq = log.streamSeq AND a.acked_us <= us + k * 90000000)"
     ),
 }

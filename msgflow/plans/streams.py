@@ -22,7 +22,8 @@ from msgflow.sources.log import MessageLog
 from msgflow.sources.reading import read_stream, register
 from msgflow.sources.sink import publish, write_stream
 from msgflow.streaming.relay import relay_rows, relay_stream
-from msgflow.streaming.stateful import dedupe, redeliveries, windowed_counts
+from msgflow.streaming.redelivery import redeliver, redeliveries
+from msgflow.streaming.stateful import dedupe, windowed_counts
 
 
 def _run(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
@@ -296,14 +297,16 @@ def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_files(spark, flat, run=_run_until_idle)
 
 
-def _delivery_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Deliveries and acks as file streams."""
+def _delivery_streams(spark: SparkSession, sf_dir: str, only_first: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Deliveries and acks as file streams; every nineteenth message is delivered once more, days after its ack."""
     messages = X.event_log(spark, sf_dir).scan()
+    deliveries = X.deliveries(messages)
+    if only_first:
+        deliveries = deliveries.where("attempt = 1")
+    else:
+        deliveries = deliveries.unionByName(X.late_deliveries(messages))
     found = []
-    for name, df, schema in (
-        ("deliveries", X.deliveries(messages), schemas.DELIVERIES),
-        ("acks", X.acks(messages), schemas.ACKS),
-    ):
+    for name, df, schema in (("deliveries", deliveries, schemas.DELIVERIES), ("acks", X.acks(messages), schemas.ACKS)):
         folder = scratch(spark, name)
         df.unionByName(X.heartbeat(spark, df.schema)).write.parquet(folder)
         found.append(spark.readStream.schema(schema).parquet(folder).drop("batch"))
@@ -312,16 +315,23 @@ def _delivery_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries, _ = _delivery_streams(spark, sf_dir)
-    once = dedupe(deliveries.where(F.col("stream") != X.HEARTBEAT), "delivered_at", "10 minutes")
+    real = (F.col("stream") != X.HEARTBEAT) & (F.col("attempt") < X.LATE_ATTEMPT)
+    once = dedupe(deliveries.where(real), "delivered_at", "10 minutes")
     return _to_files(spark, once.select("stream", "streamSeq"))
 
 
 def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries whose wait ended without an ack, among them repeats of messages acknowledged days before."""
     deliveries, acks = _delivery_streams(spark, sf_dir)
     due = redeliveries(deliveries, acks, X.ACK_WAIT)
-    return _to_files(
-        spark, due.select("stream", "streamSeq", "attempt", F.unix_micros("delivered_at").alias("delivered_us"))
-    )
+    return _to_files(spark, due.select("stream", "streamSeq", "attempt", F.unix_micros("delivered_at").alias("delivered_us")))
+
+
+def stream_resend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is sent again after each ack wait until an ack came, at most five times in all."""
+    deliveries, acks = _delivery_streams(spark, sf_dir, only_first=True)
+    again = redeliver(deliveries, acks, X.ACK_WAIT, max_deliver=5)
+    return _to_files(spark, again.select("stream", "streamSeq", "attempt", F.unix_micros("delivered_at").alias("delivered_us")))
 
 
 QUERIES = {
@@ -349,5 +359,6 @@ QUERIES = {
         stream_watermark,
         stream_dedupe,
         stream_redelivery,
+        stream_resend,
     )
 }

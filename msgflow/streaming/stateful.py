@@ -1,4 +1,4 @@
-"""Watermarked streaming operators over message, delivery and ack streams."""
+"""Watermarked streaming operators over message and delivery streams."""
 
 from __future__ import annotations
 
@@ -15,21 +15,3 @@ def windowed_counts(messages: DataFrame, window: str, delay: str = "1 minute", b
 def dedupe(deliveries: DataFrame, time: str, window: str) -> DataFrame:
     """The first delivery of each message; repeats within ``window`` of it are dropped."""
     return deliveries.withWatermark(time, window).dropDuplicatesWithinWatermark(["stream", "streamSeq"])
-
-
-def redeliveries(
-    deliveries: DataFrame, acks: DataFrame, ack_wait: int, delay: str = "1 minute", horizon: str = "1 day"
-) -> DataFrame:
-    """Deliveries, any attempt, whose message had no ack by the end of their wait; sent on when the watermark shows none can come.
-
-    An ack counts also when it came before the delivery, as in the table form; it is kept in the state for ``horizon``.
-    Keys are consumer, stream, streamSeq.
-    """
-    left = deliveries.withWatermark("delivered_at", delay).alias("d")
-    right = acks.withWatermark("acked_at", delay).alias("a")
-    same = [F.col(f"d.{k}") == F.col(f"a.{k}") for k in ("consumer", "stream", "streamSeq")]
-    in_time = (F.col("a.acked_at") >= F.col("d.delivered_at") - F.expr(f"interval {horizon}")) & (
-        F.col("a.acked_at") <= F.col("d.delivered_at") + F.expr(f"interval {int(ack_wait)} seconds")
-    )
-    joined = left.join(right, same[0] & same[1] & same[2] & in_time, "left_outer")
-    return joined.where(F.col("a.streamSeq").isNull()).select("d.*")

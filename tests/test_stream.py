@@ -15,7 +15,8 @@ from msgflow.sources.reading import read_stream
 from msgflow.sources.sink import write_stream
 from msgflow.streaming.idle import stop_when_idle
 from msgflow.streaming.relay import relay_rows, relay_stream
-from msgflow.streaming.stateful import dedupe, redeliveries, windowed_counts
+from msgflow.streaming.redelivery import redeliveries
+from msgflow.streaming.stateful import dedupe, windowed_counts
 from tests.helpers import fill, keys
 
 
