@@ -9,6 +9,7 @@ _EXPORTS = {
     "SourceOptions": "msgflow.options",
     "SinkOptions": "msgflow.options",
     "read_stream": "msgflow.sources.reading",
+    "each_batch": "msgflow.sources.reading",
     "register": "msgflow.sources.reading",
     "publish": "msgflow.sources.sink",
     "write_stream": "msgflow.sources.sink",

@@ -86,6 +86,7 @@ class SourceOptions:
     batch_size: int = 1000
     partition_rows: int = LOG_ROW_GROUP
     max_partitions: int = 100_000
+    max_batch_rows: int | None = None
     listeners: int = 1
     reset_on_restart: bool = False
     ack_none: bool = False
@@ -106,6 +107,10 @@ class SourceOptions:
             streams = tuple(f"{prefix}-{n}" for n in range(count))
         else:
             streams = (read.required("stream"),)
+        bound = read.integer("max_batch_rows", 0)
+        reset = read.boolean("reset_on_restart", False)
+        if bound and reset:
+            raise ValueError("Options 'max_batch_rows' and 'reset_on_restart' exclude each other")
         return cls(
             path=path,
             streams=streams,
@@ -120,8 +125,9 @@ class SourceOptions:
             batch_size=_positive("batch_size", read.integer("batch_size", 1000)),
             max_partitions=_positive("max_partitions", read.integer("max_partitions", 100_000)),
             partition_rows=_positive("partition_rows", read.integer("partition_rows", LOG_ROW_GROUP)),
+            max_batch_rows=_positive("max_batch_rows", bound) if bound else None,
             listeners=_positive("listeners", read.integer("listeners", 1)),
-            reset_on_restart=read.boolean("reset_on_restart", False),
+            reset_on_restart=reset,
             ack_none=read.boolean("ack_none", False),
             idle_timeout=read.number("idle_timeout"),
             datetime_format=read.text("datetime_format", DEFAULT_DATETIME_FORMAT),

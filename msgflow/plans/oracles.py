@@ -278,6 +278,7 @@ ORACLES = {
         " WHERE start_us + 21600000000 <= (SELECT max(us) // 1000 * 1000 - 60000000 FROM log) GROUP BY ALL"
     ),
     "stream_dedupe": _log(_ALL_ONCE),
+    "stream_bounded": _log("SELECT stream, streamSeq, 1::BIGINT AS seen, true AS within, 7::BIGINT AS batches FROM log"),
     "stream_redelivery": _del(
         "SELECT stream, streamSeq, attempt, delivered_us FROM (SELECT stream, streamSeq, attempt, delivered_us FROM deliveries"
         " UNION ALL SELECT stream, streamSeq, 9::BIGINT, us + 40 * 86400000000 FROM log WHERE streamSeq % 19 = 0) d"

@@ -19,7 +19,7 @@ from msgflow.session import scratch, state_partitions
 from msgflow.sources.consumers import ConsumerStore
 from msgflow.sources.index import LogIndex
 from msgflow.sources.log import MessageLog
-from msgflow.sources.reading import read_stream, register
+from msgflow.sources.reading import RangeBatch, each_batch, read_stream, register
 from msgflow.sources.sink import publish, write_stream
 from msgflow.streaming.relay import relay_rows, relay_stream
 from msgflow.streaming.redelivery import redeliver, redeliveries
@@ -131,6 +131,25 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_files(spark, source, folder, checkpoint)
 
 
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of a seventh of the log at most: one run of a single batch, then a restart that goes on to the end."""
+    log, folder, checkpoint = X.event_log(spark, sf_dir), scratch(spark, "bounded-out"), scratch(spark, "bounded-ck")
+    most = sum(log.heads().values()) // 7 + 1
+
+    def keep(batch: RangeBatch, batch_id: int) -> None:
+        rows = batch.stored().select("stream", "streamSeq", F.lit(batch_id).alias("part"))
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    for run in (_run, _run_until_idle):
+        run(spark, each_batch(spark, _source(log, max_batch_rows=most), keep), checkpoint)
+    seen = spark.read.schema("stream string, streamSeq bigint, part bigint").parquet(f"{folder}/*")
+    sizes = seen.groupBy("part").agg(F.count("*").alias("n")).agg(
+        (F.max("n") <= most).alias("within"), F.count("*").alias("batches")
+    )
+    taken = seen.groupBy("stream", "streamSeq").agg(F.count("*").alias("seen"))
+    return taken.crossJoin(F.broadcast(sizes))  # one row
+
+
 def stream_durable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A named consumer keeps its position by its acks, without the first run's checkpoint."""
     log = X.new_log(spark, "durable")
@@ -342,6 +361,7 @@ QUERIES = {
         stream_consumer_default,
         stream_consumer_filtered,
         stream_empty_batch,
+        stream_bounded,
         stream_bind,
         stream_processing_time,
         format_table_scan,

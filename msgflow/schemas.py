@@ -31,6 +31,15 @@ TEXT5 = T.StructType(
 
 TEXT3 = T.StructType([T.StructField(n, T.StringType()) for n in ("subject", "dateTime", "content")])
 
+# What a micro-batch of a message log holds: the messages (after, upto] of each stream.
+RANGES = T.StructType(
+    [
+        T.StructField("stream", T.StringType()),
+        T.StructField("after", T.LongType()),
+        T.StructField("upto", T.LongType()),
+    ]
+)
+
 # What a publisher hands over.
 SINK = T.StructType(
     [

@@ -5,10 +5,16 @@ depends on a counter kept in memory. The driver only plans ranges; executors rea
 
 Spark tells a source only that the batch before the last one is done. So offsets also carry, as keys that no
 stream can have, the consumer to move and the idle limit; ``SourceWatch`` reads them from the query's progress.
+
+With ``max_batch_rows`` a batch ends before the head. Spark does not tell a Python source where the last batch ended when it
+asks for the next end, so the reader keeps the end that it planned last. After a restart it does not know it, and its
+first offset only names a plan: a small file with the batch's ends, written when Spark asks for the batch's
+partitions and says where it starts. Such an offset is read like one with the ends themselves.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -31,6 +37,8 @@ from msgflow.sources.index import LogIndex
 # Keys of an offset that are not streams: the consumer's folder, and the idle limit in seconds.
 CONSUMER_KEY = "consumer:"
 IDLE_KEY = "idle-seconds:"
+# Key of an offset whose ends are in a file of the log; see above.
+PLAN_KEY = "plan:"
 
 # Messages per Arrow batch handed to Spark.
 ARROW_ROWS = 10_000
@@ -53,6 +61,27 @@ class SlicePartition(InputPartition):
         self.listener = listener
 
 
+def stream_ends(offset: dict) -> dict[str, int]:
+    """The ends of the streams that an offset stands for; none for a plan that was never made."""
+    ends = {k: int(v) for k, v in offset.items() if not k.startswith((CONSUMER_KEY, IDLE_KEY, PLAN_KEY))}
+    for key in offset:
+        if key.startswith(PLAN_KEY):
+            ends |= files.read_json(key.removeprefix(PLAN_KEY), {})
+    return ends
+
+
+def bounded_ends(start: dict[str, int], heads: dict[str, int], most: int) -> dict[str, int]:
+    """Ends of a batch of at most ``most`` messages: streams with little left get it whole, the others share the rest evenly,
+    and what an even share leaves over goes to the first ones."""
+    left = {s: max(0, head - start.get(s, 0)) for s, head in heads.items()}
+    ends, room = {}, most
+    for place, stream in enumerate(sorted(left, key=lambda s: (left[s], s))):
+        taken = min(left[stream], -(-room // (len(left) - place)))
+        ends[stream] = start.get(stream, 0) + taken
+        room -= taken
+    return ends
+
+
 def slice_rows(pending: int, options: SourceOptions) -> int:
     """Messages per Spark partition: whole fetches up to the wanted number, more if that gave too many."""
     wanted = max(options.partition_rows // options.batch_size, 1)
@@ -126,41 +155,72 @@ class MessageLogStreamReader(DataSourceStreamReader):
             if not options.create_consumer:
                 self.patterns = parse_patterns(settings.get("subjects", []))
         self.first_batch = True
+        self.planned: dict[str, int] | None = None  # ends of the batch planned last, if this reader knows it
+        self.given: dict | None = None  # the offset that stands for it
+        self.run = uuid.uuid4().hex
 
     # -- driver -----------------------------------------------------------------
 
     def initialOffset(self) -> dict:
         floors = self.store.floors() if self.store else {}
-        return self._offset(floors)
+        self.planned = {s: int(floors.get(s, 0)) for s in self.options.streams}
+        return {k: v for k, v in self._offset(self.planned).items() if not k.startswith(IDLE_KEY)}
 
     def latestOffset(self) -> dict:
-        """The streams' ends. A batch is acknowledged as a whole when it is done, so nothing waits for a cap."""
-        return self._offset(self.index.heads())
+        """The ends of the next batch: the streams' heads, or as far as the limit goes."""
+        heads = self._heads()
+        if self.options.max_batch_rows is None:
+            return self._offset(heads)
+        if self.planned is None:
+            return self._offset({f"{PLAN_KEY}{self.options.path}/plans/{self.run}.json": 0})
+        ends = bounded_ends(self.planned, heads, self.options.max_batch_rows)
+        return self.given if ends == self.planned and self.given else self._offset(ends)
+
+    def _heads(self) -> dict[str, int]:
+        heads = self.index.heads()
+        return {s: int(heads.get(s, 0)) for s in self.options.streams}
 
     def _offset(self, ends: dict[str, int]) -> dict:
-        offset = {s: int(ends.get(s, 0)) for s in self.options.streams}
+        offset = dict(ends)
         if self._acking():
             offset[CONSUMER_KEY + self.store.folder] = 0
         if self.options.idle_timeout is not None:
-            offset[IDLE_KEY] = int(self.options.idle_timeout * 60)
+            # With the run in it, the first offset after a restart is a new one. It makes a batch, if an empty one, and
+            # with it a progress report that names the limit.
+            offset[f"{IDLE_KEY}{self.run}"] = int(self.options.idle_timeout * 60)
         return offset
 
     def _acking(self) -> bool:
         return self.store is not None and not self.options.ack_none
 
-    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+    def _ends(self, start: dict[str, int], end: dict) -> dict[str, int]:
+        """The ends of a batch; a plan is made at its first reading and then stays as it is."""
+        ends = stream_ends(end)
+        for key in end:
+            if key.startswith(PLAN_KEY) and not ends:
+                most = self.options.max_batch_rows or sum(self._heads().values())
+                ends = bounded_ends(start, self._heads(), most)
+                files.write_json(key.removeprefix(PLAN_KEY), ends)
+        return ends
+
+    def ranges(self, start: dict, end: dict) -> dict[str, tuple[int, int]]:
+        """``(after, upto)`` of every stream in a batch."""
         for offset in (start, end):
             if not isinstance(offset, dict) or any(not isinstance(v, int) or v < 0 for v in offset.values()):
                 raise ValueError(f"Not a stream offset: {offset!r}")
         self.commit(start)  # a batch is planned from where the last one ended
-        heads = self.index.heads()
-        moved = any(end.get(s, 0) > start.get(s, 0) for s in self.options.streams)
-        if not moved:
-            return []
+        heads, begin = self._heads(), stream_ends(start)
+        ends = self._ends(begin, end)
+        self.planned, self.given = {s: max(ends.get(s, 0), begin.get(s, 0)) for s in self.options.streams}, end
+        if not any(ends.get(s, 0) > begin.get(s, 0) for s in self.options.streams):
+            return {}
         if self.options.reset_on_restart and self.first_batch:
-            start = {}
+            begin = {}
         self.first_batch = False
-        ranges = {s: (int(start.get(s, 0)), min(int(end.get(s, 0)), heads.get(s, 0))) for s in self.options.streams}
+        return {s: (begin.get(s, 0), min(ends.get(s, 0), heads[s])) for s in self.options.streams}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        ranges = self.ranges(start, end)
         size = slice_rows(sum(max(0, upto - after) for after, upto in ranges.values()), self.options)
         slices: list[Slice] = []
         for stream, (after, upto) in ranges.items():
@@ -170,7 +230,8 @@ class MessageLogStreamReader(DataSourceStreamReader):
 
     def commit(self, end: dict) -> None:
         if self._acking():
-            self.store.advance({s: end[s] for s in self.options.streams if end.get(s)})
+            ends = stream_ends(end)
+            self.store.advance({s: ends[s] for s in self.options.streams if ends.get(s)})
 
     # -- executors --------------------------------------------------------------
 
@@ -228,11 +289,41 @@ class MessageLogStreamReader(DataSourceStreamReader):
         return pc.binary_join_element_wise(".".join(head), seq_text, seq_text, nanos, pending.cast(kind), ".")
 
 
+class RangePartition(InputPartition):
+    def __init__(self, rows: list[tuple[str, int, int]]):
+        self.rows = rows
+
+
+class RangeStreamReader(MessageLogStreamReader):
+    """The same batches without their messages: one row ``(stream, after, upto)`` per stream with new ones."""
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        rows = [(s, after, upto) for s, (after, upto) in self.ranges(start, end).items() if upto > after]
+        return [RangePartition(rows)] if rows else []
+
+    def read(self, partition: RangePartition) -> Iterator[tuple[str, int, int]]:
+        yield from partition.rows
+
+
+class MessageRangeSource(DataSource):
+    """Streaming source ``msglog_ranges``: what each batch holds, for handlers that read the messages with Spark."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "msglog_ranges"
+
+    def schema(self) -> StructType:
+        return schemas.RANGES
+
+    def streamReader(self, schema: StructType) -> RangeStreamReader:
+        return RangeStreamReader(SourceOptions.from_options(self.options))
+
+
 class MessageLogReader(DataSourceReader):
     """The same envelopes as a table: everything committed when the query starts."""
 
     def __init__(self, options: SourceOptions):
-        self.stream = MessageLogStreamReader(replace(options, consumer=None, reset_on_restart=False))
+        self.stream = MessageLogStreamReader(replace(options, consumer=None, reset_on_restart=False, max_batch_rows=None))
 
     def partitions(self) -> list[InputPartition]:
         return self.stream.partitions({}, self.stream.latestOffset())

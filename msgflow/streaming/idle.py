@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from msgflow.sources.consumers import ConsumerStore
-from msgflow.sources.msglog import CONSUMER_KEY, IDLE_KEY
+from msgflow.sources.msglog import CONSUMER_KEY, IDLE_KEY, stream_ends
 
 
 class SourceWatch(StreamingQueryListener):
@@ -54,11 +54,10 @@ class SourceWatch(StreamingQueryListener):
             return
         if not isinstance(ends, dict):
             return  # another kind of source
-        streams = {k: v for k, v in ends.items() if not k.startswith((CONSUMER_KEY, IDLE_KEY))}
         for key, value in ends.items():
             if key.startswith(CONSUMER_KEY):
-                ConsumerStore.at(key.removeprefix(CONSUMER_KEY)).advance(streams)
-            elif key == IDLE_KEY:
+                ConsumerStore.at(key.removeprefix(CONSUMER_KEY)).advance(stream_ends(ends))
+            elif key.startswith(IDLE_KEY):
                 self.watch(query, value)
 
     def _check(self, query_id: str) -> None:

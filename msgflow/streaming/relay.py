@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from msgflow.functions.envelope import rewrite_subject
+from msgflow.operators.codec import decode_payload
 from msgflow.operators.delivery import Delivery
 from msgflow.operators.envelope import conform_to_sink
 from msgflow.operators.routing import filter_subjects
-from msgflow.options import SinkOptions, SourceOptions
+from msgflow.options import SinkOptions
 from msgflow.sources.index import LogIndex
 from msgflow.sources.log import MessageLog
-from msgflow.sources.reading import read_stream
+from msgflow.sources.reading import RangeBatch, each_batch
 from msgflow.sources.sink import batch_name, publish
 
 
@@ -31,42 +31,29 @@ def relay_table(messages: DataFrame, subjects: str, pattern: str, replacement: s
     return relay_rows(filter_subjects(messages, subjects), pattern, replacement)
 
 
-def _ends(batch: DataFrame) -> dict[str, int]:
-    """Last number per stream of a delivered batch; one row per stream."""
-    ends = batch.groupBy("stream").agg(F.max("streamSeq").alias("end")).collect()
-    return {r["stream"]: r["end"] for r in ends}
-
-
 def relay_stream(
     spark: SparkSession, source: Mapping[str, object], sink: Mapping[str, object], pattern: str, replacement: str
 ) -> DataStreamWriter:
     """The relay as a streaming query; set checkpoint and trigger on the result and start it.
 
     Per micro-batch the rows are appended first and acknowledged after that, both under the batch id,
-    so a replayed batch neither repeats messages nor loses acks. The source delivers each stream in
-    order without holes, so the consumer's position moves to the end of the acknowledged batch; past messages
-    that its subjects leave out it moves when the query reports the batch as done.
+    so a replayed batch neither repeats messages nor loses acks. The messages are read where they are used, payloads for
+    the append and numbers for the acks; nothing is kept between the two. Messages of one data file keep their order,
+    files of a batch come in any. The consumer's position moves to the end of the batch, also past messages that its
+    subjects leave out.
     """
-    read = SourceOptions.from_options(source)
     target = SinkOptions.from_options(sink)
     index = LogIndex(target.path.rstrip("/"))
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        name = batch_name(batch, batch_id, target.writer)
-        acking = bool(read.consumer) and not read.ack_none
-        if acking:
-            batch = batch.persist(StorageLevel.DISK_ONLY)  # read twice: messages, then acks
-        try:
-            renamed = batch.withColumn("subject", rewrite_subject(F.col("subject"), pattern, replacement))
-            rows = renamed.withColumnRenamed("content", "data")
-            publish(MessageLog(session, target.path, index), rows, target.stream, name, target.subjects)
-            if acking:
-                consumer = Delivery(MessageLog(session, read.path), read.consumer)
-                consumer.write_acks(batch, name, F.current_timestamp())
-                consumer.store.advance(_ends(batch))
-        finally:
-            if acking:
-                batch.unpersist()
-
-    return read_stream(spark, **source).writeStream.foreachBatch(handle)
+    def handle(batch: RangeBatch, batch_id: int) -> None:
+        read, session = batch.options, batch.log.spark
+        stored = batch.stored()
+        name = batch_name(stored, batch_id, target.writer)
+        rows = relay_rows(decode_payload(stored, read.codec, strict=read.strict), pattern, replacement)
+        publish(MessageLog(session, target.path, index), rows, target.stream, name, target.subjects)
+        if read.consumer and not read.ack_none:
+            consumer = Delivery(batch.log, read.consumer)
+            consumer.write_acks(stored, name, F.current_timestamp())
+            consumer.store.advance(batch.ends)
+
+    return each_batch(spark, source, handle)
