@@ -12,24 +12,23 @@ pair of the block, so neither shuffle holds a row per link.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
-from tokenizers import Tokenizer
 
-from msgflow.llm.bpe import byte_letters
+from msgflow.llm.bpe import PrefixEncoder, id_and_text, pieces
 from msgflow.llm.tables import materialize
 from msgflow.session import ship_package
 
-# UTF-8 bytes of text in a block, or one document if that is longer; texts given to a tokenizer at once.
-BLOCK_BYTES = 8 << 20
-BATCH_BYTES = 1 << 18
+# UTF-8 bytes of text in a block, or one document if that is longer.
+BLOCK_BYTES = 4 << 20
 # A document with more A tokens is merged in several places at once.
 LANE = 2048
 
@@ -61,14 +60,9 @@ class Tokenizers:
     """A byte-level vocabulary file (A) and a piece model with byte fallback (B), as bytes of both files."""
 
     def __init__(self, raw_a: bytes, raw_b: bytes):
-        self.a = Tokenizer.from_str(raw_a.decode())
-        self.a.encode_special_tokens = True
+        self.a = PrefixEncoder(raw_a.decode())
         self.b = SentencePieceProcessor(model_proto=raw_b)
-        letters = byte_letters()
-        vocab = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = [b""] * (1 + max(vocab.values()))
-        for token, i in vocab.items():
-            self.bytes_a[i] = bytes(letters[c] for c in token)
+        self.bytes_a = self.a.bytes
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.lengths_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int64)
@@ -76,48 +70,28 @@ class Tokenizers:
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-
-    def encode(self, texts: list[str | None]) -> Tokens:
-        """Tokens of texts; none where a text is null or empty or where one side does not give its bytes back."""
-        own_a: list[list[int]] = []
-        own_b: list[list[int]] = []
-        for some in _batches(texts, BATCH_BYTES):
-            given = [t or "" for t in some]
-            encoded = self.a.encode_batch_fast([" " + t for t in given], add_special_tokens=False)
-            for text, one, b in zip(given, encoded, self.b.encode(given, num_threads=1)):
-                a, want = one.ids, (" " + text).encode()
-                known = max(a, default=0) < len(self.bytes_a)
-                same = known and all(
-                    b"".join([table[i] for i in ids]) == want for table, ids in ((self.bytes_a, a), (self.bytes_b, b))
-                )
-                own_a.append(a if text and same else [])
-                own_b.append(b if text and same else [])
+        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("\u2581", " ").encode()
+
+    def encode(self, texts: Iterable[str]) -> Tokens:
+        """Tokens of texts; none where a text is empty or where B does not give its bytes back (A always does)."""
+        texts = list(texts)
+        own_a, own_b = [], []
+        none = np.zeros(0, np.int32)
+        for text, packed in zip(texts, self.a.encode_all((" " + t for t in texts), added=False)):
+            ids = self.b.encode(text) if text else []
+            same = bool(text) and b"".join(map(self.bytes_b.__getitem__, ids)) == (" " + text).encode()
+            own_a.append(np.frombuffer(packed, "<i4") if same else none)
+            own_b.append(np.array(ids, np.int32) if same else none)
         ids_a, first_a = _flat(own_a)
         ids_b, first_b = _flat(own_b)
         ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
         return Tokens(ids_a, ids_b, first_a, first_b, ends_a, ends_b)
 
 
-def _batches(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
-    """Neighbouring texts of about `size` characters."""
-    some: list[str | None] = []
-    held = 0
-    for text in texts:
-        some.append(text)
-        held += len(text or "")
-        if held >= size:
-            yield some
-            some, held = [], 0
-    if some:
-        yield some
-
-
-def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     first = np.zeros(len(rows) + 1, np.int64)
     np.cumsum([len(r) for r in rows], out=first[1:])
-    ids = np.fromiter((i for r in rows for i in r), np.int32, int(first[-1]))
-    return ids, first
+    return np.concatenate([*rows, np.zeros(0, np.int32)]), first
 
 
 def lanes(tokens: Tokens, longest: int = LANE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,7 +116,7 @@ def lanes(tokens: Tokens, longest: int = LANE) -> tuple[np.ndarray, np.ndarray,
     order = np.argsort(begin_a, kind="stable")
     begin_a, begin_b, stop_a = begin_a[order], begin_b[order], stop_a[order]
     stop_a[:-1] = np.minimum(stop_a[:-1], begin_a[1:])
-    return begin_a, begin_b, stop_a
+    return begin_a.astype(np.int32), begin_b.astype(np.int32), stop_a.astype(np.int32)
 
 
 def lockstep(tokens: Tokens, longest: int = LANE) -> Merged:
@@ -158,35 +132,35 @@ def lockstep(tokens: Tokens, longest: int = LANE) -> Merged:
         going = a < stop
         if not going.all():
             a, b, stop = a[going], b[going], stop[going]
-    link_a, link_b, cut_a, cut_b = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
+    link_a, link_b, cut_a, cut_b = (np.concatenate(p) if p else np.zeros(0, np.int32) for p in parts)
     return Merged(link_a, link_b, np.sort(cut_a), np.sort(cut_b))
 
 
 def _digit_rows(size: int) -> np.ndarray:
-    """Decimal digits of the ids below `size`, left-aligned in rows of bytes with a free last column."""
-    width = len(str(size))
-    text = np.array([str(i).encode() for i in range(size)], f"S{width + 1}")
-    return text.view(np.uint8).reshape(size, width + 1)
+    """Decimal digits of the ids below `size`, left-aligned in eight bytes, as one number each."""
+    if size > 10_000_000:
+        raise ValueError("Ids of more than seven digits")
+    return np.array([str(i).encode() for i in range(size)], "S8").view(np.uint64)
 
 
 def group_texts(tokens: Tokens, merged: Merged, digits: np.ndarray) -> Iterator[bytes]:
     """Per document `a1,a2|b1;a3|b2,b3`: the ids of both sides group by group."""
     n_a, n_b = len(tokens.ids_a), len(tokens.ids_b)
-    group_a = np.searchsorted(merged.cut_a, np.arange(n_a))
-    group_b = np.searchsorted(merged.cut_b, np.arange(n_b))
-    rows = np.zeros((n_a + n_b, digits.shape[1]), np.uint8)
-    before_b = np.concatenate([[0], merged.cut_b + 1])
-    at_a = np.arange(n_a) + before_b[group_a]
-    at_b = np.arange(n_b) + merged.cut_a[group_b] + 1
+    # An A token comes behind the B tokens of the groups before its own, a B token also behind the A tokens of its own.
+    sizes_a, sizes_b = (np.diff(cut, prepend=-1) for cut in (merged.cut_a, merged.cut_b))
+    at_a = np.arange(n_a) + np.repeat(merged.cut_b + 1 - sizes_b, sizes_a)
+    at_b = np.arange(n_b) + np.repeat(merged.cut_a + 1, sizes_b)
+    rows = np.zeros(n_a + n_b, np.uint64)
     rows[at_a], rows[at_b] = digits[tokens.ids_a], digits[tokens.ids_b]
-    rows[:, -1] = ord(",")
-    rows[at_a[merged.cut_a], -1] = ord("|")
-    rows[at_b[merged.cut_b], -1] = ord(";")
+    letters = rows.view(np.uint8)
+    letters[7::8] = ord(",")
+    letters[8 * at_a[merged.cut_a] + 7] = ord("|")
+    letters[8 * at_b[merged.cut_b] + 7] = ord(";")
     first = tokens.first_a + tokens.first_b
-    rows[first[1:][np.diff(first) > 0] - 1, -1] = 0
-    held = rows != 0
-    places = np.concatenate([[0], np.cumsum(held.sum(axis=1))])[first]
-    text = rows[held].tobytes()
+    letters[8 * first[1:][np.diff(first) > 0] - 1] = 0
+    held = letters != 0
+    places = np.concatenate([[0], np.cumsum(held.reshape(-1, 8).sum(axis=1, dtype=np.int8), dtype=np.int64)])[first]
+    text = letters[held].tobytes()
     for low, high in zip(places[:-1].tolist(), places[1:].tolist()):
         yield text[low:high]
 
@@ -207,22 +181,6 @@ def _shared(documents: DataFrame, path_a: str, path_b: str):
     return tokenizers
 
 
-def _rows(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None]]]:
-    """Doc ids and texts of about BLOCK_BYTES."""
-    for batch in batches:
-        sizes = np.cumsum([0 if t is None else len(t) for t in batch["text"].to_pylist()])
-        row = 0
-        while row < len(batch):
-            done = sizes[row - 1] if row else 0
-            end = max(row + 1, int(np.searchsorted(sizes, done + BLOCK_BYTES, side="right")))
-            yield batch["doc_id"].slice(row, end - row), batch["text"].slice(row, end - row).to_pylist()
-            row = end
-
-
 def align(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Per row of documents: doc_id, a and b (ids of both tokenizers), cuts (how many tokens of a and of b lie in front of
     each end that both share; the groups lie between them), links (places in a and b of tokens whose bytes overlap).
@@ -237,7 +195,7 @@ def align(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizers()
-        for ids, texts in _blocks(batches):
+        for ids, texts in pieces(batches, BLOCK_BYTES):
             tokens = own.encode(texts)
             merged = lockstep(tokens)
             order = np.lexsort((merged.link_b, merged.link_a))
@@ -246,14 +204,14 @@ def align(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
             columns = [ids, _lists(tokens.ids_a, first_a), _lists(tokens.ids_b, first_b)]
             for left, right, more in ((merged.cut_a, merged.cut_b, 1), (link_a, link_b, 0)):
                 first = np.searchsorted(left, first_a)
-                base = np.repeat(np.arange(len(texts)), np.diff(first))
+                base = np.repeat(np.arange(len(ids)), np.diff(first))
                 pair = [left - first_a[base] + more, right - first_b[base] + more]
                 values = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in pair], ["a", "b"])
                 columns.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), values))
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "cuts", "links"])
 
     pair = "array<struct<a:long,b:long>>"
-    return _rows(documents).mapInArrow(run, f"doc_id long, a array<int>, b array<int>, cuts {pair}, links {pair}")
+    return id_and_text(documents).mapInArrow(run, f"doc_id long, a array<int>, b array<int>, cuts {pair}, links {pair}")
 
 
 def _lists(values: np.ndarray, first: np.ndarray) -> pa.ListArray:
@@ -275,15 +233,15 @@ def _counted(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
             [(n, {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(t, pa.list_(pa.int32())))
              for n, t in (field.split() for field in _COUNTED.split(", "))]
         )
-        for block, (ids, texts) in enumerate(_blocks(batches)):
+        for block, (ids, texts) in enumerate(pieces(batches, BLOCK_BYTES)):
             block += TaskContext.get().partitionId() << 32
             tokens = own.encode(texts)
             merged = lockstep(tokens)
-            n, first_a, first_b = len(texts), tokens.first_a, tokens.first_b
+            n, first_a, first_b = len(ids), tokens.first_a, tokens.first_b
             owner = np.searchsorted(first_a, merged.link_a, side="right") - 1
             pair = (tokens.ids_a[merged.link_a].astype(np.int64) << 32) | tokens.ids_b[merged.link_b]
-            pairs, place = np.unique(pair, return_inverse=True)
-            held, times = np.unique(owner * max(len(pairs), 1) + place, return_counts=True)
+            place, pairs = pd.factorize(pair)
+            held, times = _counted_keys(owner * max(len(pairs), 1) + place)
             holder, place = np.divmod(held, max(len(pairs), 1))
             first = np.searchsorted(holder, np.arange(n + 1))
             digests = [hashlib.sha256(t).hexdigest() if t else "" for t in group_texts(tokens, merged, own.digits)]
@@ -308,7 +266,14 @@ def _counted(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
             }
             yield _batch(columns, len(pairs), schema)
 
-    return _rows(documents).mapInArrow(run, _COUNTED)
+    return id_and_text(documents).mapInArrow(run, _COUNTED)
+
+
+def _counted_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each comes."""
+    code, distinct = pd.factorize(keys)
+    order = np.argsort(distinct)
+    return distinct[order], np.bincount(code, minlength=len(distinct))[order]
 
 
 def _batch(columns: dict, size: int, schema: pa.Schema) -> pa.RecordBatch:

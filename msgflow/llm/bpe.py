@@ -8,14 +8,16 @@ prefix describes all encodings:
    no merge would ever cross the border between the two. This holds for one token only, and it is stored.
 3. Following the stored tokens back from the end gives the ids.
 
-Texts are first divided as byte-level tokenizers do, so pieces are short; the encodings of frequent ones are remembered.
+Texts are first divided as byte-level tokenizers do, so pieces are short. All new pieces of some texts go through the
+three steps together, byte by byte, as arrays; the encodings of the latest pieces are remembered.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import sha256
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -31,14 +33,20 @@ from msgflow.session import ship_package
 
 # Fixed value: how byte-level pre-tokenizers divide a text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Remembered pieces (twice: the latest and those before them) and token pairs of a worker, so its memory is bounded.
-REMEMBERED = 1 << 18
+# Remembered pieces (twice: the latest and those before them) and tested token pairs, so a worker's memory is bounded.
+REMEMBERED = 1 << 17
 REMEMBERED_LENGTH = 64
+PAIR_BITS = 20
+# Characters of text whose new pieces are encoded together.
+TOGETHER = 1 << 20
+# Stands between pieces; in no token, as these are given with one letter below 256 per byte.
+_GAP = chr(256)
 # Letters and digits up to here have the same class in all versions of Unicode in use.
 _SETTLED = "\u0557"
 # Stand-ins of the classes letter, number and other: their place in the pattern is that of their class.
 _STAND_INS = {"letter": "\u0436", "number": "1", "other": "\u00a7", "space": " "}
 _FOREVER = 1 << 62
+_SPREAD, _POSITIVE = 0x1E3779B97F4A7C15, (1 << 63) - 1
 # UTF-8 bytes of text whose ids a worker holds at once, or one document if that is longer.
 PIECE_BYTES = 4 << 20
 
@@ -83,13 +91,19 @@ class PrefixEncoder:
         for token, i in self.added.items():
             self.bytes[i] = token.encode()
         self.packed = [int(i).to_bytes(4, "little") for i in range(size)]
-        self.single = {self.bytes[i].decode("latin-1"): i for i in vocab.values() if len(self.bytes[i]) == 1}
-        self.suffixes = ahocorasick.Automaton()
+        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
+        self.single = np.zeros(256, np.int64)
+        for i in vocab.values():
+            if len(self.bytes[i]) == 1:
+                self.single[self.bytes[i][0]] = i
+        # Tokens of one byte are suffixes everywhere and need no automaton.
+        self.suffixes = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i in vocab.values():
             if self._reachable(i):
-                self.suffixes.add_word(self.bytes[i].decode("latin-1"), (i, len(self.bytes[i])))
+                self.suffixes.add_word(self.bytes[i].decode("latin-1"), i)
         self.suffixes.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.tested = np.full(1 << PAIR_BITS, -1, np.int64)
+        self.fitting = np.zeros(1 << PAIR_BITS, bool)
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.split = regex.compile(PIECES)
@@ -121,43 +135,64 @@ class PrefixEncoder:
             else:
                 return True
 
-    def last_tokens(self, piece: str) -> list[int]:
-        """The last token of each prefix's encoding; `piece` has one character per byte.
-
-        Tokens of one byte are suffixes everywhere and not looked up: such a token is the last one where no longer one
-        fits.
-        """
-        last = [-1] * len(piece)
-        pairs, single = self.pairs, self.single
-        if len(pairs) > REMEMBERED:
-            pairs.clear()
-        for end, (token, length) in self.suffixes.iter(piece):
-            if last[end] < 0:
-                before = end - length
-                if before < 0:
-                    last[end] = token
-                    continue
-                front = last[before]
-                if front < 0:
-                    front = last[before] = single[piece[before]]
-                pair = (front, token)
-                fits = pairs.get(pair)
-                if fits is None:
-                    fits = pairs[pair] = self.apart(front, token)
-                if fits:
-                    last[end] = token
-        return [single[c] if t < 0 else t for c, t in zip(piece, last)]
-
-    def encode_piece(self, piece: str) -> bytes:
-        """Packed ids of one piece of a text."""
-        raw = piece.encode().decode("latin-1")
-        last = self.last_tokens(raw)
-        ids, end = [], len(raw) - 1
-        while end >= 0:
-            ids.append(self.packed[last[end]])
-            end -= len(self.bytes[last[end]])
-        ids.reverse()
-        return b"".join(ids)
+    def fit(self, front: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether the tokens stay apart from those in front of them; tested pairs are remembered."""
+        pair = front * len(self.bytes) + token
+        slot = (pair * _SPREAD & _POSITIVE) >> (63 - PAIR_BITS)
+        new = np.flatnonzero(self.tested[slot] != pair)
+        out = self.fitting[slot]
+        if len(new):
+            pairs, at = np.unique(pair[new], return_inverse=True)
+            own = np.array([self.apart(*divmod(p, len(self.bytes))) for p in pairs.tolist()], bool)
+            out[new] = own[at]
+            self.tested[slot[new]], self.fitting[slot[new]] = pair[new], out[new]
+        return out
+
+    def last_tokens(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The last token of each prefix's encoding, for all bytes of all pieces with a gap between two; and where each piece
+        starts."""
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        last = self.single[np.frombuffer(b"\0".join(pieces), np.uint8)]
+        text = _GAP.join([p.decode("latin-1") for p in pieces])
+        found = np.fromiter(chain.from_iterable(self.suffixes.iter(text)), np.int64)
+        end, token = found[::2], found[1::2]
+        place = end - starts[np.searchsorted(starts, end, side="right") - 1]
+        before = end - self.lengths[token]
+        whole = place < self.lengths[token]
+        order = np.argsort(place, kind="stable")
+        bounds = np.searchsorted(place[order], np.arange(int(sizes.max(initial=0)) + 1))
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            rows = order[low:high]
+            if not len(rows):
+                continue
+            # At most one token fits a prefix; where none of these does, it is the one of a single byte.
+            fits = whole[rows]
+            inner = np.flatnonzero(~fits)
+            fits[inner] = self.fit(last[before[rows[inner]]], token[rows[inner]])
+            last[end[rows[fits]]] = token[rows[fits]]
+        return last, starts
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of pieces of texts: the stored tokens are followed from all ends at once."""
+        if not pieces:
+            return []
+        raw = [p.encode() for p in pieces]
+        last, starts = self.last_tokens(raw)
+        piece, end = np.arange(len(raw)), starts + np.array([len(p) for p in raw]) - 1
+        owners, tokens = [], []
+        while len(piece):
+            token = last[end]
+            owners.append(piece)
+            tokens.append(token)
+            end = end - self.lengths[token]
+            going = end >= starts[piece]
+            piece, end = piece[going], end[going]
+        # The last step holds the first tokens.
+        owner, token = np.concatenate(owners[::-1]), np.concatenate(tokens[::-1])
+        packed = token[np.argsort(owner, kind="stable")].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(raw)))).tolist()
+        return [packed[low:high] for low, high in zip([0, *ends], ends)]
 
     def _class_of(self, c: str) -> str | None:
         """A stand-in where this library's character class differs from that of the tokenizers library, else null."""
@@ -176,30 +211,44 @@ class PrefixEncoder:
             return self.split.findall(text)
         return [text[m.start() : m.end()] for m in self.split.finditer(text.translate(stand_ins))]
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a text, four bytes each, lowest first. Added tokens inside the text are tokens."""
-        out = []
-        for k, part in enumerate(self.specials.split(text) if self.specials else [text]):
-            if k % 2:
-                out.append(self.packed[self.added[part]])
-                continue
-            pieces = self.divide(part)
-            ids = list(map(self.pieces.get, pieces))
-            if None in ids:
-                ids = [self._piece(p) if i is None else i for p, i in zip(pieces, ids)]
-            out += ids
-        return b"".join(out)
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a piece that is not among the latest ones; short ones are remembered."""
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = self.encode_piece(piece)
-        if len(piece) <= REMEMBERED_LENGTH:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces, self.older = {}, self.pieces
-            self.pieces[piece] = ids
-        return ids
+    def encode(self, text: str, added: bool = True) -> bytes:
+        """Ids of a text, four bytes each, lowest first. Added tokens inside the text are tokens, or plain text if not
+        ``added``."""
+        return next(self.encode_all([text], added))
+
+    def encode_all(self, texts: Iterable[str], added: bool = True) -> Iterator[bytes]:
+        """Ids of each text. The pieces that are new in about TOGETHER characters of text are encoded together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(self._divided(text, added))
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self._join(held)
+                held, size = [], 0
+        yield from self._join(held)
+
+    def _divided(self, text: str, added: bool) -> list[str | bytes]:
+        """Pieces of a text, added tokens as packed ids among them."""
+        if not added or self.specials is None or self.specials.search(text) is None:
+            return self.divide(text)
+        parts = self.specials.split(text)
+        return [x for k, p in enumerate(parts) for x in ([self.packed[self.added[p]]] if k % 2 else self.divide(p))]
+
+    def _join(self, texts: list[list[str | bytes]]) -> list[bytes]:
+        known = self.pieces
+        new = set().union(*texts) - known.keys()
+        older = new & self.older.keys()
+        unknown = [p for p in new - older if isinstance(p, str)]
+        known |= {p: self.older[p] for p in older}
+        known |= zip(unknown, self.encode_pieces(unknown))
+        known |= {p: p for p in new if isinstance(p, bytes)}
+        out = [b"".join(map(known.__getitem__, text)) for text in texts]
+        for piece in new:
+            if isinstance(piece, bytes) or len(piece) > REMEMBERED_LENGTH:
+                del known[piece]
+        if len(known) >= REMEMBERED:
+            self.pieces, self.older = {}, known
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids, added tokens included; bytes that are no UTF-8 become replacement characters."""
@@ -219,19 +268,19 @@ def _shared(documents: DataFrame, path: str):
     return encoder
 
 
-def _rows(documents: DataFrame) -> DataFrame:
+def id_and_text(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Iterator[str]]]:
-    """Doc ids and texts of about PIECE_BYTES; a text is made only when it is asked for."""
+def pieces(batches: Iterator[pa.RecordBatch], size: int = PIECE_BYTES) -> Iterator[tuple[pa.Array, Iterator[str]]]:
+    """Doc ids and texts (null: empty) of about `size` bytes; a text is made only when it is asked for."""
     for batch in batches:
         ids, texts = batch["doc_id"], batch["text"]
         ends = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False)))
         row = 0
         while row < len(batch):
             done = ends[row - 1] if row else 0
-            end = max(row + 1, int(np.searchsorted(ends, done + PIECE_BYTES, side="right")))
+            end = max(row + 1, int(np.searchsorted(ends, done + size, side="right")))
             yield ids.slice(row, end - row), (t.as_py() or "" for t in texts.slice(row, end - row))
             row = end
 
@@ -249,15 +298,15 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder()
-        for doc_ids, texts in _pieces(batches):
-            packed = [own.encode(text) for text in texts]
+        for doc_ids, texts in pieces(batches):
+            packed = list(own.encode_all(texts))
             offsets = np.zeros(len(packed) + 1, np.int32)
             np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
             values = np.frombuffer(b"".join(packed), "<i4")
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([doc_ids, ids], ["doc_id", "ids"])
 
-    return _rows(documents).mapInArrow(run, "doc_id long, ids array<int>")
+    return id_and_text(documents).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -281,10 +330,9 @@ def encode_report(documents: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder()
-        for doc_ids, texts in _pieces(batches):
+        for doc_ids, texts in pieces(batches):
             rows = []
-            for text in texts:
-                ids = own.encode(text)
+            for ids in own.encode_all(texts):
                 decoded = own.decode(np.frombuffer(ids, "<u4").tolist())
                 rows.append((len(ids) // 4, sha256(ids).hexdigest(), sha256(decoded.encode()).hexdigest()))
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string()))]
@@ -292,4 +340,4 @@ def encode_report(documents: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([doc_ids, *columns], names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _rows(documents).mapInArrow(run, schema)
+    return id_and_text(documents).mapInArrow(run, schema)

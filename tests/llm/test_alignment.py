@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from msgflow.llm import alignment
 
@@ -31,8 +32,10 @@ def spans(ids, table):
 def plain(both, rows):
     """The report from its definition: every A token against every B token of its document."""
     held, count = [], Counter()
+    library = Tokenizer.from_file(PATHS[0])
+    library.encode_special_tokens = True
     for i, text in rows:
-        a = both.a.encode(" " + (text or ""), add_special_tokens=False).ids if text else []
+        a = library.encode(" " + (text or ""), add_special_tokens=False).ids if text else []
         b = both.b.encode(text) if text else []
         joined = [b"".join(t[x] for x in ids) for t, ids in ((both.bytes_a, a), (both.bytes_b, b))]
         if not text or any(x != (" " + text).encode() for x in joined):
@@ -99,7 +102,7 @@ def test_documents_of_the_tables(small, small_rows, both):
 
 @pytest.mark.parametrize("longest", [1, 2, 7, 2048])
 def test_lanes_change_nothing(both, longest):
-    rows = [t for _, t in texts()]
+    rows = [t or "" for _, t in texts()]
     tokens = both.encode(rows)
     whole, cut = alignment.lockstep(tokens, 1 << 30), alignment.lockstep(tokens, longest)
     for name in ("cut_a", "cut_b"):

@@ -64,20 +64,34 @@ def test_random_texts(encoder, library, kind):
 
 
 def test_one_last_token_per_prefix(encoder, library):
-    piece = "internationalisation"
-    for end, token in enumerate(encoder.last_tokens(piece)):
-        assert token == library.encode(piece[: end + 1]).ids[-1]
+    pieces = ["internationalisation", "a", " of", "aabaabbabaaaabab", "ß"]
+    last, starts = encoder.last_tokens([p.encode() for p in pieces])
+    for piece, start in zip(pieces, starts.tolist()):
+        for end in range(len(piece)):
+            if piece.isascii():
+                assert last[start + end] == library.encode(piece[: end + 1]).ids[-1]
 
 
 def test_only_one_token_fits_each_prefix(encoder):
-    piece = "aabaabbabaaaabab"
-    last = encoder.last_tokens(piece)
-    for end, (token, length) in encoder.suffixes.iter(piece):
-        fits = end < length or encoder.apart(last[end - length], token)
-        assert fits == (token == last[end])
-    for end in range(1, len(piece)):
-        single = encoder.single[piece[end]]
-        assert encoder.apart(last[end - 1], single) == (single == last[end])
+    piece = b"aabaabbabaaaabab"
+    last, _ = encoder.last_tokens([piece])
+    for end in range(len(piece)):
+        suffixes = [encoder.bytes.index(piece[k : end + 1]) for k in range(end + 1) if piece[k : end + 1] in encoder.bytes]
+        fit = [t for t in suffixes if len(encoder.bytes[t]) > end or encoder.apart(last[end - len(encoder.bytes[t])], t)]
+        assert fit == [last[end]]
+
+
+def test_remembered_pieces_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    monkeypatch.setattr(bpe, "TOGETHER", 40)
+    monkeypatch.setattr(bpe, "PAIR_BITS", 3)
+    with open(PATH, encoding="utf-8") as f:
+        small = bpe.PrefixEncoder(f.read())
+    r = random.Random(7)
+    texts = ["".join(r.choice(["inter", "nation", "al ", "ly", " ", "<|endoftext|>", "ß"]) for _ in range(9)) for _ in range(200)]
+    for text, own in zip(texts, small.encode_all(texts)):
+        assert ids(own) == library.encode(text, add_special_tokens=False).ids
+    assert len(small.pieces) < 60 and small.older
 
 
 def test_every_token_is_the_encoding_of_its_text(encoder, library):
