@@ -153,7 +153,7 @@ def first_unacked(
         near = open_messages.where(F.col("streamSeq") <= max(reach.values(), default=0) + rest)
         extra = {s: r - rest for s, r in reach.items()}
         open_messages = with_offset(near, extra, "_extra").where(F.col("streamSeq") <= F.col("_extra") + rest).drop("_extra")
-    return _pick(open_messages, shut, k, listeners)
+    return _pick(_without_acked(open_messages, shut), k, listeners)
 
 
 def search_ends(shut: DataFrame, floors: dict[str, int], k: int, shares: int) -> tuple[dict[str, int], int]:
@@ -168,8 +168,20 @@ def search_ends(shut: DataFrame, floors: dict[str, int], k: int, shares: int) ->
     return {s: floors.get(s, 0) + shares * (k + taken.get(s, 0)) for s in {*floors, *taken}}, shares * k
 
 
-def _pick(open_messages: DataFrame, shut: DataFrame, k: int, listeners: int | None) -> DataFrame:
-    left = _without_acked(open_messages, shut)
+def _within_cap(left: DataFrame, in_flight: DataFrame, cap: int, most: int) -> DataFrame:
+    """The open messages a pull may choose from: of each stream the first ones, as many as its cap leaves room for.
+
+    The room is counted before anything is chosen, so what a full stream cannot take is dealt to the others. At most
+    ``most`` messages of a stream can be chosen, so no more of them are ranked.
+    """
+    near = first_in_stream(left, ["stream"], min(cap, most))
+    taken = in_flight.groupBy("stream").agg(F.count("*").alias("_held"))
+    place = F.row_number().over(Window.partitionBy("stream").orderBy("streamSeq"))
+    joined = near.withColumn("_place", place).join(taken, "stream", "left")
+    return joined.where(F.col("_place") + F.coalesce("_held", F.lit(0)) <= cap).select(*left.columns)
+
+
+def _pick(left: DataFrame, k: int, listeners: int | None) -> DataFrame:
     if listeners is None:
         return first_in_stream(left, ["stream"], k)
     shared = left.withColumn("listener", F.pmod(F.col("streamSeq"), F.lit(listeners)))
@@ -223,7 +235,8 @@ class Delivery:
         """Deliver the next open messages, at most ``fetch`` per listener, as a finite batch.
 
         Acknowledged messages and those still within their ack wait are left out. What is not given
-        comes from the consumer's settings; its cap on unacknowledged messages holds per stream over all pulls.
+        comes from the consumer's settings; its cap on unacknowledged messages holds per stream over all pulls, and
+        a stream at its cap leaves the pull to the others.
         Asking for more than its ``max_request_batch`` is an error.
         """
         folder = self._folder("deliveries", batch)
@@ -247,14 +260,11 @@ class Delivery:
         else:
             reach, rest = search_ends(shut, floors, fetch, listeners)
             open_messages = self.log.scan_range(floors, {s: reach.get(s, rest) for s in self.log.heads()})
-        picked = _pick(open_messages.select(*KEY), shut, fetch, listeners)
+        left = _without_acked(open_messages.select(*KEY), shut)
         cap = int(settings.get("max_ack_pending", 0))
         if cap > 0 and not self.ack_none:
-            in_flight = _without_acked(held.distinct(), acked).groupBy("stream").agg(F.count("*").alias("_held"))
-            # At most fetch rows per listener were picked, so a stream's rows here are few.
-            place = F.row_number().over(Window.partitionBy("stream").orderBy("streamSeq"))
-            picked = picked.withColumn("_place", place).join(in_flight, "stream", "left")
-            picked = picked.where(F.col("_place") + F.coalesce("_held", F.lit(0)) <= cap).drop("_place", "_held")
+            left = _within_cap(left, _without_acked(held.distinct(), acked), cap, fetch * listeners)
+        picked = _pick(left, fetch, listeners)
         earlier = beyond(self.deliveries(), floors).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
         rows = picked.join(earlier, KEY, "left").select(
             *KEY, now.alias("delivered_at"), (F.coalesce("_n", F.lit(0)) + 1).alias("attempt"), "listener"
