@@ -9,6 +9,7 @@ documents of a known language.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from msgflow.llm import words as W
 from msgflow.llm.tables import materialize
@@ -26,16 +28,89 @@ ENDING = 3  # bytes
 BLOCK = 64  # languages that are scored at once: SLOTS * BLOCK numbers are held; more are scored in further passes
 WORDS_THAT_COUNT = 40  # neighbouring words are not independent: a longer text speaks with so many words at most
 SMOOTHING = 8.0  # pages that the next wider prior counts for
-# Elements that hold no running text.
-_SKIPPED = r"(?is)<(script|style|nav|footer|header|aside|template)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?[a-z0-9]+;"
+# Elements that hold no running text, and second-level names under which countries give domains.
+SKIPPED = ("script", "style", "nav", "footer", "header", "aside", "template")
+REGISTRIES = ("co", "com", "org", "net", "gov", "edu", "ac")
+_NAMES = "|".join(SKIPPED)
+_MARK = re.compile(r"<|&#?[a-z0-9]+;", re.IGNORECASE | re.ASCII)
+_ENTITY = re.compile(r"&#?[a-z0-9]+;", re.IGNORECASE | re.ASCII)
+_OPENS = re.compile(rf"<({_NAMES})\b", re.IGNORECASE | re.ASCII)
+_CLOSES = re.compile(rf"</({_NAMES})\s*>", re.IGNORECASE | re.ASCII)
+
+
+class _Ends:
+    """Next place of a mark at or behind a rising place; the text is searched once, also where the mark is missing."""
+
+    def __init__(self, text: str, mark: str):
+        self.text, self.mark, self.place = text, mark, -1
+
+    def behind(self, at: int) -> int:
+        if self.place is not None and self.place < at:
+            found = self.text.find(self.mark, at)
+            self.place = None if found < 0 else found
+        return -1 if self.place is None else self.place
+
+
+def strip_markup(html: str) -> str:
+    """The running text of a page: elements of SKIPPED up to their end, comments, tags and entities become a space.
+
+    An element or comment that is not closed loses its tag only; a `<` that no `>` follows is text. Every page takes time in
+    proportion to its length, whatever it leaves open.
+    """
+    closes: dict[str, list[tuple[int, int]]] = {}
+    for m in _CLOSES.finditer(html):
+        closes.setdefault(m[1].lower(), []).append(m.span())
+    comment, tag = _Ends(html, "-->"), _Ends(html, ">")
+    used = dict.fromkeys(closes, 0)
+    out, at = [], 0
+    while (mark := _MARK.search(html, at)) is not None:
+        start, end = mark.span()
+        if html[start] == "<":
+            opens = _OPENS.match(html, start)
+            name = opens[1].lower() if opens else None
+            end = 0
+            if name in closes:
+                spans, k = closes[name], used[name]
+                while k < len(spans) and spans[k][0] < opens.end():
+                    k += 1
+                used[name] = k
+                end = spans[k][1] if k < len(spans) else 0
+            elif html.startswith("<!--", start):
+                end = comment.behind(start + 4) + 3 if comment.behind(start + 4) >= 0 else 0
+            end = end or tag.behind(start + 1) + 1
+            if not end:
+                break  # nothing behind is closed any more
+        out += [html[at:start], " "]
+        at = end
+    out.append(_ENTITY.sub(" ", html[at:]))
+    return "".join(out)
 
 
 def plain_text(html: Column) -> Column:
-    return F.regexp_replace(F.coalesce(html, F.lit("")), _SKIPPED, " ")
+    """`strip_markup` over a column; null gives an empty text."""
+
+    @F.arrow_udf(T.StringType())
+    def strip(pages: pa.Array) -> pa.Array:
+        return pa.array((strip_markup(page.as_py() or "") for page in pages), pa.string())
+
+    return strip(html)
 
 
 def host(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)", 1))
+    """Host of an address in small letters: without user, password and port, with or without a scheme; empty if there is
+    none. An address without `//` needs a dot in its host."""
+    given = F.coalesce(url, F.lit(""))
+    full = F.regexp_extract(given, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]/]*\]|[^/:?#]+)", 1)
+    bare = F.regexp_extract(given, r"^(?:[^/?#@]*@)?([^/:?#@\s]+\.[^/:?#@\s]+)(?:[/:?#]|$)", 1)
+    return F.lower(F.when(full != "", full).otherwise(bare))
+
+
+def domain(labels: Column) -> Column:
+    """The registered part of a host from its labels: the last two, or three under a country's second-level name."""
+    n = F.size(labels)
+    under = (n > 2) & (F.length(F.element_at(labels, -1)) == 2) & F.get(labels, n - 2).isin(*REGISTRIES)
+    wanted = F.when(under, 3).otherwise(2)
+    return F.array_join(F.slice(labels, F.greatest(n - wanted + 1, F.lit(1)), wanted), ".")
 
 
 def declared(html: Column) -> Column:
@@ -160,7 +235,7 @@ def evidence(pages: DataFrame, model: TextModel) -> DataFrame:
     )
     labels = F.split("host", r"\.")
     return scored.withColumns({
-        "domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."),
+        "domain": domain(labels),
         "suffix": F.element_at(labels, -1),
     })
 

@@ -72,9 +72,12 @@ def candidates(documents: DataFrame) -> DataFrame:
     `place` counts words from 0; `before` and `after` are up to three words on either side.
     """
     words = documents.select("doc_id", F.col("source").cast("string").alias("source"), F.split("text", SPACES).alias("words"))
-    each = words.select("*", F.posexplode("words").alias("place", "word"))
-    last = F.get("words", F.col("place") - 1)
-    earlier = F.concat_ws(" ", F.get("words", F.col("place") - 3), F.get("words", F.col("place") - 2), last)
+    # Each word gets its neighbours here and the words are dropped: a row per word must not carry all of them.
+    places = {"before3": -3, "before2": -2, "before1": -1, "after1": 1, "after2": 2, "after3": 3}
+    near = F.transform("words", lambda w, i: F.struct(w.alias("word"), *[F.get("words", i + k).alias(n) for n, k in places.items()]))
+    each = words.select("doc_id", "source", F.posexplode(near).alias("place", "near")).select("doc_id", "source", "place", "near.*")
+    last = F.col("before1")
+    earlier = F.concat_ws(" ", "before3", "before2", "before1")
     told = F.coalesce((last.rlike("[=:>][\"']*$") | F.col("word").rlike("[0-9]")) & earlier.rlike(NAMES), F.lit(False))
     each = each.withColumn("told", told)
     likely = each.where((F.length("word") >= LEAST) | F.col("told") | F.col("word").rlike("[=:][^=:]"))
@@ -110,8 +113,8 @@ def candidates(documents: DataFrame) -> DataFrame:
     )
     found = nested.select(
         "doc_id", "source", "place", "word", F.explode(F.array_distinct(all_found)).alias("found"),
-        F.array_join(F.expr("slice(words, greatest(place - 2, 1), least(place, 3))"), " ").alias("before"),
-        F.array_join(F.expr("slice(words, place + 2, 3)"), " ").alias("after"),
+        earlier.alias("before"),
+        F.concat_ws(" ", "after1", "after2", "after3").alias("after"),
     )
     return found.select("doc_id", "source", "place", "word", "found.*", "before", "after")
 
