@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -363,6 +364,26 @@ def pull_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return second.select("listener", "stream", "streamSeq", "attempt", _text("content"))
 
 
+def pull_fair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four pulls of a consumer that may hold ten messages of a stream: one stream is far behind the others, and when it
+    is at its cap the pulls go to them."""
+    consumer = _consumer(spark, sf_dir)
+    consumer.store.open(create=True, ack_wait=3600, max_ack_pending=10)
+    heads = F.broadcast(consumer.log.heads_frame())  # one row per stream
+    done = consumer.log.scan().join(heads, "stream").where((F.col("stream") != X.STREAMS[0]) & (F.col("streamSeq") * 2 <= F.col("head")))
+    consumer.write_acks(done, "seed", _now())
+    consumer.advance_floors()
+    pulls = [consumer.pull_batch(f"p{k}", _now(), fetch=10).select(F.lit(k).alias("pull"), "stream", "streamSeq") for k in range(1, 5)]
+    return reduce(DataFrame.union, pulls)
+
+
+def subject_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few exact subjects among very many: row groups without them are skipped."""
+    wanted = ["events.click.11", "events.view.7", "events.none.0"]
+    found = R.filter_subjects(_log(spark, sf_dir).scan(), wanted)
+    return found.select("stream", "streamSeq", "subject")
+
+
 def commit_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acks after a commit; committing again or an unknown batch changes nothing."""
     consumer = _consumer(spark, sf_dir)
@@ -497,6 +518,8 @@ QUERIES = {
         inflight_capped,
         idle_gaps,
         pull_batch,
+        pull_fair,
+        subject_search,
         commit_batch,
         no_ack,
         inflate_strict,

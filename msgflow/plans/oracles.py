@@ -212,6 +212,14 @@ ORACLES = {
         "SELECT listener, stream, streamSeq, 1::BIGINT AS attempt, content FROM"
         f" ({_PULLED}) WHERE r > 60 AND r <= 120"
     ),
+    "pull_fair": _log(
+        "SELECT 1::INTEGER AS pull, stream, streamSeq FROM log WHERE stream = 'EV-0' AND streamSeq <= 10 UNION ALL"
+        " SELECT CAST(2 + (row_number() OVER (ORDER BY streamSeq, stream) - 1) // 10 AS INTEGER), stream, streamSeq FROM log"
+        " WHERE stream <> 'EV-0' AND streamSeq > head // 2 AND streamSeq <= head // 2 + 10"
+    ),
+    "subject_search": _log(
+        "SELECT stream, streamSeq, subject FROM log WHERE subject IN ('events.click.11', 'events.view.7', 'events.none.0')"
+    ),
     "commit_batch": _log(
         f"SELECT stream, streamSeq, {_NOW} AS acked_at_us, count(*) OVER () AS committed, 0::BIGINT AS unknown"
         f" FROM ({_PULLED}) WHERE r <= 60"

@@ -131,6 +131,9 @@ class MessageLog:
                 numbered.sortWithinPartitions("stream", "streamSeq")
                 .write.mode("overwrite")
                 .option("parquet.block.row.count.limit", LOG_ROW_GROUP)
+                # A search for few subjects skips the row groups without them, also where their range spans everything.
+                .option("parquet.bloom.filter.enabled#subject", "true")
+                .option("parquet.bloom.filter.expected.ndv#subject", LOG_ROW_GROUP)
                 .partitionBy("stream")
                 .parquet(target)
             )

@@ -271,3 +271,45 @@ def test_cap_on_unacknowledged_messages_over_pulls(spark, log):
     assert consumer.floors() == {"S-0": 3, "S-1": 2}
     assert len(keys(consumer.pull_batch("p4", at(4), fetch=20, listeners=2))) == 5
     assert len(keys(consumer.pull_batch("p5", at(62), fetch=20))) == 9  # the second and third pulls' waits are over
+
+
+def test_a_stream_at_its_cap_leaves_the_pull_to_others(spark, log):
+    """One stream with everything open, one with half of it acknowledged, room for ten each, pulls of ten."""
+    fill(log, 200, streams=2)
+    consumer = D.Delivery(log, "c")
+    consumer.store.open(create=True, ack_wait=60, max_ack_pending=10)
+    consumer.write_acks(log.scan().where("stream = 'S-1' and streamSeq <= 50"), "seed", at(0))
+    consumer.advance_floors()
+    assert keys(consumer.pull_batch("p1", at(1), fetch=10)) == [("S-0", n) for n in range(1, 11)]
+    assert keys(consumer.pull_batch("p2", at(2), fetch=10)) == [("S-1", n) for n in range(51, 61)]
+    assert keys(consumer.pull_batch("p3", at(3), fetch=10)) == []
+    consumer.commit_batch("p1", at(4))
+    assert keys(consumer.pull_batch("p4", at(5), fetch=4, listeners=2)) == [("S-0", n) for n in range(11, 19)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_capped_pulls_against_a_plain_version(spark, log, seed):
+    """Pulls, commits and ends of waits in random order: what is given equals a list-based consumer."""
+    r = random.Random(seed)
+    fill(log, 60, streams=3)
+    consumer = D.Delivery(log, "c")
+    cap, fetch, wait = r.randrange(2, 9), r.randrange(2, 9), 10
+    consumer.store.open(create=True, ack_wait=wait, max_ack_pending=cap)
+    acked, given, pulls = set(), {}, {}
+    everything = [(f"S-{s}", n) for n in range(1, 21) for s in range(3)]
+    for step in range(6):
+        now = step * 4
+        held = {k for k, t in given.items() if t + wait > now and k not in acked}
+        room = {f"S-{s}": cap - sum(k[0] == f"S-{s}" for k in held) for s in range(3)}
+        want = []
+        for key in everything:
+            if key not in acked and key not in held and room[key[0]] > 0 and len(want) < fetch:
+                want.append(key)
+                room[key[0]] -= 1
+        assert keys(consumer.pull_batch(f"p{step}", at(now), fetch=fetch)) == sorted(want)
+        given |= dict.fromkeys(want, now)
+        pulls[step] = want
+        if r.random() < 0.6:
+            chosen = r.choice(list(pulls))
+            consumer.commit_batch(f"p{chosen}", at(now + 1))
+            acked |= set(pulls.pop(chosen))

@@ -178,3 +178,25 @@ def test_bounds_of_many_streams_reach_the_scan(spark, log):
     ends = {f"S-{n}": 90 + n for n in range(1000)}
     plan = range_scan(log.scan(), {s: e - 10 for s, e in ends.items()}, ends)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(streamSeq,81)" in plan and "LessThanOrEqual(streamSeq,1089)" in plan
+
+
+def test_search_for_a_subject_skips_row_groups(spark, log, monkeypatch):
+    """Subjects that lie within the range of every row group but in none of them: nothing is read."""
+    from msgflow.sources import log as L
+
+    monkeypatch.setattr(L, "LOG_ROW_GROUP", 1000)
+    rows = spark.range(20_000).select(
+        F.format_string("s.%05d", F.xxhash64("id") % 5000 * 2).alias("subject"), F.lit(b"x").alias("data")
+    )
+    publish(log, rows, "S", "b0")
+
+    def rows_read(subject):
+        df = log.scan().where(F.col("subject") == subject)
+        n = len(df.collect())
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return n, scan.metrics().apply("numOutputRows").value()
+
+    assert rows_read("s.02001")[0] == 0 and rows_read("s.02001")[1] <= 3000
+    present = log.scan().first()["subject"]
+    n, read = rows_read(present)
+    assert n > 0 and read <= 12_000
