@@ -20,7 +20,6 @@ from msgflow.session import ship_package
 
 PASSAGE = 48  # words
 PER_CLASS = 3000  # labelled documents of each class that the model is fitted on, at most
-FIT_PASSAGES = 64  # of one document, evenly spaced, that the fit uses; scores use all
 WORD_DIMENSIONS = 32
 HELD_OUT = 1
 DIVISOR = 3
@@ -163,7 +162,8 @@ def train(
 
 
 def fit(documents: DataFrame, labels: DataFrame, allowed: Column, per_class: int = PER_CLASS) -> Model | float:
-    """A model fitted on at most 2 * per_class labelled documents; where one class is missing, the constant score."""
+    """A model fitted on at most 2 * per_class labelled documents with all their passages; where one class is missing, the
+    constant score."""
     ship_package()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,15 +171,11 @@ def fit(documents: DataFrame, labels: DataFrame, allowed: Column, per_class: int
             for part, features, bag in encode(batch["text"]):
                 for d in range(part.size):
                     low, high = np.searchsorted(bag, [d, d + 1])
-                    if high - low > FIT_PASSAGES:
-                        rows = np.linspace(low, high - 1, FIT_PASSAGES).astype(np.int64)
-                    else:
-                        rows = np.arange(low, high)
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch["doc_id"].slice(part.row + d, 1),
                             batch["label"].slice(part.row + d, 1),
-                            pa.array([features[rows].astype(np.float32).tobytes()], pa.binary()),
+                            pa.array([features[low:high].astype(np.float32).tobytes()], pa.binary()),
                         ],
                         ["doc_id", "label", "passages"],
                     )
