@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msgflow.llm.tables import materialize
-from msgflow.session import ship_package
+from msgflow.session import scratch, ship_package
 
 SHARDS = 24
 BUCKET_BYTES = 16 << 20
@@ -33,9 +33,10 @@ def shard(
     """The documents with `shard` (0 to shards - 1) and `slot` (its place in the shard, gapless from 0).
 
     Columns of these names are replaced. Null or empty texts are records of 8 bytes. Equal rows get places of
-    their own. The order depends on the rows and the seed only: a bucket is sorted by the rows' hashes before it
-    is shuffled, so a task that runs again gives the same places. A bucket is as large as `bucket_bytes` on average,
-    or as its largest record, so tasks stay bounded at any corpus size.
+    their own; if there are too many for a bucket, they are numbered and scattered by their numbers. The order depends on the
+    rows and the seed only: a bucket is sorted by the rows' hashes before it is shuffled, so a task that runs again gives the
+    same places. A bucket is as large as `bucket_bytes` on average, or as its largest record, so tasks stay bounded at
+    any corpus size. No rows give no rows.
     """
     ship_package()
     rows = documents.drop("shard", "slot")
@@ -43,8 +44,8 @@ def shard(
     key = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in hashed])
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum(record_bytes(F.col("text"))), F.lit(0))).first()
     buckets = max(1, -(-total // bucket_bytes))
-    bucket = F.pmod(F.col("__key"), F.lit(buckets))
-    scattered = rows.withColumn("__key", key).withColumn("__bucket", bucket)
+    scattered = _without_crowds(rows.withColumn("__key", key), bucket_bytes, seed)
+    scattered = scattered.withColumn("__bucket", F.pmod(F.col("__key"), F.lit(buckets)))
     firsts = _first_places(scattered.groupBy("__bucket").agg(F.count("*").alias("n")))
 
     schema = T.StructType([*rows.schema, T.StructField("__place", T.LongType())])
@@ -64,14 +65,31 @@ def shard(
     return placed.withColumn("shard", number.cast("int")).withColumn("slot", F.col("__place") - first).drop("__place")
 
 
+def _without_crowds(hashed: DataFrame, most: int, seed: int) -> DataFrame:
+    """Rows with a new __key where equal rows hold more than `most` bytes: their hash with a number. The numbers are written
+    to a table first, so a task that runs again finds the same."""
+    sizes = hashed.groupBy("__key").agg(F.sum(record_bytes(F.col("text"))).alias("bytes"))
+    crowds = materialize(sizes.where(F.col("bytes") > most).select("__key"), "shard-crowds")  # at most total / most rows
+    if crowds.isEmpty():
+        return hashed
+    many = hashed.join(crowds, "__key", "left_semi").withColumn("__number", F.monotonically_increasing_id())
+    many = materialize(many, "shard-crowd-rows")
+    many = many.withColumn("__key", F.xxhash64(F.lit(seed), "__key", "__number")).drop("__number")
+    return hashed.join(crowds, "__key", "left_anti").unionByName(many)
+
+
 def write_shards(sharded: DataFrame, path: str) -> None:
     """One folder per shard; a bucket lies in few shards, so files are about as many as buckets."""
     sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def shard_report(documents: DataFrame, **options) -> DataFrame:
-    """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null under the law of rows)."""
-    return shard(documents, **options).select(
+    """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null under the law of rows), as read from the
+    shards after they are written."""
+    path = scratch(documents.sparkSession, "shards")
+    sharded = shard(documents, **options)
+    write_shards(sharded, path)
+    return documents.sparkSession.read.schema(sharded.schema).parquet(path).select(
         "doc_id",
         record_bytes(F.col("text")).alias("size"),
         F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),

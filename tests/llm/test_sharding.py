@@ -1,5 +1,7 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from msgflow.llm import sharding
 
 ROWS = [(i, f"text {i} " * (i % 5)) for i in range(500)] + [(1000, None), (1001, ""), (1002, "é\U0001f600"), (None, "x")]
@@ -60,3 +62,22 @@ def test_written_shards(spark, make, tmp_path):
     sharding.write_shards(sharding.shard(make(ROWS), bucket_bytes=2000), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == len(ROWS) and back.select("shard").distinct().count() == 24
+
+
+def test_crowd_of_equal_rows_is_scattered(make):
+    """A third of all rows are equal: they spread over the buckets like other rows, and reruns agree."""
+    rows = [(7, "same text")] * 600 + [(100 + i, f"text {i}") for i in range(1200)]
+    df = make(rows)
+    hashed = df.withColumn("__key", F.xxhash64("doc_id", "text"))
+    keys = sharding._without_crowds(hashed, 1000, 1).where("doc_id = 7").select("__key").distinct().count()
+    assert keys == 600
+    first = sharding.shard(df, bucket_bytes=1000)
+    slots = first.select("shard", "slot").collect()
+    assert len(set(slots)) == 1800 and first.where("doc_id = 7").select("shard").distinct().count() == 24
+
+
+def test_report_is_of_the_written_shards(make, monkeypatch):
+    written = []
+    kept = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda df, path: (written.append(path), kept(df, path)))
+    assert sharding.shard_report(make(ROWS)).count() == len(ROWS) and len(written) == 1
