@@ -120,32 +120,42 @@ def mix(documents: DataFrame, **options) -> DataFrame:
 
     The plan reads source, size and key; texts are read once more and stay where they are, unless the table of
     sources is too large to broadcast. Null texts and sources are texts without words and a source of its own.
-    Rows with one doc_id and source share their fate. No rows give no rows.
+    Rows with one doc_id and source share their fate; rows without doc_id are drawn each by itself. Texts of any length count
+    with all their words. No rows give no rows.
     """
     options = dict(options)
-    seed = options.pop("seed", SEED)
-    plans = plan(_sized(documents, seed), **options)
-    keyed = documents.select(F.struct("*").alias("__row"), F.col("source"), draw_key(F.col("doc_id"), seed).alias("key"))
-    taken = _with_source(keyed, plans, plans.count()).withColumn("__times", F.explode(F.array_repeat(F.lit(0), repetitions())))
+    keyed = _keyed(documents.select(F.struct("*").alias("row"), "doc_id", "source", "text"), options.pop("seed", SEED))
+    plans = plan(_sized(keyed), **options)
+    rows = keyed.select(F.col("row").alias("__row"), "source", "key")
+    taken = _with_source(rows, plans, plans.count()).withColumn("__times", F.explode(F.array_repeat(F.lit(0), repetitions())))
     return taken.select("__row.*")
 
 
 def mix_report(documents: DataFrame, **options) -> DataFrame:
-    """Per document: doc_id, size, source_size, target (both of its source) and taken, the words the mix takes of it."""
+    """Per document: doc_id, size, source_size, target (both of its source) and taken, the words the mix takes of it. Special
+    cases as in `mix`."""
     options = dict(options)
-    sized = _sized(documents, options.pop("seed", SEED))
+    sized = _sized(_keyed(documents.select("doc_id", "source", "text"), options.pop("seed", SEED)))
     plans = plan(sized, **options)
     joined = _with_source(sized, plans, plans.count())
     return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * repetitions()).alias("taken"))
 
 
-def _sized(documents: DataFrame, seed: str) -> DataFrame:
-    return materialize(
-        documents.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"), draw_key(F.col("doc_id"), seed).alias("key")
-        ),
-        "mix-sizes",
-    )
+def _keyed(documents: DataFrame, seed: str) -> DataFrame:
+    """The rows with their key. Rows without doc_id are numbered in the order of source and text, so that many of them do
+    not share one key; which of equal rows has which number makes no difference."""
+    own = documents.withColumn("key", draw_key(F.col("doc_id"), seed))
+    lost = documents.where("doc_id is null")
+    if lost.isEmpty():
+        return own
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    placed = numbered(lost.withColumn("digest", digest), [F.col("source"), F.col("digest"), F.col("text")], "mix-lost", "number")
+    placed = placed.withColumn("key", draw_key(F.concat(F.lit("null|"), F.col("number").cast("string")), seed))
+    return own.where("doc_id is not null").unionByName(placed.select(own.columns))
+
+
+def _sized(keyed: DataFrame) -> DataFrame:
+    return materialize(keyed.select("doc_id", "source", word_count(F.col("text")).alias("size"), "key"), "mix-sizes")
 
 
 def _with_source(

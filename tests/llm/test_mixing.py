@@ -74,3 +74,15 @@ def test_water_level(spark):
     level = mixing.water_level(sources, 150.0, 2)
     assert level == pytest.approx((150 - 20) / 3)
     assert mixing.water_level(sources, 1e6, 2) == float("inf")
+
+
+def test_rows_without_doc_id_are_drawn_each_by_itself(make):
+    """A source without doc_ids comes near its target, and reruns take the same rows."""
+    rows = [(None, f"{'w ' * (1 + i % 9)}{i % 300}", "lost") for i in range(700)] + [(i, "a b c", "s1") for i in range(400)]
+    report = mixing.mix_report(make(rows)).collect()
+    own = [r for r in report if r.doc_id is None]
+    assert len(own) == 700 and abs(sum(r.taken for r in own) - own[0].target) <= 5
+    assert all(r.taken <= 2 * r.size for r in own)
+    mixed = [sorted(r.text for r in mixing.mix(make(x).repartition(k)).collect()) for k, x in ((1, rows), (6, rows[::-1]))]
+    assert mixed[0] == mixed[1]
+    assert sum(len(brute.words(t)) for t in mixed[0]) == sum(r.taken for r in report)
