@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from msgflow.llm.tables import materialize, numbered
 
 BITS = 64
+REPEATS = 65_536  # rows that one step of repeating a row makes
 SLOTS = 1 << 16
 BLOCKS = (11, 11, 11, 11, 10, 10)  # bits of each block of a fingerprint
 RADIUS = 3
@@ -124,20 +125,22 @@ def _text_columns() -> list[Column]:
 
 
 def edit_report(documents: DataFrame, radius: int = RADIUS, query_step: int = 50) -> DataFrame:
-    """Per distinct document (doc_id and text): doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    """Per row of documents: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next and, for every doc_id divisible by `query_step`, near_documents: how many other documents have a
     fingerprint within the radius (null for the rest).
 
     The edited text has the last floor(n_chars / 4) code points replaced by the first as many (or all) of the next document by
     doc_id, after the last the first; documents of one doc_id follow each other by a hash of their texts, a null
     doc_id comes first. Only that many characters of the next document are shuffled to its predecessor. Repeated
-    rows are one document. No rows give no rows.
+    rows are one document in this order, and every one of them gets its row. No rows give no rows.
     """
     texts = documents.select("doc_id", *_text_columns())
     weights, rarest = term_weights(texts)
     key = ["doc_id", "text_hash"]
     order = numbered(
-        texts.select(*key, F.length("text").cast("long").alias("n_chars")).distinct(), [F.col(c) for c in key], "sim-order"
+        texts.groupBy(*key, F.length("text").cast("long").alias("n_chars")).agg(F.count("*").alias("times")),
+        [F.col(c) for c in key],
+        "sim-order",
     )
     order = materialize(order, "sim-numbers")
     n = order.count()
@@ -169,7 +172,9 @@ def edit_report(documents: DataFrame, radius: int = RADIUS, query_step: int = 50
         ),
         "sim-prints",
     )
-    followed = prints.alias("l").join(pairs.select(*key, *following).alias("r"), on(key, key)).select("l.*", *[f"r.{c}" for c in following])
+    followed = prints.alias("l").join(pairs.select(*key, *following, "times").alias("r"), on(key, key)).select(
+        "l.*", "r.times", *[f"r.{c}" for c in following]
+    )
     followers = prints.select(*key, F.col("fingerprint").alias("next_fingerprint"))
     joined = followed.alias("l").join(followers.alias("r"), on(following, key)).select("l.*", "r.next_fingerprint")
 
@@ -178,6 +183,11 @@ def edit_report(documents: DataFrame, radius: int = RADIUS, query_step: int = 50
     near = within_radius(asked, prints, radius).join(copies, F.col("found") == F.col("fingerprint"))
     near = near.groupBy(F.col("query").alias("fingerprint")).agg((F.sum("copies") - 1).alias("near_documents"))
     result = joined.join(near, "fingerprint", "left")
+    # A row for each repeat, in steps: a document may hold any share of the rows.
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / REPEATS)))
+    result = result.withColumn("step", step)
+    left = F.least(F.lit(REPEATS).cast("long"), F.col("times") - F.col("step") * REPEATS).cast("int")
+    result = result.withColumn("repeat", F.explode(F.array_repeat(F.lit(0), left)))
     return result.select(
         "doc_id",
         "n_chars",

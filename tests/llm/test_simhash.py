@@ -71,7 +71,7 @@ def test_documents_of_the_tables(small, small_rows):
 def test_repeated_and_missing_ids(make):
     rows = [(1, "a b c d e f g h"), (1, "a b c d e f g h"), (None, "x y z w"), (2, "q r s t")]
     out = S.edit_report(make(rows, head="a", edited="b", idx="c"))
-    assert sorted(r.doc_id or -1 for r in out.collect()) == [-1, 1, 2]
+    assert sorted(r.doc_id or -1 for r in out.collect()) == [-1, 1, 1, 2]  # every row of the table is due
 
 
 def test_empty_and_single(make):
@@ -96,3 +96,10 @@ def test_block_tables_with_smaller_radius(spark):
     df = spark.createDataFrame([(0,), (1,), (3,), (7,), (15,)], "fingerprint long")
     got = S.within_radius(df.where(F.col("fingerprint") == 0), df, radius=2).collect()
     assert sorted((r.found, r.distance) for r in got) == [(0, 0), (1, 1), (3, 2)]
+
+
+def test_every_row_has_its_row(make, monkeypatch):
+    monkeypatch.setattr(S, "REPEATS", 3)
+    rows = [(50, "one two three")] * 8 + [(51, "four five")] + [(None, "six")] * 2
+    got = [r.doc_id for r in S.edit_report(make(rows)).collect()]
+    assert sorted(got, key=str) == sorted((i for i, _ in rows), key=str)
