@@ -223,6 +223,18 @@ class Delivery:
     def acks(self) -> DataFrame:
         return self._table("acks", schemas.ACKS)
 
+    def open_acks(self) -> DataFrame:
+        """The acks of batches that reach beyond the floors: all that pulls and commits have to look at. How many there are
+        depends on what is open, not on how long the consumer has run."""
+        known = self.store.open_acks()
+        if known is None:
+            return self.acks()
+        root = f"{self.log.path}/acks"
+        folders = [f for f in (self._folder("acks", b) for b in known) if files.exists(f"{f}/_SUCCESS")]
+        if not folders:
+            return self.spark.createDataFrame([], schemas.ACKS)
+        return self.spark.read.schema(schemas.ACKS).option("basePath", root).parquet(*folders)
+
     def pull_batch(
         self,
         batch: str,
@@ -249,7 +261,7 @@ class Delivery:
         ack_wait = int(settings.get("ack_wait", 90)) if ack_wait is None else ack_wait
         subjects = tuple(settings.get("subjects", ())) if subjects is None else subjects
         floors = self.floors()
-        acked = beyond(self.acks(), floors).select(*KEY)
+        acked = beyond(self.open_acks(), floors).select(*KEY)
         held = beyond(self.deliveries(), floors)
         if not self.ack_none:
             held = held.where(F.col("delivered_at") + F.make_dt_interval(secs=F.lit(ack_wait)) > now)
@@ -298,26 +310,36 @@ class Delivery:
             self.advance_floors()
         return taken.count()
 
-    def write_acks(self, messages: DataFrame, batch: str, now: Column) -> None:
-        """Acknowledge messages under a batch id; doing it again replaces the same rows."""
+    def write_acks(self, messages: DataFrame, batch: str, now: Column, closed: bool = False) -> None:
+        """Acknowledge messages under a batch id; doing it again replaces the same rows. ``closed`` says that the floors
+        move beyond all of them."""
+        if not closed:
+            known = self.store.open_acks()
+            if known is None:
+                known = [n.removeprefix("batch=") for n in files.list_names(self._folder("acks", batch).rsplit("/", 1)[0])]
+            self.store.keep_open_acks([*known, batch])
         rows = messages.select(*KEY, now.alias("acked_at"))
         rows.write.mode("overwrite").parquet(self._folder("acks", batch))
 
     def advance_floors(self) -> dict[str, int]:
-        """Recompute the positions from the acks table and store them.
+        """Recompute the positions from the open acks and store them; batches below them are not looked at again.
 
         With a subject filter, messages the consumer never gets do not hold its position back.
         """
         subjects = tuple(self.store.settings().get("subjects", []))
-        heads = self.log.heads_frame()
+        heads, acks = self.log.heads_frame(), self.open_acks()
         if not subjects:
-            found = ack_floors(heads, self.acks(), self.floors()).select("stream", "ack_floor")
+            found = ack_floors(heads, acks, self.floors()).select("stream", "ack_floor")
         else:
             wanted = self.log.scan().where(subject_filter(subjects)).select(*KEY)
-            still_open = pending_messages(wanted, self.acks(), self.floors())
+            still_open = pending_messages(wanted, acks, self.floors())
             first = still_open.groupBy("stream").agg((F.min("streamSeq") - 1).alias("_floor"))
             found = heads.join(first, "stream", "left").select("stream", F.coalesce("_floor", "head").alias("ack_floor"))
-        return self.store.advance({r["stream"]: r["ack_floor"] for r in found.collect()})  # one row per stream
+        floors = self.store.advance({r["stream"]: r["ack_floor"] for r in found.collect()})  # one row per stream
+        # One name per batch that still reaches beyond the floors.
+        left = beyond(acks, {s: int(f) for s, f in floors.items()}).select("batch").distinct().collect()
+        self.store.keep_open_acks([r["batch"] for r in left])
+        return floors
 
     def floors(self) -> dict[str, int]:
         return {s: int(f) for s, f in self.store.floors().items()}

@@ -60,3 +60,10 @@ class ConsumerStore:
             merged[stream] = max(int(merged.get(stream, 0)), int(seq))
         files.write_json(f"{self.folder}/floors.json", merged)
         return merged
+
+    def open_acks(self) -> list[str] | None:
+        """Batches of acks that are not below the floors as a whole; None if nobody has kept the list."""
+        return files.read_json(f"{self.folder}/open_acks.json")
+
+    def keep_open_acks(self, batches: list[str]) -> None:
+        files.write_json(f"{self.folder}/open_acks.json", sorted(set(batches)))

@@ -69,11 +69,8 @@ class MessageLog:
         The files come from the manifests, so a short range of a huge log needs no listing of it.
         """
         self.index.refresh()
-        chosen = [
-            f"{self.path}/{file}"
-            for stream, upto in end.items()
-            for file, *_ in self.index.files(stream, start.get(stream, 0), upto)
-        ]
+        found = self.index.files_between(start, end)
+        chosen = [f"{self.path}/{file}" for entries in found.values() for file, *_ in entries]
         if not chosen:
             return self.spark.createDataFrame([], schemas.LOG).drop("batch")
         reader = self.spark.read.schema(schemas.LOG).option("basePath", f"{self.path}/data")

@@ -222,10 +222,10 @@ class MessageLogStreamReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         ranges = self.ranges(start, end)
         size = slice_rows(sum(max(0, upto - after) for after, upto in ranges.values()), self.options)
+        found = self.index.files_between({s: a for s, (a, _) in ranges.items()}, {s: u for s, (_, u) in ranges.items()})
         slices: list[Slice] = []
         for stream, (after, upto) in ranges.items():
-            found = self.index.files(stream, after, upto) if upto > after else []
-            slices.extend(plan_slices(found, stream, after, upto, size))
+            slices.extend(plan_slices(found.get(stream, []), stream, after, upto, size))
         return share_slices(slices, self.options.listeners, self.options.max_partitions)
 
     def commit(self, end: dict) -> None:

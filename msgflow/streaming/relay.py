@@ -53,7 +53,7 @@ def relay_stream(
         publish(MessageLog(session, target.path, index), rows, target.stream, name, target.subjects)
         if read.consumer and not read.ack_none:
             consumer = Delivery(batch.log, read.consumer)
-            consumer.write_acks(stored, name, F.current_timestamp())
+            consumer.write_acks(stored, name, F.current_timestamp(), closed=True)
             consumer.store.advance(batch.ends)
 
     return each_batch(spark, source, handle)

@@ -313,3 +313,32 @@ def test_capped_pulls_against_a_plain_version(spark, log, seed):
             chosen = r.choice(list(pulls))
             consumer.commit_batch(f"p{chosen}", at(now + 1))
             acked |= set(pulls.pop(chosen))
+
+
+def test_commits_look_at_open_acks_only(spark, log):
+    """Whatever was acknowledged before, a commit reads the batches that reach beyond the floors."""
+    fill(log, 60)
+    consumer = D.Delivery(log, "c")
+    for k in range(5):
+        consumer.pull_batch(f"p{k}", at(k), fetch=10)
+    for k in (0, 1, 3):
+        consumer.commit_batch(f"p{k}", at(10))
+    assert consumer.floors() == {"S-0": 20} and consumer.store.open_acks() == ["p3"]
+    assert consumer.open_acks().count() == 10 and consumer.acks().count() == 30
+    consumer.commit_batch("p2", at(11))
+    assert consumer.floors() == {"S-0": 40} and consumer.store.open_acks() == []
+    assert keys(consumer.pull_batch("q", at(12), fetch=20)) == [("S-0", n) for n in range(51, 61)]
+    consumer.commit_batch("p4", at(13))
+    consumer.commit_batch("q", at(13))
+    assert consumer.floors() == {"S-0": 60} and consumer.acks().count() == 60
+
+
+def test_acks_written_without_a_list_are_all_open(spark, log):
+    fill(log, 20)
+    consumer = D.Delivery(log, "c")
+    log.scan().where("streamSeq <= 5").select("stream", "streamSeq", at(0).alias("acked_at")).write.parquet(
+        f"{log.path}/acks/consumer=c/batch=old"
+    )
+    assert consumer.store.open_acks() is None and consumer.open_acks().count() == 5
+    consumer.write_acks(log.scan().where("streamSeq in (6, 9)"), "new", at(1))
+    assert consumer.advance_floors() == {"S-0": 6} and consumer.store.open_acks() == ["new"]

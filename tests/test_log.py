@@ -200,3 +200,30 @@ def test_search_for_a_subject_skips_row_groups(spark, log, monkeypatch):
     present = log.scan().first()["subject"]
     n, read = rows_read(present)
     assert n > 0 and read <= 12_000
+
+
+def test_ranges_of_very_many_streams(tmp_path):
+    """100,000 streams: the files of all ranges come from one pass over the manifests."""
+    import time
+
+    import pyarrow as pa
+
+    from msgflow.sources.index import MANIFEST, LogIndex
+
+    n = 100_000
+    index = LogIndex(str(tmp_path))
+    rows = {
+        "stream": [f"s{k}" for k in range(n)] * 3,
+        "file": [f"f{k}" for k in range(3 * n)],
+        "first_seq": [1] * n + [101] * n + [201] * n,
+        "last_seq": [100] * n + [200] * n + [300] * n,
+        "rows": [100] * (3 * n),
+    }
+    index.commit("b", pa.table(rows, MANIFEST))
+    index.refresh()
+    start = time.perf_counter()
+    found = index.files_between({f"s{k}": 150 for k in range(n)}, {f"s{k}": 200 if k % 2 else 201 for k in range(n)} | {"none": 9})
+    assert time.perf_counter() - start < 20
+    assert len(found) == n and found["s7"] == [(f"f{n + 7}", 101, 200, 100)]
+    assert found["s8"] == [(f"f{n + 8}", 101, 200, 100), (f"f{2 * n + 8}", 201, 300, 100)]
+    assert index.files_between({}, {}) == {} and index.files("s3", 300, 400) == []
