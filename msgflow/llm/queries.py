@@ -87,6 +87,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    # Jaccard similarity of all pairs that share a shingle; components by everything that is reached.
+    "op5_superminhash": r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM texts
+), items AS (
+  SELECT doc_id, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM items x JOIN items y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT node, b FROM reached JOIN edges ON a = seen
+), least_seen AS (
+  SELECT node, min(seen) AS component_id FROM reached GROUP BY node
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM sets JOIN least_seen ON node = doc_id
+""",
+    # Every window but the first of its kind goes, with all its words.
+    "op8_phrase_automata": r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM texts WHERE len(w) >= 20
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM starts
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM again, range(0, 20) r(k)
+), each AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+""",
     # Water-filling in closed form: sources in the order of cap / weight are clamped as long as the level of the
     # rest lies above their own.
     "op7_source_mix": r"""

@@ -1,0 +1,21 @@
+"""Queries that SQL can express, against their SQL over whole tables."""
+
+import duckdb
+import pytest
+
+from msgflow.llm import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    expected = duck.execute(queries.ORACLES[name])
+    columns = [d[0] for d in expected.description]
+    result = queries.QUERIES[name](spark, SF_DIR)
+    assert sorted(result.columns) == sorted(columns)
+    want = sorted(expected.fetchall(), key=repr)
+    got = sorted((tuple(r) for r in result.select(columns).collect()), key=repr)
+    assert len(got) == len(want) and all(a == pytest.approx(b) if isinstance(b[3], float) else a == b for a, b in zip(got, want))
