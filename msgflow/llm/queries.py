@@ -87,6 +87,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    # crc32 byte by byte from its table; near words by what is left without one letter, at the same place for a replaced one.
+    "op11_position_bitsets": r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), counted AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), spelled AS (
+  SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || run)) AS x FROM counted
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+           lambda k: CAST('0x' || substr(x, 2 * k + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM spelled, crc
+), spoiled AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spoiled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), places AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words
+), cuts AS (
+  SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM places
+), near AS (
+  SELECT x.word, y.word AS other FROM cuts x JOIN cuts y ON x.rest = y.rest AND x.p = y.p AND x.word <> y.word
+  UNION SELECT c.word, w.word FROM cuts c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.rest
+), ranked AS (
+  SELECT near.word, other, o.n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, encode(other)) AS r
+  FROM near JOIN words o ON o.word = other
+), best AS (
+  SELECT word, other, n, n_near FROM ranked WHERE r = 1
+), forms AS (
+  SELECT b.word, other AS form, b.n AS form_n FROM best b JOIN words w ON w.word = b.word WHERE b.n >= 5 * w.n
+), chain AS (
+  SELECT word, word AS last, 0 AS depth FROM words
+  UNION ALL SELECT c.word, f.form, depth + 1 FROM chain c JOIN forms f ON f.word = c.last
+), roots AS (
+  SELECT word, arg_max(last, depth) AS root FROM chain GROUP BY word
+)
+SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, f.form, f.form_n, r.root
+FROM words w JOIN roots r ON r.word = w.word LEFT JOIN best b ON b.word = w.word LEFT JOIN forms f ON f.word = w.word
+""",
     # Jaccard similarity of all pairs that share a shingle; components by everything that is reached.
     "op5_superminhash": r"""
 WITH RECURSIVE texts AS (
