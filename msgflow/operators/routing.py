@@ -13,7 +13,7 @@ from msgflow.functions.subjects import (
     subject_filter,
     subject_token,
 )
-from msgflow.session import join_small
+from msgflow.session import BROADCAST_ROWS, join_small
 
 
 def filter_subjects(df: DataFrame, patterns: str | list[str], subject: str = "subject") -> DataFrame:
@@ -26,6 +26,10 @@ def match_patterns(df: DataFrame, patterns: DataFrame, pattern: str = "pattern",
     A pattern's shape says which tokens are fixed and whether a tail follows; its key is the fixed
     tokens. Per shape in use a message has exactly one key, so the match is an equi-join and never
     compares all messages with all patterns.
+
+    Patterns with few fixed tokens, such as ``>``, match a large share of all messages under one key. Shapes are broadcast
+    from the broadest on as far as the bound for broadcasts goes; only the narrower rest of a larger table is joined by
+    shuffle, so no broad pattern gathers its messages in one task.
     """
     tokens = F.split(F.col(pattern), r"\.")
     has_tail = F.element_at(tokens, -1) == ">"
@@ -56,10 +60,26 @@ def match_patterns(df: DataFrame, patterns: DataFrame, pattern: str = "pattern",
         joined = F.concat_ws(".", *chosen) if chosen else F.lit("")
         return F.when(depth_ok, F.struct(F.lit(word).alias("_shape"), joined.alias("_key")))
 
-    exploded = df.withColumn("_candidate", F.explode(F.array_compact(F.array(*[candidate(s) for s in shapes]))))
-    keyed_messages = exploded.select(*df.columns, "_candidate._shape", "_candidate._key")
-    n_patterns = sum(r["count"] for r in counts)
-    return join_small(keyed_messages, keyed, ["_shape", "_key"], n_patterns).drop("_shape", "_key")
+    def join(chosen: list[str], rows: int) -> DataFrame:
+        options = F.array_compact(F.array(*[candidate(s) for s in chosen]))
+        exploded = df.withColumn("_candidate", F.explode(options))
+        keyed_messages = exploded.select(*df.columns, "_candidate._shape", "_candidate._key")
+        wanted = keyed if len(chosen) == len(shapes) else keyed.where(F.col("_shape").isin(chosen))
+        return join_small(keyed_messages, wanted, ["_shape", "_key"], rows).drop("_shape", "_key")
+
+    sizes = {r["_shape"]: r["count"] for r in counts}
+    parts_of = [p for p in broad_and_narrow(sizes, BROADCAST_ROWS) if p]
+    return reduce(DataFrame.union, [join(chosen, sum(sizes[s] for s in chosen)) for chosen in parts_of])
+
+
+def broad_and_narrow(sizes: dict[str, int], most: int) -> tuple[list[str], list[str]]:
+    """Shapes in the order of their fixed tokens: the first ones whose patterns are at most ``most`` rows, and the rest."""
+    ordered = sorted(sizes, key=lambda s: (s.count("="), s))
+    n, held = 0, 0
+    while n < len(ordered) and held + sizes[ordered[n]] <= most:
+        held += sizes[ordered[n]]
+        n += 1
+    return ordered[:n], ordered[n:]
 
 
 def route_by_token(df: DataFrame, prefix: str, position: int, subject: str = "subject") -> DataFrame:

@@ -11,6 +11,9 @@ from pyarrow import fs
 def open_fs(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
+    for scheme in ("s3a://", "s3n://"):  # Spark's names of the same store
+        if path.startswith(scheme):
+            path = "s3://" + path.removeprefix(scheme)
     if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path

@@ -126,3 +126,20 @@ def test_empty_tokens_match_no_wildcard_in_filter_and_join(spark):
         if pattern != ">":
             assert joined == sorted(r.subject for r in R.filter_subjects(df, pattern).collect()), pattern
     assert R.match_patterns(df, spark.createDataFrame([], "pattern string")).count() == 0
+
+
+def test_broad_patterns_of_a_large_table_are_broadcast(spark, monkeypatch):
+    """Beyond the bound the broad shapes stay on the broadcast side and the narrow ones are joined by shuffle."""
+    from msgflow import session
+
+    assert R.broad_and_narrow({">": 1, "=>": 4, "==": 90, "*=": 3}, 10) == ([">", "*=", "=>"], ["=="])
+    for module in (R, session):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 10)
+    subjects = [f"e.{k % 40}" for k in range(400)] + ["f.1", "e", "e.1.2"]
+    patterns = [">", "e.>", "*.7", *[f"e.{k}" for k in range(60)]]
+    df = spark.createDataFrame(list(enumerate(subjects)), "id int, subject string")
+    joined = R.match_patterns(df, spark.createDataFrame([(p,) for p in patterns], "pattern string"))
+    got = sorted((r.id, r.pattern) for r in joined.collect())
+    assert got == sorted((i, p) for (i, s), p in itertools.product(enumerate(subjects), patterns) if matches(p, s))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 1 and plan.count("Join Inner") == 2
