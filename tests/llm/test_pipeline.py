@@ -10,7 +10,7 @@ LLM = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM) == list(range(1, 14))
     assert "pipeline" in entry.queries() and P.ORACLE_SQL is None
 
 
