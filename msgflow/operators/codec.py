@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,9 +15,10 @@ from msgflow.session import ship_package
 PLAIN_CODECS = ("none", "uncompressed")
 ZLIB = "zlib"
 
-# Decoded bytes put into one Arrow batch before the next one starts; payloads may grow a
-# thousandfold, and a batch must stay below Arrow's 2 GiB offsets and the worker's memory.
-MAX_BATCH_BYTES = 64 << 20
+# Recoded bytes put into one Arrow batch before the next one starts; payloads may grow a
+# thousandfold, and a batch must stay below Arrow's 2 GiB offsets and the worker's memory. A worker
+# holds a batch about three times: as Python values, as Arrow array and in the one handed on before.
+MAX_BATCH_BYTES = 4 << 20
 
 
 def check_codec(codec: str | None) -> str:
@@ -45,16 +46,18 @@ def inflate_bytes(payload: bytes | None, strict: bool) -> tuple[bytes | None, bo
         return payload, False
 
 
-def inflate_batch(batch: pa.RecordBatch, column: str, strict: bool, flag: str | None = None) -> Iterator[pa.RecordBatch]:
-    """The batch with one column inflated, cut into pieces of bounded decoded size."""
+def recode_batch(
+    batch: pa.RecordBatch, column: str, recode: Callable[[bytes | None], tuple[bytes | None, bool]], flag: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The batch with one column recoded value by value, cut into pieces of bounded size."""
     position = batch.schema.get_field_index(column)
     source = batch.column(position)
-    start, decoded, good, size = 0, [], [], 0
+    start, values, good, size = 0, [], [], 0
 
     def piece(upto: int) -> pa.RecordBatch:
         cut = batch.slice(start, upto - start)
         arrays = list(cut.columns)
-        arrays[position] = pa.array(decoded, pa.binary())
+        arrays[position] = pa.array(values, pa.binary())
         names = list(cut.schema.names)
         if flag is not None:
             arrays.append(pa.array(good, pa.bool_()))
@@ -62,17 +65,23 @@ def inflate_batch(batch: pa.RecordBatch, column: str, strict: bool, flag: str |
         return pa.RecordBatch.from_arrays(arrays, names)
 
     for i in range(batch.num_rows):
-        value, ok = inflate_bytes(source[i].as_py(), strict)
+        value, ok = recode(source[i].as_py())
         grown = len(value or b"")
-        if decoded and size + grown > MAX_BATCH_BYTES:
-            yield piece(i)
-            start, decoded, good, size = i, [], [], 0
-        decoded.append(value)
+        if values and size + grown > MAX_BATCH_BYTES:
+            made = piece(i)
+            start, values, good, size = i, [], [], 0
+            yield made
+        values.append(value)
         good.append(ok)
         size += grown
     yield piece(batch.num_rows)
 
 
+def inflate_batch(batch: pa.RecordBatch, column: str, strict: bool, flag: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch with one column inflated, cut into pieces of bounded decoded size."""
+    return recode_batch(batch, column, lambda payload: inflate_bytes(payload, strict), flag)
+
+
 def decode_payload(
     df: DataFrame, codec: str | None, column: str = "content", strict: bool = True, flag: str | None = None
 ) -> DataFrame:

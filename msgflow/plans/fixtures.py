@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from msgflow.functions import envelope as E
 from msgflow.functions.subjects import partition_stream
+from msgflow.operators.codec import recode_batch
 from msgflow.session import scratch, ship_package
 from msgflow.sources.log import MessageLog
 from msgflow.sources.sink import publish
@@ -131,13 +132,12 @@ def _later(ts: Column, seconds: Column) -> Column:
 def deflate(df: DataFrame, column: str) -> DataFrame:
     """zlib-compress a binary column on executors."""
 
+    def pack(payload: bytes | None) -> tuple[bytes | None, bool]:
+        return None if payload is None else zlib.compress(payload), True
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(column)
-            packed = [None if v is None else zlib.compress(v) for v in batch.column(at).to_pylist()]
-            arrays = list(batch.columns)
-            arrays[at] = pa.array(packed, pa.binary())
-            yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
+            yield from recode_batch(batch, column, pack)
 
     ship_package()
     return df.mapInArrow(run, df.schema)

@@ -128,6 +128,8 @@ class MessageLog:
                 numbered.sortWithinPartitions("stream", "streamSeq")
                 .write.mode("overwrite")
                 .option("parquet.block.row.count.limit", LOG_ROW_GROUP)
+                # Without a dictionary the file tells how large the payloads are, also repeated ones; readers go by it.
+                .option("parquet.enable.dictionary#content", "false")
                 # A search for few subjects skips the row groups without them, also where their range spans everything.
                 .option("parquet.bloom.filter.enabled#subject", "true")
                 .option("parquet.bloom.filter.expected.ndv#subject", LOG_ROW_GROUP)

@@ -21,6 +21,8 @@ from dataclasses import dataclass, replace
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -40,8 +42,11 @@ IDLE_KEY = "idle-seconds:"
 # Key of an offset whose ends are in a file of the log; see above.
 PLAN_KEY = "plan:"
 
-# Messages per Arrow batch handed to Spark.
+# Messages per Arrow batch read from a file, fewer if they are long: as many as take about READ_BYTES on average.
 ARROW_ROWS = 10_000
+READ_BYTES = 4 << 20
+# A column's pages are read through a buffer of this size, so that no column chunk lies in memory whole.
+PAGE_BUFFER = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -245,20 +250,13 @@ class MessageLogStreamReader(DataSourceStreamReader):
         subject_test = _subject_expression(self.patterns)
         if subject_test is not None:
             wanted = wanted & subject_test
-        stored = [c for c in ("subject", "content", "headers") if c in self.columns]
+        needed = {*self.columns, "subject"} if self.patterns else self.columns
+        stored = [c for c in ("subject", "content", "headers") if c in needed]
         if {"timestamp", "replyTo"} & set(self.columns):
             stored.append("timestamp")
-        scanner = ds.dataset(path, filesystem=system, format="parquet").scanner(
-            columns=[*stored, "streamSeq"],
-            filter=wanted,
-            batch_size=ARROW_ROWS,
-            use_threads=False,  # Spark already runs one task per core
-        )
         inflate = "content" in self.columns and self.options.codec not in PLAIN_CODECS
         schema = pa.schema([_ARROW_ENVELOPE.field(c) for c in self.columns])
-        for batch in scanner.to_batches():
-            if not batch.num_rows:
-                continue
+        for batch in _stored_batches(system, path, [*stored, "streamSeq"], wanted):
             made = pa.RecordBatch.from_arrays([self._column(c, batch, run, listener) for c in self.columns], schema=schema)
             if not inflate:
                 yield made
@@ -366,6 +364,26 @@ def _runs(slices: list[Slice]) -> Iterator[Slice]:
         yield current
 
 
+def _stored_batches(system: FileSystem, path: str, columns: list[str], wanted: ds.Expression) -> Iterator[pa.RecordBatch]:
+    """The wanted rows of a data file, page by page: a dataset's scanner would hold row groups whole, and some ahead."""
+    fragment = ds.ParquetFileFormat().make_fragment(path, system)
+    with pq.ParquetFile(path, metadata=fragment.metadata, filesystem=system, buffer_size=PAGE_BUFFER) as file:
+        for group in fragment.subset(wanted).row_groups:
+            rows = batch_rows(file.metadata.row_group(group.id), columns)
+            # Spark already runs one task per core.
+            for batch in file.iter_batches(rows, row_groups=[group.id], columns=columns, use_threads=False):
+                kept = batch.filter(wanted)
+                if kept.num_rows:
+                    yield kept
+
+
+def batch_rows(group: pq.RowGroupMetaData, columns: list[str]) -> int:
+    """Messages to read at once from a row group."""
+    chunks = [group.column(i) for i in range(group.num_columns)]
+    size = sum(c.total_uncompressed_size for c in chunks if c.path_in_schema.split(".")[0] in columns)
+    return max(1, min(ARROW_ROWS, group.num_rows * READ_BYTES // max(size, 1)))
+
+
 def _subject_expression(patterns: list[str]) -> ds.Expression | None:
     if not patterns:
         return None

@@ -4,7 +4,8 @@ import pyarrow as pa
 import pytest
 
 from msgflow.operators import codec
-from msgflow.operators.codec import decode_payload, inflate_batch
+from msgflow.operators.codec import decode_payload, inflate_batch, recode_batch
+from msgflow.plans.fixtures import deflate
 
 
 def payloads(spark, values):
@@ -60,3 +61,26 @@ def test_output_batches_are_bounded(monkeypatch):
     assert [v for p in pieces for v in p.column("id").to_pylist()] == list(range(6))
     sizes = [sum(map(len, p.column("content").to_pylist())) for p in pieces]
     assert all(s <= 1000 or p.num_rows == 1 for s, p in zip(sizes, pieces, strict=True))
+
+
+def test_inflated_pieces_are_small_for_a_worker():
+    values = [bytes([n]) * (1 << 20) for n in range(24)]
+    batch = pa.RecordBatch.from_pydict({"content": [zlib.compress(v) for v in values]})
+    pieces = list(inflate_batch(batch, "content", True))
+    assert [v for p in pieces for v in p.column("content").to_pylist()] == values
+    assert max(p.nbytes for p in pieces) <= 5 << 20
+
+
+def test_recoded_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(codec, "MAX_BATCH_BYTES", 1000)
+    values = [None, b"", b"a" * 10, None, b"b" * 300, b"c" * 200]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(6)), "content": values})
+    pieces = list(recode_batch(batch, "content", lambda v: (None if v is None else v * 3, True)))
+    assert [v for p in pieces for v in p.column("content").to_pylist()] == [None if v is None else v * 3 for v in values]
+    assert [p.column("id").to_pylist() for p in pieces] == [[0, 1, 2, 3, 4], [5]]
+
+
+def test_deflate_keeps_rows_and_nulls(spark):
+    values = [b"", None, b"x" * 3_000_000, bytes(range(256))]
+    packed = deflate(payloads(spark, values), "content")
+    assert [None if r is None else zlib.decompress(r) for r in decoded(packed)] == values

@@ -1,6 +1,7 @@
 import os
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from msgflow.sources.consumers import ConsumerStore
 from msgflow.sources.log import MessageLog
 from msgflow.sources.msglog import MessageLogStreamReader, plan_slices, share_slices, slice_rows
 from msgflow.sources.reading import read_stream
-from msgflow.sources.sink import write_stream
+from msgflow.sources.sink import publish, write_stream
 from msgflow.streaming.idle import stop_when_idle
 from msgflow.streaming.relay import relay_rows, relay_stream
 from msgflow.streaming.redelivery import redeliveries
@@ -337,3 +338,42 @@ def test_format_as_a_table(spark, log):
     assert keys(table) == keys(log.scan()) and table.columns == schemas.ENVELOPE.names
     empty = spark.read.format("msglog").options(path=log.path, stream="none").load()
     assert empty.count() == 0
+
+
+# -- memory of the source ----------------------------------------------------------
+
+
+def read_all(source, start, end):
+    return [b for p in source.partitions(start, end) for b in source.read(p)]
+
+
+@pytest.mark.parametrize("different", [3, 400])
+def test_source_reads_a_row_group_in_parts(spark, log, different):
+    """40 MB in a row group, also if the payloads are few that repeat."""
+    blobs = [os.urandom(100_000) for _ in range(3)]
+    data = F.element_at(F.array(*[F.lit(b) for b in blobs]), (F.col("id") % 3 + 1).cast("int"))
+    tail = F.encode((F.col("id") % different).cast("string"), "UTF-8")
+    none = F.lit(None).cast("map<string,array<string>>").alias("headers")
+    rows = spark.range(0, 400, 1, 1).select("id", F.lit("s.a").alias("subject"), F.concat(data, tail).alias("data"), none)
+    publish(log, rows, "S-0", "b0", order_by=["id"])
+    source = reader(log, columns="streamSeq,content")
+    before, held, got = pa.total_allocated_bytes(), 0, []
+    for partition in source.partitions({}, {"S-0": 400}):
+        for batch in source.read(partition):
+            held = max(held, pa.total_allocated_bytes() - before)
+            assert batch.nbytes <= 5 << 20
+            got += batch.to_pylist()
+            del batch
+    assert held < 24 << 20
+    want = [{"streamSeq": i + 1, "content": blobs[i % 3] + str(i % different).encode()} for i in range(400)]
+    assert sorted(got, key=lambda r: r["streamSeq"]) == want
+
+
+def test_range_over_row_groups_and_subjects_without_their_column(spark, log):
+    fill(log, 150_000)
+    fill(log, 1000, batch="b1", subject="s.b")
+    found = read_all(reader(log, columns="streamSeq"), {"S-0": 65_000}, {"S-0": 131_100})
+    assert sorted(n for b in found for n in b.column("streamSeq").to_pylist()) == list(range(65_001, 131_101))
+    found = read_all(reader(log, subjects="s.b", columns="stream,streamSeq"), {"S-0": 149_000}, {"S-0": 150_700})
+    assert sorted(n for b in found for n in b.column("streamSeq").to_pylist()) == list(range(150_001, 150_701))
+    assert {b.schema.names[0] for b in found} == {"stream"}
