@@ -18,12 +18,12 @@ SIMILARITY = 0.8
 REGION = 13  # tokens compared around a hit, or the whole item if it is shorter
 SHORTEST = 8  # tokens of an item that is evidence
 SEED_ROWS = 200_000  # seeds that are broadcast at once; more are joined in rounds
+PIECE = 250  # places of a document that are hashed at once
 
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits; null has none."""
-    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def masks(n: int, similarity: float = SIMILARITY) -> tuple[str, ...]:
@@ -39,18 +39,58 @@ def masks(n: int, similarity: float = SIMILARITY) -> tuple[str, ...]:
     return tuple("1" * block + "0" * (gap * block) + "1" * block for gap in range(exchanged + 1))
 
 
+def _codes(name: str) -> Column:
+    """Tokens as numbers, so that a token is hashed once and not under each mask that shows it."""
+    return F.transform(name, lambda token: F.xxhash64(token))
+
+
+def _pieces(df: DataFrame, region: int) -> DataFrame:
+    """Documents (doc_id, tokens) in pieces of PIECE places, begin to end, with `region` tokens on both sides of them.
+
+    A piece is a text of its own, whose first token is the one at `offset`. The higher-order function in the generator
+    keeps Spark from compiling it together with what follows, which would collect all that comes of a row before
+    passing on any of it: so that holds for a piece, not for a document.
+    """
+
+    def piece(start: Column) -> Column:
+        offset = F.greatest(start - region, F.lit(0))
+        begin = start - offset
+        parts = [F.slice(name, offset + 1, begin + PIECE + region).alias(name) for name in ("tokens", "codes")]
+        end = F.least(begin + PIECE, F.size("tokens") - offset) - 1
+        return F.struct(offset.alias("offset"), begin.alias("begin"), F.greatest(begin, end).alias("end"), *parts)
+
+    starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(PIECE))
+    coded = df.withColumn("codes", _codes("tokens"))
+    return coded.select("doc_id", F.explode(F.transform(starts, piece)).alias("piece")).select("doc_id", "piece.*")
+
+
 def _seeds(df: DataFrame, place: str, shapes: tuple[str, ...]) -> DataFrame:
-    """A row for every place and mask that fits, with the hash of the mask and the tokens it shows, and its span."""
-    last = F.size("tokens") - min(map(len, shapes))
-    placed = df.where(last >= 0).withColumn(place, F.explode(F.sequence(F.lit(0), last)))
+    """A row for every place from begin to end and mask that fits, with the hash of the mask and the codes it shows, and its span."""
+    placed = df.withColumn(place, F.explode(F.sequence(F.col("begin"), F.col("end")))).drop("begin", "end")
     hashes = []
     for mask in shapes:
-        shown = [F.get("tokens", F.col(place) + k) for k, bit in enumerate(mask) if bit == "1"]
-        fits = F.col(place) + len(mask) <= F.size("tokens")
+        shown = [F.get("codes", F.col(place) + k) for k, bit in enumerate(mask) if bit == "1"]
+        fits = F.col(place) + len(mask) <= F.size("codes")
         hashes.append(F.when(fits, F.xxhash64(F.lit(mask), *shown)))
     spans = F.array(*[F.lit(len(mask)) for mask in shapes])
     seeds = placed.select("*", F.posexplode(F.array(*hashes)).alias("mask", "seed")).where("seed is not null")
-    return seeds.withColumn("span", F.get(spans, F.col("mask"))).drop("mask")
+    return seeds.withColumn("span", F.get(spans, F.col("mask"))).drop("mask", "codes")
+
+
+def _hits(read: DataFrame, seeds: DataFrame, region: int) -> DataFrame:
+    """Places of documents whose seed some item has, with the `region` tokens before and from the place as a text of its own."""
+    known = read.join(F.broadcast(seeds.select("seed")), "seed", "left_semi")
+    start = F.greatest(F.col("place") - region, F.lit(0))
+    end = F.least(F.col("place") + region, F.size("tokens"))
+    # Not compiled either: the items of a seed are joined for one hit at a time.
+    around = F.transform(F.sequence(start, end - 1), lambda k: F.get("tokens", k))
+    return known.select(
+        "doc_id",
+        "seed",
+        (F.col("offset") + start).alias("offset"),
+        (F.col("place") - start).alias("place"),
+        around.alias("tokens"),
+    )
 
 
 def leaks(
@@ -70,6 +110,7 @@ def leaks(
 
     Documents are read once per round of at most SEED_ROWS benchmark seeds, and never shuffled: each round broadcasts its
     seeds and items, verifies hits where they arise, and shuffles what has been verified, summed by document and item.
+    A hit carries the tokens around it, not its document, so memory grows with a document's length, not with its square.
     """
     items = benchmark.where("item_id is not null").groupBy(tokens(F.col("text")).alias("item_tokens"))
     items = items.agg(F.min("item_id").alias("item_id")).withColumn("item", F.xxhash64("item_tokens"))
@@ -84,15 +125,18 @@ def leaks(
     each = [items.where("false").select(F.lit(0).cast("long").alias("seed"), "item", F.lit(0).alias("item_place"), F.lit(0).alias("span"))]
     for group, own_lengths in by_masks.items():
         long_enough = items.where((F.size("item_tokens") >= SHORTEST) & window.isin(own_lengths))
-        each.append(_seeds(long_enough.withColumnRenamed("item_tokens", "tokens"), "item_place", group).select(*each[0].columns))
+        whole = long_enough.select("item", _codes("item_tokens").alias("codes"), F.lit(0).alias("begin"), (F.size("item_tokens") - 1).alias("end"))
+        each.append(_seeds(whole, "item_place", group).select(*each[0].columns))
     seeds = materialize(reduce(DataFrame.union, each), "leak-seeds")
     rounds = max(1, -(-seeds.count() // SEED_ROWS))
-    read = _seeds(documents.select("doc_id", tokens(F.col("text")).alias("tokens")), "place", shapes).drop("span")
+    texts = documents.select("doc_id", tokens(F.col("text")).alias("tokens"))
+    read = _seeds(_pieces(texts, region), "place", shapes).drop("span")
     own = F.pmod(F.col("item"), F.lit(rounds))
     found = []
     for k in range(rounds):
-        hits = read.join(F.broadcast(seeds.where(own == k)), "seed").join(F.broadcast(items.where(own == k)), "item")
-        found.append(_verified(hits, similarity, region))
+        own_seeds = seeds.where(own == k)
+        hits = _hits(read, own_seeds, region).join(F.broadcast(own_seeds), "seed")
+        found.append(_verified(hits.join(F.broadcast(items.where(own == k)), "item"), similarity, region))
     return reduce(DataFrame.union, found).groupBy("doc_id", "item_id").agg(
         F.count("*").alias("n_hits"),
         F.max("overlap").alias("overlap"),
@@ -127,8 +171,8 @@ def _verified(hits: DataFrame, similarity: float, region: int) -> DataFrame:
         "doc_id",
         "item_id",
         "overlap",
-        (F.col("ahead") + F.col("item_start")).alias("doc_start"),
-        (F.col("ahead") + F.col("item_end")).alias("doc_end"),
+        (F.col("offset") + F.col("ahead") + F.col("item_start")).alias("doc_start"),
+        (F.col("offset") + F.col("ahead") + F.col("item_end")).alias("doc_end"),
         "item_start",
         "item_end",
     )

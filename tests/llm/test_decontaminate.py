@@ -113,6 +113,26 @@ def test_rounds(make, items, monkeypatch):
     assert {k: tuple(r) for k, r in hits(make(rows), items).items()} == whole
 
 
+def test_pieces(make, items, monkeypatch):
+    """Passages across the ends of pieces, at both ends of a document, and documents shorter than a piece."""
+    rows = [(k, f"{item(low=40 - k)} {FILL} {item(5, 11, 17, 23)} {FILL} {item(high=k)}") for k in range(1, 41)]
+    rows += [(50, item(high=13)), (51, item(3, 7, high=13)), (52, item(3, 7, 9, high=13)), (53, item(high=12)), (54, "item0"), (55, "")]
+    whole = {k: tuple(r) for k, r in hits(make(rows), items).items()}
+    assert {50, 51} < {i for i, _ in whole} and not {52, 53, 54, 55} & {i for i, _ in whole}
+    for piece in (1, 7, 13):
+        monkeypatch.setattr(D, "PIECE", piece)
+        assert {k: tuple(r) for k, r in hits(make(rows), items).items()} == whole
+
+
+def test_long_document_of_one_passage(make, items):
+    """48,000 hits in one document of 20,000 tokens: a hit holds the tokens around it, not those of its document."""
+    got = hits(make([(1, f"{item()} " * 500), (2, FILL)]), items)
+    r = got[1, 1]
+    assert set(got) == {(1, 1)}
+    # Masks of 6, 9 and 12 tokens fit 35, 32 and 29 places of 40.
+    assert (r.n_hits, r.overlap, r.doc_start, r.doc_end, r.item_start, r.item_end) == (500 * 96, 1.0, 0, 20_000, 0, 40)
+
+
 def test_empty(spark, make, items):
     assert D.leaks(make([]), items).count() == 0
     assert D.leaks(make([(1, FILL)]), items.limit(0)).count() == 0
