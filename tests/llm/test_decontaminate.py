@@ -133,6 +133,11 @@ def test_long_document_of_one_passage(make, items):
     assert (r.n_hits, r.overlap, r.doc_start, r.doc_end, r.item_start, r.item_end) == (500 * 96, 1.0, 0, 20_000, 0, 40)
 
 
+def test_dropped_long_document(make, items):
+    out = D.drop_leaks(make([(1, f"{item()} " * 500), (2, FILL)]), items)
+    assert [r.doc_id for r in out.collect()] == [2]
+
+
 def test_empty(spark, make, items):
     assert D.leaks(make([]), items).count() == 0
     assert D.leaks(make([(1, FILL)]), items.limit(0)).count() == 0
